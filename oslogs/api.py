@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .functions.dates import as_date, as_time
-from .operators import auth, bars, errors, filters, packages, parse, severity
+from .functions.dates import as_date, as_time, check_recent
+from .operators import auth, bars, errors, filters, host, packages, parse, severity
 from .session import checkpointed
 from .sources.text import log_lines
 from .sources.windows import windows_security, windows_system
@@ -95,3 +95,26 @@ def report(rows: DataFrame, kind: str) -> dict[str, DataFrame]:
         "severity_bars": bars.severity_bars(totals, kind),
         "error_table": errors.hresult_table(summary) if kind == "cbs" else errors.error_table(summary, kind),
     }
+
+
+def host_report(
+    snapshots: DataFrame, date: str, start: str = "00:00:00", end: str = "23:59:59",
+    series: dict[str, DataFrame] | None = None, samples: DataFrame | None = None, as_of: str | None = None,
+) -> dict[str, DataFrame]:
+    """Status, half-hour averages and top processes of one day and time window.
+
+    ``series`` holds ``sar_series`` frames by kind. With ``as_of`` the day must lie within the
+    seven days before it. Processes are listed only when swap use was high in the window.
+    """
+    day = check_recent(date, as_of) if as_of else as_date(date)
+    window = f"{day} {as_time(start)}", f"{day} {as_time(end)}.999999"
+    within = lambda rows: rows.where(rows.ts.between(*window))
+    readings = within(snapshots)
+    tables = {"host_status": host.host_status(readings), "used_free": host.used_free_split(readings)}
+    for kind, rows in (series or {}).items():
+        tables[f"{kind}_interval"] = host.sar_interval(within(rows))
+        if kind == "paging":
+            tables["paging_series"] = host.paging_series(within(rows))
+    if samples is not None:
+        tables["top_memory_processes"] = host.top_memory_processes(samples, snapshots=readings)
+    return tables

@@ -10,10 +10,15 @@ from ..functions.rules import ERROR_TABLE, HRESULT_NAMES
 from .severity import weight
 
 
+def _fixed(spark: SparkSession, rows, names: str) -> DataFrame:
+    """Fixed rows as a local relation, whose size Spark knows."""
+    return spark.sql(f"VALUES {', '.join(str(tuple(row)) for row in rows)} AS fixed({names})")
+
+
 def error_rows(spark: SparkSession, family: str) -> DataFrame:
     """The family's table rows: ``position, error, error_message``."""
     rows = [(i, error, message) for i, (error, message) in enumerate(ERROR_TABLE[family])]
-    return spark.createDataFrame(rows, "position INT, error STRING, error_message STRING")
+    return _fixed(spark, rows, "position, error, error_message")
 
 
 def error_types_by_app(rows: DataFrame) -> DataFrame:
@@ -51,7 +56,7 @@ def with_hresult(rows: DataFrame) -> DataFrame:
 
 def hresult_lookup(codes: DataFrame) -> DataFrame:
     """Left join of ``hresult_code`` with the names of the known codes (three rows)."""
-    names = codes.sparkSession.createDataFrame(list(HRESULT_NAMES), "hresult_code STRING, known_as STRING")
+    names = _fixed(codes.sparkSession, HRESULT_NAMES, "hresult_code, known_as")
     return codes.join(F.broadcast(names), "hresult_code", "left")
 
 

@@ -21,30 +21,29 @@ Year = int | str | None  # a year, "modified" (from the file's last change), or
 CBS_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\s+[0-9]{2}:[0-9]{2}:[0-9]{2},\s+[A-Za-z]+\s+[A-Za-z0-9_]+\s+"
 )
-VALUE, STYLE = F.col("value"), F.col("style")
 
 
 def _word(n: int, until: str = "") -> Column:
     """The n-th (from 0) blank-separated word of the line, cut at a mark; '' past the end."""
-    return F.regexp_extract(VALUE, r"^\s*(?:\S+\s+){%d}([^\s%s]*)" % (n, until), 1)
+    return F.regexp_extract(F.col("value"), r"^\s*(?:\S+\s+){%d}([^\s%s]*)" % (n, until), 1)
 
 
 def _iso_clock() -> Column:
     """Eight characters after the first ``T`` (not past a second one)."""
-    at = F.instr(VALUE, "T")
-    return F.when(at > 0, F.substring_index(F.substr(VALUE, at + 1, F.lit(8)), "T", 1)).otherwise("")
+    at = F.instr(F.col("value"), "T")
+    return F.when(at > 0, F.substring_index(F.substr(F.col("value"), at + 1, F.lit(8)), "T", 1)).otherwise("")
 
 
 def _tail() -> Column:
     """Text between the first and the second ``]: ``, '' without one."""
-    at = F.instr(VALUE, "]: ")
-    return F.when(at > 0, F.trim(F.substring_index(F.substr(VALUE, at + 3), "]: ", 1))).otherwise("")
+    at = F.instr(F.col("value"), "]: ")
+    return F.when(at > 0, F.trim(F.substring_index(F.substr(F.col("value"), at + 3), "]: ", 1))).otherwise("")
 
 
 def _after_two_colons() -> Column:
     """Text after the line's second colon; a line without any colon passes whole."""
-    rest = F.substr(VALUE, F.length(F.substring_index(VALUE, ":", 2)) + 2)
-    return F.trim(F.when(VALUE.contains(":"), rest).otherwise(VALUE))
+    rest = F.substr(F.col("value"), F.length(F.substring_index(F.col("value"), ":", 2)) + 2)
+    return F.trim(F.when(F.col("value").contains(":"), rest).otherwise(F.col("value")))
 
 
 def _iso_days(date: Column) -> dict[str, Column]:
@@ -55,15 +54,15 @@ def _iso_days(date: Column) -> dict[str, Column]:
 def _iso_fields(layout: str) -> dict[str, Column]:
     """``layout`` is syslog, auth (the message is the whole line) or auth_tail."""
     if layout == "syslog":
-        app = F.regexp_extract(VALUE, r"^[^\s\[]*[\s\[][^\s\[]*[\s\[]([^\s\[]*)", 1)
+        app = F.regexp_extract(F.col("value"), r"^[^\s\[]*[\s\[][^\s\[]*[\s\[]([^\s\[]*)", 1)
     else:
         app = F.regexp_replace(_word(2, r"\["), r":\z", "")
-    return {"log_time": _iso_clock(), "app_name": app, "message": VALUE if layout == "auth" else _tail()}
+    return {"log_time": _iso_clock(), "app_name": app, "message": F.col("value") if layout == "auth" else _tail()}
 
 
 def _bsd_days(year: Year) -> dict[str, Column]:
-    month = month_number(F.substring(VALUE, 1, 3))
-    day = F.regexp_extract(VALUE, r"^[A-Za-z]{3}\s+([0-9]{1,2})", 1).try_cast("int")
+    month = month_number(F.substring(F.col("value"), 1, 3))
+    day = F.regexp_extract(F.col("value"), r"^[A-Za-z]{3}\s+([0-9]{1,2})", 1).try_cast("int")
     if year is None:
         log_date = F.lit(None).cast("date")
     else:
@@ -79,7 +78,7 @@ def _bsd_fields() -> dict[str, Column]:
 
 
 def _by_style(iso: dict[str, Column], bsd: dict[str, Column]) -> dict[str, Column]:
-    return {name: F.when(STYLE == "iso", iso[name]).otherwise(bsd[name]) for name in iso}
+    return {name: F.when(F.col("style") == "iso", iso[name]).otherwise(bsd[name]) for name in iso}
 
 
 def _cut(lines: DataFrame, kind: str, days: dict[str, Column], fields: dict[str, Column]) -> DataFrame:
@@ -90,17 +89,17 @@ def _cut(lines: DataFrame, kind: str, days: dict[str, Column], fields: dict[str,
 
 def detect_date_style(lines: DataFrame) -> DataFrame:
     """The lines with their ``style``: 'bsd', 'iso' or NULL (unsupported)."""
-    return with_once(lines, {"style": date_style(VALUE)})
+    return with_once(lines, {"style": date_style(F.col("value"))})
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Lines whose date style is unknown; parsing drops them."""
-    return lines.where(date_style(VALUE).isNull())
+    return lines.where(date_style(F.col("value")).isNull())
 
 
 def parse_iso_syslog(lines: DataFrame, kind: str = "mem") -> DataFrame:
     """ISO syslog lines; the date may stand anywhere in the line."""
-    found = F.regexp_extract(VALUE, "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)
+    found = F.regexp_extract(F.col("value"), "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)
     return _cut(lines.withColumn("style", F.lit("iso")), kind, _iso_days(found), _iso_fields("syslog"))
 
 
@@ -111,7 +110,7 @@ def parse_bsd_syslog(lines: DataFrame, kind: str = "mem", year: Year = None) ->
 
 def parse_iso_auth(lines: DataFrame, message: str = "line") -> DataFrame:
     """ISO authentication lines; the message is the whole line, or with 'tail' the text after ``]: ``."""
-    found = F.regexp_extract(VALUE, "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)
+    found = F.regexp_extract(F.col("value"), "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)
     layout = {"line": "auth", "tail": "auth_tail"}[message]
     return _cut(lines.withColumn("style", F.lit("iso")), "auth", _iso_days(found), _iso_fields(layout))
 
@@ -123,29 +122,29 @@ def parse_iso_auth_tail(lines: DataFrame) -> DataFrame:
 
 def parse_syslog(lines: DataFrame, kind: str = "mem", year: Year = None, layout: str = "syslog") -> DataFrame:
     """Lines of either date style, decided per line in one pass; lines of unknown style are dropped."""
-    days = _by_style(_iso_days(F.substring(VALUE, 1, 10)), _bsd_days(year))
-    styled = detect_date_style(lines).where(STYLE.isNotNull())
+    days = _by_style(_iso_days(F.substring(F.col("value"), 1, 10)), _bsd_days(year))
+    styled = detect_date_style(lines).where(F.col("style").isNotNull())
     return _cut(styled, kind, days, _by_style(_iso_fields(layout), _bsd_fields()))
 
 
 def parse_dpkg(lines: DataFrame, year: Year = None) -> DataFrame:
     """Package log lines: ``log_date, log_time, action, package, version`` by position after the stamp."""
-    days = _by_style(_iso_days(F.substring(VALUE, 1, 10)), _bsd_days(year))
+    days = _by_style(_iso_days(F.substring(F.col("value"), 1, 10)), _bsd_days(year))
     words, names = F.col("words"), ("log_time", "action", "package", "version")
-    at = F.when(STYLE == "bsd", 1).otherwise(0)
+    at = F.when(F.col("style") == "bsd", 1).otherwise(0)
     fields = {name: F.coalesce(F.get(words, at + i), F.lit("")) for i, name in enumerate(names, start=1)}
-    styled = detect_date_style(lines).where(STYLE.isNotNull())
-    cut = _cut(styled, "dpkg", days, {"words": F.split(F.trim(VALUE), r"\s+")})
+    styled = detect_date_style(lines).where(F.col("style").isNotNull())
+    cut = _cut(styled, "dpkg", days, {"words": F.split(F.trim(F.col("value")), r"\s+")})
     return cut.withColumns(fields).drop("words")
 
 
 def parse_cbs(lines: DataFrame) -> DataFrame:
     """``date time, Level App message`` lines; lines of another form are dropped."""
-    matching = lines.where(VALUE.rlike(CBS_PATTERN)).withColumns(
-        {"kind": F.lit("cbs"), "style": F.lit("iso"), "log_date": iso_date(F.substring(VALUE, 1, 10))}
+    matching = lines.where(F.col("value").rlike(CBS_PATTERN)).withColumns(
+        {"kind": F.lit("cbs"), "style": F.lit("iso"), "log_date": iso_date(F.substring(F.col("value"), 1, 10))}
     )
     words = F.col("words")
-    return with_once(matching, {"words": F.split(VALUE, r"\s+", 5)}, drop=("value",)).select(
+    return with_once(matching, {"words": F.split(F.col("value"), r"\s+", 5)}, drop=("value",)).select(
         *(c for c in matching.columns if c != "value"),
         F.substring(F.get(words, F.lit(1)), 1, 8).alias("log_time"),
         F.get(words, F.lit(2)).alias("level"),

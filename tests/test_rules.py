@@ -1,0 +1,68 @@
+"""Every rule word of every family."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from oslogs.functions.classify import category, contains_any, error_types
+from oslogs.functions.rules import ERROR_TABLE, ERROR_TYPE_WORDS, SEVERITY_WORDS
+
+
+def first_match(message, choices, default):
+    return next((name for name, words in choices if any(w in message for w in words)), default)
+
+
+@pytest.mark.parametrize("family", SEVERITY_WORDS)
+def test_every_severity_word(spark, family):
+    rules = list(SEVERITY_WORDS[family].items())
+    words = [w for _, group in rules for w in group]
+    messages = [*words, *(w.swapcase() for w in words), *(f"x {a} then {b}y" for a in words for b in words), ""]
+    frame = spark.createDataFrame([(m,) for m in messages], "message STRING")
+    for row in frame.withColumn("c", category(F.col("message"), family)).collect():
+        assert row.c == first_match(row.message, rules, "success"), row.message
+
+
+@pytest.mark.parametrize("family", ERROR_TYPE_WORDS)
+def test_every_error_word(spark, family):
+    groups = ERROR_TYPE_WORDS[family]
+    words = [w for group in groups for _, some in group for w in some]
+    messages = [*words, *(w.swapcase() for w in words), *(f"{a} {b}" for a in words for b in words), ""]
+    frame = spark.createDataFrame([(m,) for m in messages], "message STRING")
+    for row in frame.withColumn("t", error_types(F.col("message"), family)).collect():
+        expected = [first_match(row.message, group, None) for group in groups]
+        assert row.t == [t for t in expected if t], row.message
+
+
+@pytest.mark.parametrize("family,message,expected", [
+    ("mem", "OOM", "severe_error"), ("mem", "oom", "success"), ("mem", "Critical", "success"),
+    ("mem", "process crash", "success"), ("proc", "process crash", "severe_error"), ("proc", "OOM", "success"),
+    ("proc", "CPU warning", "mild_error"), ("ubu", "I/O error", "severe_error"), ("mac", "panic", "severe_error"),
+    ("mac", "critical", "success"), ("mac", "app crash", "mild_error"), ("mac", "slow response", "warning"),
+    ("sol", "repeated login failures", "mild_error"), ("sol", "performance degradation", "warning"),
+    ("sol", "fatal", "severe_error"), ("wsys", "Chkdsk", "severe_error"), ("cbs", "Error", "severe_error"),
+    ("cbs", "error", "success"), ("cbs", "HRESULT", "mild_error"), ("cbs", "WARN", "warning"),
+])
+def test_known_categories(spark, family, message, expected):
+    assert spark.range(1).select(category(F.lit(message), family)).first()[0] == expected
+
+
+@pytest.mark.parametrize("family,message,expected", [
+    ("mem", "out of memory in malloc", ["oom"]), ("mem", "Segmentation fault", ["segfault"]),
+    ("ubu", "kernel bug", ["process killed", "kernel bug"]), ("proc", "CPU fault GPU fault", ["cpu error", "gpu error"]),
+    ("mac", "EXC_CRASH panic", ["segfault"]), ("mac", "killed by signal", ["process killed"]),
+    ("sol", "OOM", ["oom"]), ("sol", "out of memory OOM", ["out of memory"]), ("wsys", "Chkdsk", ["Disk Failure"]),
+    ("wsys", "oom", []), ("cbs", "[HRESULT = 0x1]", ["0x1"]), ("cbs", "none", []),
+])
+def test_known_error_types(spark, family, message, expected):
+    assert spark.range(1).select(error_types(F.lit(message), family)).first()[0] == expected
+
+
+def test_tables_list_types_that_exist():
+    for family, rows in ERROR_TABLE.items():
+        types = {name for group in ERROR_TYPE_WORDS[family] for name, _ in group}
+        assert {error for error, _ in rows} <= types
+        assert types - {error for error, _ in rows} <= {"ftp"}
+
+
+def test_implied_words_are_not_tested():
+    text = str(contains_any(F.col("m"), ("error", "fail", "failed")))
+    assert "failed" not in text and "fail" in text
