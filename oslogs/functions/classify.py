@@ -13,6 +13,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .extract import hresult_code
 from .rules import AUTH_WORDS, ERROR_TYPE_WORDS, SEVERITY_WORDS
 
 
@@ -22,10 +23,10 @@ def contains_any(message: Column, words: tuple[str, ...]) -> Column:
     return reduce(or_, (message.contains(w) for w in dict.fromkeys(shortest)))
 
 
-def _first_match(message: Column, choices) -> Column:
+def _first_match(message: Column, choices, value=F.lit) -> Column:
     chain = F
     for label, words in choices:
-        chain = chain.when(contains_any(message, words), F.lit(label))
+        chain = chain.when(contains_any(message, words), value(label))
     return chain
 
 
@@ -36,13 +37,13 @@ def category(message: Column, family: str) -> Column:
 
 def error_types(message: Column, family: str) -> Column:
     """ARRAY<STRING> of known error types: at most one per group of the family."""
+    none = F.array().cast("array<string>")
     if family == "cbs":
-        from .extract import hresult_code
-
         code = hresult_code(message)
-        return F.when(code != "", F.array(code)).otherwise(F.array().cast("array<string>"))
-    groups = [_first_match(message, group) for group in ERROR_TYPE_WORDS[family]]
-    return F.array_compact(F.array(*groups))
+        return F.when(code != "", F.array(code)).otherwise(none)
+    one = lambda label: F.array(F.lit(label))
+    groups = [_first_match(message, group, one).otherwise(none) for group in ERROR_TYPE_WORDS[family]]
+    return F.concat(*groups) if len(groups) > 1 else groups[0]
 
 
 def auth_event(message: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .once import with_once
+
 # --- Fixed values: thresholds in percent and the step of the series -----------
 HIGH, MODERATE, DISK_HIGH = 75, 50, 80
 STEP = "30 minutes"
@@ -17,8 +19,9 @@ def percent(used: Column, total: Column) -> Column:
     return (hundredths.cast("decimal(15,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(7,2)")
 
 
-def _disk_used() -> Column:
-    return F.regexp_replace("disk_pct", "[^0-9]", "").try_cast("int")
+def _with_disk(snapshots: DataFrame) -> DataFrame:
+    """Readings with ``disk_used``, the digits of the disk percentage."""
+    return with_once(snapshots, {"disk_used": F.regexp_replace("disk_pct", "[^0-9]", "").try_cast("int")})
 
 
 def _reading(metric: str, used: Column, total: Column, pct: Column, status: Column) -> Column:
@@ -36,7 +39,7 @@ def _memory() -> Column:
 
 
 def _disk() -> Column:
-    used = _disk_used()
+    used = F.col("disk_used")
     status = F.when(used > DISK_HIGH, "High").when(used.isNull(), "Unavailable").otherwise("Normal")
     return _reading("disk", used, F.lit(100), used, status)
 
@@ -58,7 +61,7 @@ def memory_status(snapshots: DataFrame) -> DataFrame:
 
 def disk_status(snapshots: DataFrame) -> DataFrame:
     """High above 80 %, else Normal; a reading without digits is Unavailable."""
-    return _readings(snapshots, _disk())
+    return _readings(_with_disk(snapshots), _disk())
 
 
 def swap_status(snapshots: DataFrame) -> DataFrame:
@@ -68,12 +71,12 @@ def swap_status(snapshots: DataFrame) -> DataFrame:
 
 def host_status(snapshots: DataFrame) -> DataFrame:
     """Memory, disk and swap rows of every reading, in one pass."""
-    return _readings(snapshots, _memory(), _disk(), _swap())
+    return _readings(_with_disk(snapshots), _memory(), _disk(), _swap())
 
 
 def used_free_split(snapshots: DataFrame) -> DataFrame:
     """``host, ts, metric, part, value``: Used and Free rows of memory (MB) and disk (percent)."""
-    disk = _disk_used()
+    disk = F.col("disk_used")
     parts = [
         ("memory", "Used", F.col("mem_used_mb")), ("memory", "Free", F.col("mem_total_mb") - F.col("mem_used_mb")),
         ("disk", "Used", disk), ("disk", "Free", 100 - disk),
@@ -81,7 +84,7 @@ def used_free_split(snapshots: DataFrame) -> DataFrame:
     rows = [
         F.struct(F.lit(m).alias("metric"), F.lit(p).alias("part"), v.cast("long").alias("value")) for m, p, v in parts
     ]
-    return snapshots.select("host", "ts", F.inline(F.array(*rows)))
+    return _with_disk(snapshots).select("host", "ts", F.inline(F.array(*rows)))
 
 
 def sar_interval(series: DataFrame, step: str = STEP) -> DataFrame:

@@ -81,10 +81,16 @@ def _by_style(iso: dict[str, Column], bsd: dict[str, Column]) -> dict[str, Colum
     return {name: F.when(F.col("style") == "iso", iso[name]).otherwise(bsd[name]) for name in iso}
 
 
-def _cut(lines: DataFrame, kind: str, days: dict[str, Column], fields: dict[str, Column]) -> DataFrame:
-    """Lines with their style, first the days, then the other fields."""
+def _cut(lines: DataFrame, kind: str, days: dict[str, Column], fields: dict[str, Column], once: str) -> DataFrame:
+    """Lines with their days, then with their fields.
+
+    The field ``once`` is the one that rules search many times. The others are cheap and stay
+    projections, so that they cost nothing where they are not used and filters on them run first.
+    """
     dated = with_once(lines, days).where(F.col("log_month").isNotNull() & F.col("log_day").isNotNull())
-    return with_once(dated.withColumn("kind", F.lit(kind)), fields, drop=("value",))
+    cut = with_once(dated.withColumn("kind", F.lit(kind)), {once: fields[once]})
+    others = {name: column for name, column in fields.items() if name != once}
+    return cut.withColumns(others).drop("value")
 
 
 def detect_date_style(lines: DataFrame) -> DataFrame:
@@ -100,19 +106,19 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
 def parse_iso_syslog(lines: DataFrame, kind: str = "mem") -> DataFrame:
     """ISO syslog lines; the date may stand anywhere in the line."""
     found = F.regexp_extract(F.col("value"), "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)
-    return _cut(lines.withColumn("style", F.lit("iso")), kind, _iso_days(found), _iso_fields("syslog"))
+    return _cut(lines.withColumn("style", F.lit("iso")), kind, _iso_days(found), _iso_fields("syslog"), "message")
 
 
 def parse_bsd_syslog(lines: DataFrame, kind: str = "mem", year: Year = None) -> DataFrame:
     """``Mon d HH:MM:SS host app[pid]: message`` lines; other lines are dropped."""
-    return _cut(lines.withColumn("style", F.lit("bsd")), kind, _bsd_days(year), _bsd_fields())
+    return _cut(lines.withColumn("style", F.lit("bsd")), kind, _bsd_days(year), _bsd_fields(), "message")
 
 
 def parse_iso_auth(lines: DataFrame, message: str = "line") -> DataFrame:
     """ISO authentication lines; the message is the whole line, or with 'tail' the text after ``]: ``."""
     found = F.regexp_extract(F.col("value"), "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)
     layout = {"line": "auth", "tail": "auth_tail"}[message]
-    return _cut(lines.withColumn("style", F.lit("iso")), "auth", _iso_days(found), _iso_fields(layout))
+    return _cut(lines.withColumn("style", F.lit("iso")), "auth", _iso_days(found), _iso_fields(layout), "message")
 
 
 def parse_iso_auth_tail(lines: DataFrame) -> DataFrame:
@@ -124,7 +130,7 @@ def parse_syslog(lines: DataFrame, kind: str = "mem", year: Year = None, layout:
     """Lines of either date style, decided per line in one pass; lines of unknown style are dropped."""
     days = _by_style(_iso_days(F.substring(F.col("value"), 1, 10)), _bsd_days(year))
     styled = detect_date_style(lines).where(F.col("style").isNotNull())
-    return _cut(styled, kind, days, _by_style(_iso_fields(layout), _bsd_fields()))
+    return _cut(styled, kind, days, _by_style(_iso_fields(layout), _bsd_fields()), "message")
 
 
 def parse_dpkg(lines: DataFrame, year: Year = None) -> DataFrame:
@@ -134,7 +140,7 @@ def parse_dpkg(lines: DataFrame, year: Year = None) -> DataFrame:
     at = F.when(F.col("style") == "bsd", 1).otherwise(0)
     fields = {name: F.coalesce(F.get(words, at + i), F.lit("")) for i, name in enumerate(names, start=1)}
     styled = detect_date_style(lines).where(F.col("style").isNotNull())
-    cut = _cut(styled, "dpkg", days, {"words": F.split(F.trim(F.col("value")), r"\s+")})
+    cut = _cut(styled, "dpkg", days, {"words": F.split(F.trim(F.col("value")), r"\s+")}, "words")
     return cut.withColumns(fields).drop("words")
 
 
