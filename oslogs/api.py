@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions.dates import as_date, as_time, check_recent
 from .operators import auth, bars, errors, filters, host, packages, parse, severity
 from .session import checkpointed
+from .sources.tables import parsed_rows
 from .sources.text import log_lines
 from .sources.windows import windows_security, windows_system
 
@@ -15,18 +17,23 @@ KINDS = (*SYSLOG_KINDS, "auth", "auth_t", "dpkg", "cbs", "wsys", "wsec")
 
 
 def parsed(
-    spark: SparkSession, kind: str, path: str | None = None, days: tuple[str, str] | None = None,
-    year: parse.Year = None, newest_last: bool = False,
+    spark: SparkSession, kind: str, path: str | None = None, days: tuple | None = None,
+    year: parse.Year = None, newest_last: bool = False, header: list[str] | None = None,
 ) -> DataFrame:
-    """Parsed rows of one family's log. ``days`` drops lines of other days before they are cut up."""
+    """Parsed rows of one family's log.
+
+    ``days`` (first, last) drops lines of other days before they are cut up, and reads only those
+    days of a log kept in ``log_date=`` directories. ``header`` fixes the columns of a System export.
+    """
     if kind not in KINDS:
         raise ValueError(f"unknown kind {kind!r}; one of {', '.join(KINDS)}")
-    if kind == "wsys":
-        return parse.parse_windows_system(windows_system(spark, path))
-    if kind == "wsec":
-        return parse.parse_windows_security(windows_security(spark, path))
+    if kind in ("wsys", "wsec"):
+        where = filters.raw_windows_days(*days) if days else None
+        if kind == "wsys":
+            return parse.parse_windows_system(windows_system(spark, path, header, where))
+        return parse.parse_windows_security(windows_security(spark, path, where))
     where = filters.raw_days(*days) if days else None
-    lines = log_lines(spark, path, kind, where=where, newest_last=newest_last, modified=year == "modified")
+    lines = log_lines(spark, path, kind, where, days, newest_last, modified=year == "modified")
     if kind == "dpkg":
         return parse.parse_dpkg(lines, year)
     if kind == "cbs":
@@ -49,11 +56,18 @@ def analyze(
     spark: SparkSession, kind: str, date: str, start: str = "00:00:00", end: str = "23:59:59",
     path: str | None = None, last: str | None = None, inclusive: str = "both",
     bsd_time_filter: bool = True, year: parse.Year = None, newest_last: bool = False,
+    header: list[str] | None = None, landed: bool = False,
 ) -> DataFrame:
-    """Parsed and labelled rows of a day (or days up to ``last``) and time window of one log."""
+    """Parsed and labelled rows of a day (or days up to ``last``) and time window of one log.
+
+    With ``landed`` the path is a table written by ``write_parsed``; only the days asked for are read.
+    """
     days = (as_date(date), as_date(last or date))
     as_time(start), as_time(end)
-    rows = parsed(spark, kind, path, days, year, newest_last)
+    if landed:
+        rows = parsed_rows(spark, path).where(F.col("kind") == kind)
+    else:
+        rows = parsed(spark, kind, path, days, year, newest_last, header)
     rows = filters.in_window(rows, date, start, end, last, inclusive, bsd_time_filter)
     return labelled(rows, kind)
 

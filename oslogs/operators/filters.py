@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.classify import contains_any
 from ..functions.dates import as_date, as_time
 from ..functions.rules import MONTHS, PACKAGE_ACTIONS
 
@@ -144,6 +145,15 @@ def raw_days(first: Day, last: Day) -> Column:
     return F.substring(value, 1, 10).between(str(d0), str(d1)) | F.substring(value, 1, 3).isin(*months)
 
 
+def raw_windows_days(first: Day, last: Day) -> Column | None:
+    """The same for tab-separated Windows lines: one of the days, or a header; None for over a month."""
+    d0, d1 = as_date(first), as_date(last)
+    days = [d0 + dt.timedelta(days=i) for i in range((d1 - d0).days + 1)]
+    if len(days) > 31:
+        return None
+    return contains_any(F.col("value"), ("Date and Time", *(f"{day:%d-%m-%Y}" for day in days)))
+
+
 def in_window(
     rows: DataFrame, date: Day, start: str, end: str, last: Day | None = None,
     inclusive: str = "both", bsd_time_filter: bool = True,

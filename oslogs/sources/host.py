@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import data_rows_only
+from ..operators.once import with_once
 
 # --- Fixed values: table schemas ----------------------------------------------
 SNAPSHOT_SCHEMA = (
@@ -87,11 +88,10 @@ def sar_series(
     if log_date is None:
         raise ValueError("the rows carry no day: give date= or a log_date= directory layout")
     host = F.col("host").cast("string") if "host" in lines.columns else F.lit("")
-    rest = F.split(F.regexp_replace("value", r"^\S+\s+([AP]M\s+)?", ""), r"\s+")
-    named = [F.get(rest, F.lit(i)).try_cast("double").alias(metric_name(c)) for i, c in enumerate(columns)]
-    return lines.select(
-        host.alias("host"),
-        log_date.cast("date").alias("log_date"),
-        F.concat_ws(" ", log_date.cast("string"), _clock(F.col("value"))).try_cast("timestamp_ntz").alias("ts"),
-        *named,
-    ).where(F.col(metric_name(columns[0])).isNotNull() & F.col("ts").isNotNull())
+    words = F.split(F.regexp_replace("value", r"^\S+\s+([AP]M\s+)?", ""), r"\s+")
+    stamp = F.concat_ws(" ", log_date.cast("string"), _clock(F.col("value"))).try_cast("timestamp_ntz")
+    cut = with_once(lines, {"words": words, "ts": stamp, "first": F.get(words, F.lit(0)).try_cast("double")})
+    return cut.where(F.col("ts").isNotNull() & F.col("first").isNotNull()).select(
+        host.alias("host"), log_date.cast("date").alias("log_date"), "ts",
+        *(F.get("words", F.lit(i)).try_cast("double").alias(metric_name(c)) for i, c in enumerate(columns)),
+    )

@@ -22,6 +22,7 @@ def log_lines(
     path: str | list[str] | None = None,
     kind: str | None = None,
     where: Column | None = None,
+    days: tuple | None = None,
     newest_last: bool = False,
     modified: bool = False,
 ) -> DataFrame:
@@ -31,10 +32,14 @@ def log_lines(
     the file order over splits without a sort or a pass over the data. Files are ordered by name,
     or by modification time first with ``newest_last`` (rotated logs). It is computed only where a
     query uses it. ``where`` is a condition on ``value`` or on directory columns that is applied
-    before numbering, so it can still prune directories. ``modified`` adds the file's last change.
+    before numbering, so it can still prune directories. ``days`` (first, last) reads only those
+    ``log_date=`` directories where the log is laid out that way. ``modified`` adds the file's last
+    change.
     """
     lines = spark.read.text(default_path(kind, path) if path is None or isinstance(path, str) else path)
     keep = ["value", *(c for c in lines.columns if c != "value")]
+    if days is not None and "log_date" in lines.columns:
+        lines = lines.where(F.col("log_date").between(*(F.lit(str(day)).cast("date") for day in days)))
     if where is not None:
         lines = lines.where(where)
     key = [

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.once import with_once
 from ..session import join_per_file
 from .text import log_lines
 
@@ -23,40 +24,54 @@ def _is_header(fields: Column) -> Column:
     return F.array_contains(fields, "Date and Time") & F.array_contains(fields, "Event ID")
 
 
-def windows_system(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
+def system_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the first header row found; stops reading there."""
+    fields = F.split("value", "\t")
+    found = spark.read.text(path).where(_is_header(fields)).select(fields.alias("names")).first()
+    if found is None:
+        raise ValueError(f"no header row below {path}")
+    return found["names"]
+
+
+def _per_file(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows with ``at``, the positions that the header row of their file gives."""
+    at = [F.array_position("f", name).cast("int").alias(column) for name, column in SYSTEM_HEADER]
+    positions = (
+        rows.where(F.col("is_header")).select("source_file", F.struct(*at).alias("at"))
+        .groupBy("source_file").agg(F.first("at").alias("at"))
+    )
+    return join_per_file(rows, positions, lines)
+
+
+def windows_system(
+    spark: SparkSession, path: str, header: list[str] | None = None, where: Column | None = None
+) -> DataFrame:
     """System export rows ``level, date_time, source, event_id, task_category, message``.
 
-    Column positions come from each file's own header row, wherever its columns stand. With
-    ``header`` (the names in order) they are constants and no lookup is needed. Rows with fewer
-    than five fields and header rows are dropped; empty fields keep their place.
+    Column positions come from each file's own header row, wherever its columns stand; finding the
+    header rows is a second pass over the files. With ``header`` (see ``system_header``) all files
+    have these columns and one pass does. Rows with fewer than five fields and header rows are
+    dropped; empty fields keep their place. ``where`` is applied to the unsplit lines and has to
+    keep header rows.
     """
-    lines = log_lines(spark, path)
-    rows = lines.select("value", "source_file", "line_no", F.split("value", "\t").alias("f"))
+    lines = log_lines(spark, path, where=where)
+    rows = with_once(lines, {"f": F.split("value", "\t")}, drop=("value",)).withColumn("is_header", _is_header(F.col("f")))
     if header is None:
-        at = [F.array_position("f", name).cast("int").alias(f"{column}_at") for name, column in SYSTEM_HEADER]
-        positions = (
-            rows.where(F.col("value").contains("Date and Time") & _is_header(F.col("f")))
-            .select("source_file", F.struct(*at).alias("at"))
-            .groupBy("source_file").agg(F.first("at").alias("at"))
-        )
-        rows = join_per_file(rows, positions, lines)
-        field = lambda column: F.get("f", F.col(f"at.{column}_at") - 1)
+        rows = _per_file(rows, lines)
+        position = {column: F.col(f"at.{column}") - 1 for _, column in SYSTEM_HEADER}
     else:
-        field = lambda column: F.get("f", F.lit(header.index(dict(_BY_COLUMN)[column])))
-    return rows.where((F.size("f") >= 5) & ~_is_header(F.col("f"))).select(
-        *(F.coalesce(field(column), F.lit("")).alias(column) for _, column in SYSTEM_HEADER),
+        position = {column: F.lit(header.index(name)) for name, column in SYSTEM_HEADER}
+    return rows.where((F.size("f") >= 5) & ~F.col("is_header")).select(
+        *(F.coalesce(F.get("f", at), F.lit("")).alias(column) for column, at in position.items()),
         F.array_join(F.slice("f", MESSAGE_FIELD + 1, F.size("f")), " ").alias("message"),
         "source_file", "line_no",
     )
 
 
-_BY_COLUMN = [(column, name) for name, column in SYSTEM_HEADER]
-
-
-def windows_security(spark: SparkSession, path: str) -> DataFrame:
+def windows_security(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
     """Security export rows: ``date_time`` (second field) and ``action`` (fifth field)."""
     fields = F.split("value", "\t")
-    return log_lines(spark, path).select(
+    return log_lines(spark, path, where=where).select(
         F.coalesce(F.get(fields, F.lit(1)), F.lit("")).alias("date_time"),
         F.coalesce(F.get(fields, F.lit(4)), F.lit("")).alias("action"),
         "source_file", "line_no",

@@ -74,6 +74,10 @@ def test_landed_rows_are_pruned(spark, sf_dir, tmp_path):
     assert "GreaterThanOrEqual(log_time,06:00:00)" in plan(later)
     assert "PartitionFilters: [((log_date" in plan(later) or "PartitionFilters: [isnotnull" in plan(later)
     assert compare_counts(rows, parsed_rows(spark, path))
+    one_day = oslogs.analyze(spark, "mem", "2024-01-15", path=path, landed=True)
+    assert "PartitionFilters: [((log_date" in plan(one_day)
+    text_day = oslogs.analyze(spark, "mem", "2024-01-15", path=derived(spark, sf_dir, "iso"))
+    assert compare_counts(one_day, text_day)
 
 
 def compare_counts(a, b):
@@ -119,6 +123,8 @@ def test_line_order_does_not_stop_pruning(spark, tmp_path):
     text = plan(lines)
     assert "PartitionFilters: [isnotnull(log_date" in text
     assert packages.latest_package_action(parse.parse_dpkg(lines)).count() == 1
+    rows = oslogs.analyze(spark, "dpkg", "2024-01-02", path=str(tmp_path))
+    assert "PartitionFilters: [isnotnull(log_date" in plan(rows) and rows.count() == 1
 
 
 def test_expressions_accept_a_stream(spark, sf_dir):

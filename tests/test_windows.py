@@ -7,7 +7,7 @@ from oslogs import session
 from oslogs.functions.dates import as_date, normalise_date
 from oslogs.operators import errors, filters, parse, severity
 from oslogs.sources.text import log_lines
-from oslogs.sources.windows import windows_system
+from oslogs.sources.windows import system_header, windows_system
 
 HEADER = "Level\tDate and Time\tSource\tEvent ID\tTask Category"
 
@@ -83,8 +83,13 @@ def test_system_columns_follow_each_header(spark, log, monkeypatch):
         ("Out of Memory", "Disk", 1, "Out of Memory"), ("Kernel Bug", "N/A", 0, "Kernel Bug"),
         ("Critical", "N/A", 0, "Critical Error"), ("Disk Failure", "Ntfs", 1, "Disk Failure / I/O Error"),
     ]
-    fixed = windows_system(spark, f"{folder}/a.txt", header=HEADER.split("\t"))
-    assert got(fixed) == got(windows_system(spark, f"{folder}/a.txt"))
+    names = system_header(spark, f"{folder}/b.txt")
+    assert names == ["Source", "Task Category", "Level", "Event ID", "Date and Time"]
+    for file, header in (("a.txt", HEADER.split("\t")), ("b.txt", names)):
+        fixed = windows_system(spark, f"{folder}/{file}", header)
+        assert got(fixed) == got(windows_system(spark, f"{folder}/{file}"))
+    one_pass = oslogs.analyze(spark, "wsys", "2024-11-28", path=f"{folder}/b.txt", header=names)
+    assert got(one_pass, "log_time", "message") == [("11:00:00", "out of memory"), ("23:00:00", "")]
 
 
 def test_well_formed(spark, log):
