@@ -1,4 +1,4 @@
-"""``spark-submit`` or ``python -m oslogs``: print the report of one log, optionally export its counts.
+"""``spark-submit oslogs/__main__.py`` or ``python -m oslogs``: print the report of one log, optionally export its counts.
 
     python -m oslogs mem 2024-11-09 00:00:00 23:59:59 /logs/syslog
     python -m oslogs ubu 2024-11-01 00:00:00 23:59:59 /logs/syslog --last 2024-11-09 --out /data/counts
@@ -10,9 +10,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from . import sinks
-from .api import KINDS, analyze, report
-from .operators.packages import latest_package_action
+from oslogs import sinks
+from oslogs.api import KINDS, analyze, report
+from oslogs.operators.packages import latest_package_action
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -18,9 +18,20 @@ from .rules import AUTH_WORDS, ERROR_TYPE_WORDS, SEVERITY_WORDS
 
 
 def contains_any(message: Column, words: tuple[str, ...]) -> Column:
-    """True when the message holds one of the words; words implied by a shorter one are not tested."""
-    shortest = [w for w in words if not any(o != w and o in w for o in words)]
-    return reduce(or_, (message.contains(w) for w in dict.fromkeys(shortest)))
+    """True when the message holds one of the words.
+
+    Words implied by a shorter one are not tested, and words with the same first part ("CPU fault",
+    "CPU overload") are only searched where that part occurs, so most messages take few searches.
+    """
+    shortest = dict.fromkeys(w for w in words if not any(o != w and o in w for o in words))
+    by_start: dict[str, list[str]] = {}
+    for word in shortest:
+        by_start.setdefault(word.partition(" ")[0] + " " if " " in word else word, []).append(word)
+    tests = []
+    for start, found in by_start.items():
+        test = reduce(or_, (message.contains(w) for w in found))
+        tests.append(message.contains(start) & test if len(found) > 1 else test)
+    return reduce(or_, tests)
 
 
 def _first_match(message: Column, choices, value=F.lit) -> Column:

@@ -36,8 +36,8 @@ def _iso_clock() -> Column:
 
 def _tail() -> Column:
     """Text between the first and the second ``]: ``, '' without one."""
-    at = F.instr(F.col("value"), "]: ")
-    return F.when(at > 0, F.trim(F.substring_index(F.substr(F.col("value"), at + 3), "]: ", 1))).otherwise("")
+    head = F.substring_index(F.col("value"), "]: ", 2)
+    return F.when(F.col("value").contains("]: "), F.trim(F.substring_index(head, "]: ", -1))).otherwise("")
 
 
 def _after_two_colons() -> Column:
