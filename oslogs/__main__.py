@@ -2,6 +2,7 @@
 
     python -m oslogs mem 2024-11-09 00:00:00 23:59:59 /logs/syslog
     python -m oslogs ubu 2024-11-01 00:00:00 23:59:59 /logs/syslog --last 2024-11-09 --out /data/counts
+    python -m oslogs host 2024-11-09 00:00:00 23:59:59 /data/readings --series paging=/data/paging --processes /data/ps
 """
 
 from __future__ import annotations
@@ -11,13 +12,13 @@ import argparse
 from pyspark.sql import SparkSession
 
 from oslogs import sinks
-from oslogs.api import KINDS, analyze, report
-from oslogs.operators.packages import latest_package_action
+from oslogs.api import KINDS, analyze, host_report, report
+from oslogs.sources.host import host_snapshots, process_samples, sar_series
 
 
-def main(argv: list[str] | None = None) -> None:
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="oslogs")
-    parser.add_argument("kind", choices=KINDS)
+    parser.add_argument("kind", choices=(*KINDS, "host"))
     parser.add_argument("date")
     parser.add_argument("start", nargs="?", default="00:00:00")
     parser.add_argument("end", nargs="?", default="23:59:59")
@@ -26,25 +27,37 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--exclusive", action="store_true", help="leave out both outer days of the range")
     parser.add_argument("--all-bsd-times", action="store_true", help="no time filter on year-less lines")
     parser.add_argument("--year", type=int, help="year of year-less lines")
+    parser.add_argument("--landed", action="store_true", help="the path is a table of parsed rows")
+    parser.add_argument("--series", action="append", default=[], metavar="KIND=PATH", help="exported series of a host report")
+    parser.add_argument("--processes", metavar="PATH", help="process samples of a host report")
+    parser.add_argument("--as-of", help="refuse days more than a week before this one (host report)")
     parser.add_argument("--rows", type=int, default=50, help="rows shown per table")
-    parser.add_argument("--out", help="folder for the exported count table")
-    args = parser.parse_args(argv)
+    parser.add_argument("--out", help="folder for the exported tables")
+    return parser.parse_args(argv)
+
 
+def main(argv: list[str] | None = None) -> None:
+    args = _arguments(argv)
     spark = SparkSession.builder.appName("oslogs").getOrCreate()
-    rows = analyze(
-        spark, args.kind, args.date, args.start, args.end, args.path, args.last,
-        "neither" if args.exclusive else "both", not args.all_bsd_times, args.year,
-    )
-    for name, table in report(rows, args.kind).items():
+    if args.kind == "host":
+        snapshots = host_snapshots(spark, args.path)
+        series = {kind: sar_series(spark, path, kind) for kind, _, path in (s.partition("=") for s in args.series)}
+        samples = process_samples(spark, args.processes) if args.processes else None
+        tables = host_report(snapshots, args.date, args.start, args.end, series, samples, args.as_of)
+        if args.out:
+            sinks.write_host_status(snapshots.where(snapshots.ts.cast("date") == args.date), args.out)
+            sinks.write_sar_dumps({k: rows.where(rows.log_date == args.date) for k, rows in series.items()}, args.out)
+    else:
+        rows = analyze(
+            spark, args.kind, args.date, args.start, args.end, args.path, args.last,
+            "neither" if args.exclusive else "both", not args.all_bsd_times, args.year, landed=args.landed,
+        )
+        tables = report(rows, args.kind)
+        if args.out:
+            sinks.export_counts(tables, args.out)
+    for name, table in tables.items():
         print(name)
         table.show(args.rows, truncate=False)
-    if args.out:
-        if args.kind in ("auth", "auth_t"):
-            sinks.write_auth_events(rows, f"{args.out}/auth_events")
-        elif args.kind == "dpkg":
-            sinks.write_dpkg_actions(latest_package_action(rows), f"{args.out}/dpkg_actions")
-        elif args.kind != "wsec":
-            sinks.write_error_counts(rows, f"{args.out}/error_counts")
 
 
 if __name__ == "__main__":

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,24 +24,24 @@ def _write_counts(rows: DataFrame, path: str, header: bool) -> None:
     rows.write.csv(path, sep="\t", header=header, mode="overwrite")
 
 
-def error_counts(rows: DataFrame) -> DataFrame:
-    """Category and Count: severe, mild, warnings and net successes."""
-    return _labelled(analysis_summary(rows), ERROR_COUNT_LABELS)
+def error_counts(summary: DataFrame) -> DataFrame:
+    """Category and Count of an ``analysis_summary`` row: severe, mild, warnings and net successes."""
+    return _labelled(summary, ERROR_COUNT_LABELS)
 
 
-def write_error_counts(rows: DataFrame, path: str) -> None:
-    """``error_counts`` of classified rows, with a header."""
-    _write_counts(error_counts(rows), path, header=True)
+def auth_events(summary: DataFrame) -> DataFrame:
+    """Category and Count of an ``auth_summary`` row."""
+    return _labelled(summary, AUTH_COUNT_LABELS)
 
 
-def auth_events(rows: DataFrame) -> DataFrame:
-    """Category and Count of the four kinds of authentication events."""
-    return _labelled(auth_summary(rows), AUTH_COUNT_LABELS)
+def write_error_counts(rows: DataFrame, path: str) -> None:
+    """``error_counts`` of classified rows, with a header."""
+    _write_counts(error_counts(analysis_summary(rows)), path, header=True)
 
 
 def write_auth_events(rows: DataFrame, path: str) -> None:
     """``auth_events`` of rows with their event, with a header."""
-    _write_counts(auth_events(rows), path, header=True)
+    _write_counts(auth_events(auth_summary(rows)), path, header=True)
 
 
 def write_dpkg_actions(latest: DataFrame, path: str) -> None:
@@ -51,6 +49,16 @@ def write_dpkg_actions(latest: DataFrame, path: str) -> None:
     _write_counts(package_actions_filled(latest), path, header=False)
 
 
+def export_counts(tables: dict[str, DataFrame], path: str) -> None:
+    """The count table of a report (``oslogs.report``) below ``path``, without reading the log again."""
+    if "auth_summary" in tables:
+        _write_counts(auth_events(tables["auth_summary"]), f"{path}/auth_events", header=True)
+    elif "package_actions" in tables:
+        _write_counts(tables["package_actions"], f"{path}/dpkg_actions", header=False)
+    elif "analysis_summary" in tables:
+        _write_counts(error_counts(tables["analysis_summary"]), f"{path}/error_counts", header=True)
+
+
 def _write_by_date(rows: DataFrame, path: str) -> None:
     """Tab-separated files per day. Rebalancing splits a big day over tasks and packs small ones together."""
     (
@@ -99,7 +107,3 @@ def write_parsed(rows: DataFrame, path: str) -> None:
         .write.partitionBy("log_date").option("partitionOverwriteMode", "dynamic").parquet(path, mode="overwrite")
     )
 
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    """Parts of one schema, stacked."""
-    return reduce(DataFrame.unionByName, parts)

@@ -152,6 +152,15 @@ def test_command_line(spark, sf_dir, tmp_path, capsys, kind):
     assert len(list(tmp_path.iterdir())) == 1
 
 
+def test_command_line_for_hosts(spark, sf_dir, tmp_path, capsys):
+    main(["host", "2024-01-15", "06:00:00", "18:00:00", derived(spark, sf_dir, "host"), "--series",
+          "paging=" + derived(spark, sf_dir, "sar"), "--processes", derived(spark, sf_dir, "ps"), "--out", str(tmp_path)])
+    shown = capsys.readouterr().out
+    assert all(name in shown for name in ("host_status", "paging_interval", "paging_series", "top_memory_processes"))
+    assert {p.name for p in tmp_path.iterdir()} == {"memory_usage", "disk_usage", "swap_usage", "paging_sar"}
+    assert [p.name for p in (tmp_path / "paging_sar").iterdir() if p.is_dir()] == ["log_date=2024-01-15"]
+
+
 def test_auth_rows_use_extracts_only_on_hits(spark, sf_dir):
     rows = auth.with_auth_event(parse.parse_iso_auth(log_lines(spark, derived(spark, sf_dir, "auth"))))
     lines = tree(auth.sudo_commands(rows)).splitlines()
