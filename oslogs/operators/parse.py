@@ -88,9 +88,15 @@ def _cut(lines: DataFrame, kind: str, days: dict[str, Column], fields: dict[str,
     projections, so that they cost nothing where they are not used and filters on them run first.
     """
     dated = with_once(lines, days).where(F.col("log_month").isNotNull() & F.col("log_day").isNotNull())
-    cut = with_once(dated.withColumn("kind", F.lit(kind)), {once: fields[once]})
-    others = {name: column for name, column in fields.items() if name != once}
-    return cut.withColumns(others).drop("value")
+    cut = with_once(dated, {once: fields[once]})
+    others = {"kind": F.lit(kind), **{name: column for name, column in fields.items() if name != once}}
+    return _with(cut, others, drop=("value",))
+
+
+def _with(rows: DataFrame, columns: dict[str, Column], drop: tuple[str, ...]) -> DataFrame:
+    """Adds (or replaces) and drops columns in one projection."""
+    kept = [c for c in rows.columns if c not in columns and c not in drop]
+    return rows.select(*kept, *(column.alias(name) for name, column in columns.items()))
 
 
 def detect_date_style(lines: DataFrame) -> DataFrame:
@@ -141,7 +147,7 @@ def parse_dpkg(lines: DataFrame, year: Year = None) -> DataFrame:
     fields = {name: F.coalesce(F.get(words, at + i), F.lit("")) for i, name in enumerate(names, start=1)}
     styled = detect_date_style(lines).where(F.col("style").isNotNull())
     cut = _cut(styled, "dpkg", days, {"words": F.split(F.trim(F.col("value")), r"\s+")}, "words")
-    return cut.withColumns(fields).drop("words")
+    return _with(cut, fields, drop=("words",))
 
 
 def parse_cbs(lines: DataFrame) -> DataFrame:
@@ -150,13 +156,14 @@ def parse_cbs(lines: DataFrame) -> DataFrame:
         {"kind": F.lit("cbs"), "style": F.lit("iso"), "log_date": iso_date(F.substring(F.col("value"), 1, 10))}
     )
     words = F.col("words")
-    return with_once(matching, {"words": F.split(F.col("value"), r"\s+", 5)}, drop=("value",)).select(
-        *(c for c in matching.columns if c != "value"),
-        F.substring(F.get(words, F.lit(1)), 1, 8).alias("log_time"),
-        F.get(words, F.lit(2)).alias("level"),
-        F.get(words, F.lit(3)).alias("app_name"),
-        F.get(words, F.lit(4)).alias("message"),
-    )
+    fields = {
+        "log_time": F.substring(F.get(words, F.lit(1)), 1, 8),
+        "level": F.get(words, F.lit(2)),
+        "app_name": F.get(words, F.lit(3)),
+        "message": F.get(words, F.lit(4)),
+    }
+    cut = with_once(matching, {"words": F.split(F.col("value"), r"\s+", 5)}, drop=("value",))
+    return _with(cut, fields, drop=("words",))
 
 
 def _split_stamp() -> tuple[Column, Column]:
