@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oslogs.llm import packing, pair_index, token_counts
+from pyspark.sql import functions as F
+
+from oslogs.llm import multi_index, packing, pair_index, token_counts, va_file
 from oslogs.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -25,7 +27,41 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = va_file.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return va_file.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_vector_packing, op4_pair_index_bpe, op8_token_counts)
+    f.__name__: f for f in (op2_vector_packing, op4_pair_index_bpe, op5_multi_index, op8_token_counts, op10_va_file)
+}
+ORACLE: dict[str, str] = {
+    "op5_multi_index": """
+        WITH RECURSIVE good AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+              AND len([x FOR x IN embedding IF x <> 0]) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98
+        ), reach(a, b) AS (
+            SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), least AS (SELECT a, min(b) AS m FROM reach GROUP BY a), degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+               vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+        FROM embeddings e LEFT JOIN least ON least.a = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id""",
+    "op10_va_file": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
-ORACLE: dict[str, str] = {}
