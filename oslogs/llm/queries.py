@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from oslogs.llm import multi_index, packing, pair_index, token_counts, va_file
-from oslogs.llm.common import table
+from oslogs.llm import multi_index, packing, pair_index, token_counts, toxicity, va_file
+from oslogs.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -31,13 +31,20 @@ def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
+    held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    return toxicity.scores(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 def op10_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = va_file.integer_vectors(table(spark, sf_dir, "embeddings"))
     return va_file.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_vector_packing, op4_pair_index_bpe, op5_multi_index, op8_token_counts, op10_va_file)
+    f.__name__: f for f in (op2_vector_packing, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op8_token_counts, op10_va_file)
 }
 ORACLE: dict[str, str] = {
     "op5_multi_index": """
