@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from oslogs.llm import multi_index, packing, pair_index, token_counts, toxicity, va_file
+from oslogs.llm import language_id, licenses, multi_index, packing, pair_index, token_counts, toxicity, va_file
 from oslogs.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -23,6 +23,13 @@ def op4_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_index.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
+def op7_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = fold(F.col("doc_id"), 4)
+    network = language_id.fit(docs.where(F.col("doc_id").isNotNull() & (part != 2)))
+    return language_id.languages(docs, network).select("doc_id", (part == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
@@ -38,13 +45,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_summary(table(spark, sf_dir, "documents"))
+
+
 def op10_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = va_file.integer_vectors(table(spark, sf_dir, "embeddings"))
     return va_file.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_vector_packing, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op8_token_counts, op10_va_file)
+    f.__name__: f for f in (op2_vector_packing, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file)
 }
 ORACLE: dict[str, str] = {
     "op5_multi_index": """
