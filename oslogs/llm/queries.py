@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from oslogs.llm import language_id, licenses, multi_index, packing, pair_index, token_counts, toxicity, va_file
+from oslogs.llm import language_id, licenses, multi_index, order_minhash, packing, pair_index, token_counts, toxicity, va_file
 from oslogs.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_50k.json"
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
@@ -55,7 +59,7 @@ def op10_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_vector_packing, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file)
+    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file)
 }
 ORACLE: dict[str, str] = {
     "op5_multi_index": """
