@@ -15,16 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oslogs.llm import bpe
-from oslogs.llm.common import fold, map_batches
+from oslogs.llm.common import fold, map_batches, written
 
-TRAIN_ROWS = 6000  # labelled rows at most that the model is fitted to, chosen by a hash of their id
+TRAIN_ROWS = 8000  # labelled rows at most that the model is fitted to, chosen by a hash of their id
 BUCKETS = 1 << 17
 GRAMS = (3, 4, 5)
 DIMENSIONS = 4
-STEPS = (30, 60, 120)  # between them, vectors that are zero are left out and those that ought not to be are taken in
+STEPS = (40, 60, 120)  # between them, vectors that are zero are left out
 RATE = 0.01
 PENALTY = 5e-3
 LEAST_ROWS = 10  # an n-gram in fewer rows of the sample has no vector
+SCREEN = 0.8  # nor has one whose gradient at the start is below this share of the penalty
 
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -76,38 +77,31 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return slots, (np.bincount(where, share[owner]) / len(begin)).astype(np.float32)
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 7) -> dict:
+def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, scale: np.ndarray, seed: int = 7) -> dict:
     """The number of every bucket and the bias, from joint training of vectors and softmax on all rows at a time.
 
-    Vectors of n-grams that do not pay for their length are shrunk to zero (a penalty on every vector's length, taken by
-    a proximal step), since most n-grams say nothing and would only learn the rows by heart. N-grams whose first
-    gradient is below that penalty are left out at first, and taken in later if they have come to exceed it.
+    ``scale`` brings buckets to a like size. Vectors of n-grams that do not pay for their length are shrunk to zero (a
+    penalty on every vector's length, taken by a proximal step), since most n-grams say nothing and would only learn the
+    rows by heart.
     """
     n = len(rows)
     share = float(labels.mean()) if n else 0.5
     if not 0 < share < 1:  # one class alone: its share everywhere
         return {"slots": np.zeros(BUCKETS, np.float32), "bias": float(np.log((share + 1e-3) / (1 - share + 1e-3)))}
-    slots = np.concatenate([s for s, _ in rows]).astype(np.int32)
-    weight = np.concatenate([w for _, w in rows])
-    owner = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s, _ in rows])
-    often = np.bincount(slots, minlength=BUCKETS) >= min(LEAST_ROWS, max(1, n // 20))
-    scale = np.where(often, 1 / (np.sqrt(np.bincount(slots, weight**2, BUCKETS) / n) + 1e-5), 0)
-    weight = (weight * scale[slots]).astype(np.float32)
-
+    slots = np.concatenate([s for s, _ in rows])
+    weight = np.concatenate([w for _, w in rows]) * scale[slots]
+    owner = np.repeat(np.arange(n), [len(s) for s, _ in rows])
     rng = np.random.default_rng(seed)
     w = rng.normal(size=(DIMENSIONS, 2))
     w /= np.linalg.norm(w[:, 1] - w[:, 0])
     bias = np.log([1 - share, share])
     vectors = np.zeros((BUCKETS, DIMENSIONS))
     truth = np.stack([1 - labels, labels], 1)
-    active = np.zeros(BUCKETS, bool)
+    active = np.bincount(slots, minlength=BUCKETS) > 0
     for steps in STEPS:
-        wrong = (_softmax(_means(slots, weight, owner, vectors, active, n) @ w + bias) - truth) / n
-        pull = np.abs(np.bincount(slots, weight * wrong[owner, 1], BUCKETS))
-        active |= often & (pull >= PENALTY)
         used = np.flatnonzero(active)
         mine = active[slots]
-        number = np.zeros(BUCKETS, np.int32)
+        number = np.zeros(BUCKETS, np.int64)
         number[used] = np.arange(len(used))
         s, v, o = number[slots[mine]], weight[mine], owner[mine]
         e = ahead = vectors[used]
@@ -135,12 +129,6 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(1, keepdims=True)
 
 
-def _means(slots, weight, owner, vectors, active, n) -> np.ndarray:
-    mine = active[slots]
-    s, v, o = slots[mine], weight[mine], owner[mine]
-    return np.stack([np.bincount(o, v * vectors[s, d], n) for d in range(vectors.shape[1])], 1)
-
-
 class Scorer:
     """Scores of whole texts."""
 
@@ -187,7 +175,8 @@ class Scorer:
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> dict:
     """The model for at most ``rows`` rows of ``labelled`` (those with the least hash of their id; null labels don't count).
 
-    Features are made where the rows are; the driver gets those of the sample alone.
+    Features are made where the rows are, and summed up there for the first gradient; the driver gets those of the sample
+    whose gradient stands out.
     """
     key, text, label = (F.col(f"`{c}`") for c in (id_col, text_col, label_col))
     few = labelled.where(label.isNotNull()).select(key.cast("bigint").alias("id"), F.coalesce(text, F.lit("")).alias("text"), label.cast("int").alias("label"))
@@ -198,9 +187,27 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
             found = [features(t) for t in batch.column(0).to_pylist()]
             yield {"slots": [s.astype(np.int32) for s, _ in found], "weights": [w for _, w in found], "label": batch.column(1)}
 
-    got = map_batches(few.select("text", "label"), make, "slots array<int>, weights array<float>, label int").toArrow()
+    schema = "slots array<int>, weights array<float>, label int"
+    table = written(map_batches(few.select("text", "label"), make, schema), "features")
+    n, positive = table.agg(F.count("*"), F.coalesce(F.avg((F.col("label") > 0).cast("double")), F.lit(0.0))).first()
+    pairs = table.select((F.col("label") > 0).cast("double").alias("y"), F.explode(F.arrays_zip("slots", "weights")).alias("f")).select("y", "f.*")
+    x = F.col("weights").cast("double")
+    sums = pairs.groupBy("slots").agg(F.count("*").alias("rows"), F.sum(x * x).alias("square"), F.sum(x * (F.lit(positive) - F.col("y"))).alias("slope"))
+    size = F.lit(1.0) / (F.sqrt(F.col("square") / max(1, n)) + 1e-5)
+    good = (F.col("rows") >= min(LEAST_ROWS, max(1, n // 20))) & (F.abs(F.col("slope")) * F.col("scale") / max(1, n) >= SCREEN * PENALTY)
+    chosen = sums.withColumn("scale", size).where(good).select("slots", "scale").toPandas()  # BUCKETS rows at most
+    scale = np.zeros(BUCKETS)
+    scale[chosen["slots"].to_numpy(int)] = chosen["scale"]
+
+    def keep(batches):
+        for batch in batches:
+            found = [(np.array(s, np.int32), np.array(w, np.float32)) for s, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            found = [(s[scale[s] > 0], w[scale[s] > 0]) for s, w in found]
+            yield {"slots": [s for s, _ in found], "weights": [w for _, w in found], "label": batch.column(2)}
+
+    got = map_batches(table, keep, schema).toArrow()
     flat = [(np.asarray(got.column(0)[i].values), np.asarray(got.column(1)[i].values)) for i in range(got.num_rows)]
-    return train(flat, (got.column(2).to_numpy() > 0).astype(int) if got.num_rows else np.zeros(0, int))
+    return train(flat, (got.column(2).to_numpy() > 0).astype(int) if got.num_rows else np.zeros(0, int), scale)
 
 
 def scores(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
