@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -29,6 +28,17 @@ def map_batches(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterat
     return df.mapInArrow(run, schema)
 
 
+def filter_batches(df: DataFrame, column: str, keep: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows whose value of a column is kept, with all their columns."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "float": pa.float32()}
 
 
@@ -50,7 +60,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def fold(column, parts: int):
     """crc32 of an id as text, modulo parts; an id that is null counts as fold 0."""
     return F.coalesce(F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(parts)), F.lit(0))
-
-
-def model_text(model: dict) -> str:
-    return json.dumps(model)

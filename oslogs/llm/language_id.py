@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oslogs.llm.common import map_batches
+from oslogs.llm.common import filter_batches, map_batches
 
 ROWS_PER_LANGUAGE = 600  # rows of each language, at most, that the network is fitted to, chosen by a hash of their id
 TRAIN_ROWS = 12_000  # rows in all, at most
@@ -237,3 +237,13 @@ def languages(df: DataFrame, network: Network, id_col: str = "doc_id", text_col:
 
     few = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return map_batches(few, rows, "id bigint, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def recognised(df: DataFrame, network: Network, text_col: str = "text", least: float = 0.35) -> DataFrame:
+    """The rows, with all columns, whose language is known with a probability of at least ``least``.
+
+    A text that is null or has no letter is not. A network that knows no language keeps every row.
+    """
+    if not network.languages:
+        return df
+    return filter_batches(df, text_col, lambda texts: [x != UNKNOWN and s >= least for x, s in network.predict(texts)])

@@ -273,3 +273,13 @@ def near_documents(df: DataFrame, similarity: float = SIMILARITY, id_col: str =
     return out.select(
         F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), component).alias("class_id"),
         F.coalesce("copies", F.lit(1)).cast("bigint").alias("copies"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
+
+
+def one_of_each(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all columns, of one document of each class: the one with the smallest id.
+
+    Of rows that share that id one stays; rows with a null id all stay, and so does one row of each id with a null text.
+    """
+    kept = near_documents(df, similarity, id_col, text_col).where(F.col("kept") & F.col(f"`{id_col}`").isNotNull()).select(id_col).distinct()
+    known = df.where(F.col(f"`{id_col}`").isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    return known.select(df.columns).unionByName(df.where(F.col(f"`{id_col}`").isNull()))

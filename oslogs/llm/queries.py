@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from oslogs.llm import language_id, licenses, multi_index, order_minhash, packing, pair_index, token_counts, toxicity, va_file
+from oslogs.llm import language_id, licenses, multi_index, order_minhash, packing, pair_index, token_counts, toxicity, va_file, wrapper
 from oslogs.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -23,6 +23,10 @@ def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
+def op3_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_index.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
@@ -59,7 +63,7 @@ def op10_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file)
+    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op3_wrapper_induction, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file)
 }
 ORACLE: dict[str, str] = {
     "op5_multi_index": """

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oslogs.llm import bpe
-from oslogs.llm.common import fold, map_batches, written
+from oslogs.llm.common import filter_batches, fold, map_batches, written
 
 TRAIN_ROWS = 8000  # labelled rows at most that the model is fitted to, chosen by a hash of their id
 BUCKETS = 1 << 17
@@ -85,7 +85,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, scale:
     rows by heart.
     """
     n = len(rows)
-    share = float(labels.mean()) if n else 0.5
+    share = float(labels.mean()) if n else 0.0
+    if not n:  # nothing is known: nothing is toxic
+        return {"slots": np.zeros(BUCKETS, np.float32), "bias": -10.0}
     if not 0 < share < 1:  # one class alone: its share everywhere
         return {"slots": np.zeros(BUCKETS, np.float32), "bias": float(np.log((share + 1e-3) / (1 - share + 1e-3)))}
     slots = np.concatenate([s for s, _ in rows])
@@ -236,3 +238,8 @@ def labelled(docs: DataFrame, labels: DataFrame, folds: int = 5, out: int = 0, r
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != out))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+
+
+def clean(df: DataFrame, model: dict, text_col: str = "text", most: float = 0.5) -> DataFrame:
+    """The rows, with all columns, whose text scores below ``most``; a null text has the score of the bias alone."""
+    return filter_batches(df, text_col, lambda texts: [s < most for s in Scorer(model)(texts)])
