@@ -1,4 +1,4 @@
-"""``spark-submit oslogs/__main__.py`` or ``python -m oslogs``: print the report of one log, optionally export its counts.
+"""``spark-submit oslogs/__main__.py`` or ``python -m oslogs``: print the report of one log, optionally export all of it.
 
     python -m oslogs mem 2024-11-09 00:00:00 23:59:59 /logs/syslog
     python -m oslogs ubu 2024-11-01 00:00:00 23:59:59 /logs/syslog --last 2024-11-09 --out /data/counts
@@ -26,12 +26,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--last", help="last day of a range")
     parser.add_argument("--exclusive", action="store_true", help="leave out both outer days of the range")
     parser.add_argument("--all-bsd-times", action="store_true", help="no time filter on year-less lines")
-    parser.add_argument("--year", type=int, help="year of year-less lines")
+    parser.add_argument("--year", type=lambda text: text if text == "modified" else int(text), help="year of year-less lines, or 'modified'")
+    parser.add_argument("--by-name", action="store_true", help="the last file by name holds the last lines, not the one changed last")
+    parser.add_argument("--header", help="tab-separated column names that hold for all System exports")
     parser.add_argument("--landed", action="store_true", help="the path is a table of parsed rows")
     parser.add_argument("--series", action="append", default=[], metavar="KIND=PATH", help="exported series of a host report")
     parser.add_argument("--processes", metavar="PATH", help="process samples of a host report")
     parser.add_argument("--as-of", help="refuse days more than a week before this one (host report)")
-    parser.add_argument("--rows", type=int, default=50, help="rows shown per table")
+    parser.add_argument("--rows", type=int, default=50, help="rows shown per table; exports have all")
     parser.add_argument("--out", help="folder for the exported tables")
     return parser.parse_args(argv)
 
@@ -45,15 +47,16 @@ def main(argv: list[str] | None = None) -> None:
         samples = process_samples(spark, args.processes) if args.processes else None
         tables = host_report(snapshots, args.date, args.start, args.end, series, samples, args.as_of)
         if args.out:
-            sinks.write_host_status(snapshots.where(snapshots.ts.cast("date") == args.date), args.out)
-            sinks.write_sar_dumps({k: rows.where(rows.log_date == args.date) for k, rows in series.items()}, args.out)
+            sinks.write_tables(tables, args.out)
     else:
         rows = analyze(
             spark, args.kind, args.date, args.start, args.end, args.path, args.last,
-            "neither" if args.exclusive else "both", not args.all_bsd_times, args.year, landed=args.landed,
+            "neither" if args.exclusive else "both", not args.all_bsd_times, args.year, not args.by_name,
+            args.header.split("\t") if args.header else None, args.landed,
         )
         tables = report(rows, args.kind)
         if args.out:
+            sinks.write_tables(tables, args.out)
             sinks.export_counts(tables, args.out)
     for name, table in tables.items():
         print(name)

@@ -18,12 +18,13 @@ KINDS = (*SYSLOG_KINDS, "auth", "auth_t", "dpkg", "cbs", "wsys", "wsec")
 
 def parsed(
     spark: SparkSession, kind: str, path: str | None = None, days: tuple | None = None,
-    year: parse.Year = None, newest_last: bool = False, header: list[str] | None = None,
+    year: parse.Year = None, newest_last: bool = True, header: list[str] | None = None,
 ) -> DataFrame:
     """Parsed rows of one family's log.
 
     ``days`` (first, last) drops lines of other days before they are cut up, and reads only those
-    days of a log kept in ``log_date=`` directories. ``header`` fixes the columns of a System export.
+    days of a log kept in ``log_date=`` directories. ``header`` fixes the columns of a System export. The last line is
+    that of the file changed last (rotated logs), or with ``newest_last=False`` of the file that is last by name.
     """
     if kind not in KINDS:
         raise ValueError(f"unknown kind {kind!r}; one of {', '.join(KINDS)}")
@@ -55,7 +56,7 @@ def labelled(rows: DataFrame, kind: str) -> DataFrame:
 def analyze(
     spark: SparkSession, kind: str, date: str, start: str = "00:00:00", end: str = "23:59:59",
     path: str | None = None, last: str | None = None, inclusive: str = "both",
-    bsd_time_filter: bool = True, year: parse.Year = None, newest_last: bool = False,
+    bsd_time_filter: bool = True, year: parse.Year = None, newest_last: bool = True,
     header: list[str] | None = None, landed: bool = False,
 ) -> DataFrame:
     """Parsed and labelled rows of a day (or days up to ``last``) and time window of one log.
@@ -85,7 +86,7 @@ def report(rows: DataFrame, kind: str) -> dict[str, DataFrame]:
         return {
             "package_report": packages.package_report(latest),
             "package_action_counts": packages.package_action_counts(latest),
-            "package_bars": bars.package_bars(latest),
+            "package_bars": packages.nonzero_guard(bars.package_bars(latest), n="n"),
             "package_actions": packages.package_actions_filled(latest),
         }
     if kind in ("auth", "auth_t"):
@@ -99,7 +100,7 @@ def report(rows: DataFrame, kind: str) -> dict[str, DataFrame]:
             "sessions_by_app": auth.sessions_by_app(counts),
             "other_events_by_app": auth.other_events_by_app(counts, keep_unnamed=not strict),
             "auth_summary": summary,
-            "auth_bars": bars.auth_bars(summary),
+            "auth_bars": packages.nonzero_guard(bars.auth_bars(summary), n="n"),
         }
     summary = checkpointed(severity.summarize(rows))
     totals = severity.analysis_summary(summary)
@@ -118,7 +119,8 @@ def host_report(
     """Status, half-hour averages and top processes of one day and time window.
 
     ``series`` holds ``sar_series`` frames by kind. With ``as_of`` the day must lie within the
-    seven days before it. Processes are listed only when swap use was high in the window.
+    seven days before it. Processes are listed, per host and day where the samples name them, only when swap use was
+    high in the window.
     """
     day = check_recent(date, as_of) if as_of else as_date(date)
     window = f"{day} {as_time(start)}", f"{day} {as_time(end)}.999999"
@@ -130,5 +132,10 @@ def host_report(
         if kind == "paging":
             tables["paging_series"] = host.paging_series(within(rows))
     if samples is not None:
-        tables["top_memory_processes"] = host.top_memory_processes(samples, snapshots=readings)
+        if "ts" in samples.columns:
+            samples = within(samples)
+        elif "log_date" in samples.columns:
+            samples = filters.on_date(samples, day)
+        by = tuple(c for c in ("host", "log_date") if c in samples.columns)
+        tables["top_memory_processes"] = host.top_memory_processes(samples, snapshots=readings, by=by)
     return tables

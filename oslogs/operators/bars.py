@@ -33,7 +33,8 @@ def scaled(n: Column, largest: Column, width: int) -> Column:
 def severity_bars(summary: DataFrame, family: str) -> DataFrame:
     """``category, n, bar_len`` of the four totals in an ``analysis_summary`` row.
 
-    The wide style draws the net successes, the narrow one the raw ones.
+    The wide style draws the net successes, the narrow one the raw ones. Where the shortest bar has one unit, four
+    zeros draw nothing at all.
     """
     style = BAR_STYLES[family]
     success = "net_success" if style["width"] == 120 else "success_count"
@@ -49,6 +50,8 @@ def severity_bars(summary: DataFrame, family: str) -> DataFrame:
             F.lit(name).alias("category"), F.col(column).cast("long").alias("n"),
             (length + lead).cast("long").alias("bar_len"),
         ))
+    if style["least"]:
+        summary = summary.where(F.greatest(*totals.values()) > 0)
     return summary.select(F.inline(F.array(*bars)))
 
 

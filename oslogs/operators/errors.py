@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.extract import hresult_code, hresult_label, hresult_name
@@ -10,17 +10,15 @@ from ..functions.rules import ERROR_TABLE, HRESULT_NAMES
 from .severity import weight
 
 
+def _texts(texts) -> Column:
+    return F.array(*map(F.lit, texts))
+
+
 def _fixed(spark: SparkSession, rows, names: str) -> DataFrame:
     """Fixed rows as a local relation, whose size Spark knows."""
     return spark.sql(f"VALUES {', '.join(str(tuple(row)) for row in rows)} AS fixed({names})")
 
 
-def error_rows(spark: SparkSession, family: str) -> DataFrame:
-    """The family's table rows: ``position, error, error_message``."""
-    rows = [(i, error, message) for i, (error, message) in enumerate(ERROR_TABLE[family])]
-    return _fixed(spark, rows, "position, error, error_message")
-
-
 def error_types_by_app(rows: DataFrame) -> DataFrame:
     """Hits per error type and application; a row with several types counts for each."""
     kept = ["app_name", *(c for c in rows.columns if c == "n")]
@@ -31,15 +29,16 @@ def error_types_by_app(rows: DataFrame) -> DataFrame:
 def zero_fill_errors(counts: DataFrame, family: str) -> DataFrame:
     """Every type of the family's table; a type without hits gets one row (``N/A``, 0).
 
-    The table side has a dozen rows at most. The counts grow with the applications, so how they
-    are joined is left to Spark's size estimate.
+    No join: a type finds its place and message among a dozen fixed ones, and the types that no count has are those
+    left of them by one small aggregate.
     """
-    return error_rows(counts.sparkSession, family).join(counts, "error", "left").select(
-        "position", "error",
-        F.coalesce("app_name", F.lit("N/A")).alias("app_name"),
-        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-        "error_message",
-    )
+    types, messages = (_texts(column) for column in zip(*ERROR_TABLE[family]))
+    place = F.array_position(types, F.col("error")).cast("int")
+    found = counts.where(place > 0).select("error", "app_name", F.col("n").cast("long").alias("n"))
+    # all columns of the counts are used, so that both branches share one exchange and the log is scanned once
+    left = F.array_except(types, F.collect_set(F.when(F.col("n") > 0, F.col("error"))))
+    missing = found.agg(left.alias("left")).select(F.explode("left").alias("error"), F.lit("N/A").alias("app_name"), F.lit(0).cast("long").alias("n"))
+    return found.unionByName(missing).select((place - 1).alias("position"), "error", "app_name", "n", F.get(messages, place - 1).alias("error_message"))
 
 
 def error_table(rows: DataFrame, family: str) -> DataFrame:

@@ -106,7 +106,8 @@ def nonempty_message(rows: DataFrame) -> DataFrame:
 
 def well_formed_windows(lines: DataFrame) -> DataFrame:
     """Tab-separated lines of at least five fields, not all blank."""
-    return lines.where((F.size(F.split("value", "\t")) >= 5) & (F.translate("value", "\t ", "") != ""))
+    tabs = F.length("value") - F.length(F.translate("value", "\t", ""))
+    return lines.where((tabs >= 4) & (F.translate("value", "\t ", "") != ""))
 
 
 def package_actions_only(rows: DataFrame) -> DataFrame:
@@ -145,13 +146,15 @@ def raw_days(first: Day, last: Day) -> Column:
     return F.substring(value, 1, 10).between(str(d0), str(d1)) | F.substring(value, 1, 3).isin(*months)
 
 
-def raw_windows_days(first: Day, last: Day) -> Column | None:
-    """The same for tab-separated Windows lines: one of the days, or a header; None for over a month."""
+def raw_windows_days(first: Day, last: Day) -> Column:
+    """The same for tab-separated Windows lines: one of the days, or a header.
+
+    A long range is tested by its months, a very long one by its years.
+    """
     d0, d1 = as_date(first), as_date(last)
-    days = [d0 + dt.timedelta(days=i) for i in range((d1 - d0).days + 1)]
-    if len(days) > 31:
-        return None
-    return contains_any(F.col("value"), ("Date and Time", *(f"{day:%d-%m-%Y}" for day in days)))
+    days = (d0 + dt.timedelta(days=i) for i in range((d1 - d0).days + 1))
+    form = "%d-%m-%Y" if (d1 - d0).days <= 31 else "-%m-%Y" if (d1 - d0).days <= 732 else "-%Y"
+    return contains_any(F.col("value"), ("Date and Time", *dict.fromkeys(day.strftime(form) for day in days)))
 
 
 def in_window(

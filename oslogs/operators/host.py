@@ -95,8 +95,9 @@ def sar_interval(series: DataFrame, step: str = STEP) -> DataFrame:
 
 
 def paging_series(series: DataFrame) -> DataFrame:
-    """Time, pgpgin and pgpgout in time order."""
-    return series.select("ts", "pgpgin", "pgpgout").orderBy("ts")
+    """Host, day, time, pgpgin and pgpgout; each host's day is in time order."""
+    days = series.select("host", "log_date", "ts", "pgpgin", "pgpgout").repartition("host", "log_date")
+    return days.sortWithinPartitions("host", "log_date", "ts")
 
 
 def top_memory_processes(

@@ -18,6 +18,7 @@ from .once import with_once
 
 Year = int | str | None  # a year, "modified" (from the file's last change), or not known
 
+# --- Fixed values: the form of a component-servicing line ---------------------
 CBS_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\s+[0-9]{2}:[0-9]{2}:[0-9]{2},\s+[A-Za-z]+\s+[A-Za-z0-9_]+\s+"
 )
@@ -105,8 +106,10 @@ def detect_date_style(lines: DataFrame) -> DataFrame:
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
-    """Lines whose date style is unknown; parsing drops them."""
-    return lines.where(date_style(F.col("value")).isNull())
+    """Lines that parsing drops: of unknown date style, or of a month or day that does not exist."""
+    days = _by_style(_iso_days(F.substring(F.col("value"), 1, 10)), _bsd_days(None))
+    dated = with_once(detect_date_style(lines), {"dated": days["log_month"].isNotNull() & days["log_day"].isNotNull()})
+    return dated.where(F.col("style").isNull() | ~F.col("dated")).drop("style", "dated")
 
 
 def parse_iso_syslog(lines: DataFrame, kind: str = "mem") -> DataFrame:

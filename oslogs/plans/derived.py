@@ -69,6 +69,7 @@ LEVELS = ("Information", "Warning", "Error")
 SECURITY_ACTIONS = ("Logon", "Logoff", "Special Logon", "User Account Management", "Credential Validation")
 SYSTEM_HEADER = ("Level", "Source", "Date and Time", "Event ID", "Task Category")
 PAGING_HEADER = ("pgpgin/s", "pgpgout/s")
+SAR_METRICS = {"memory": ("kbmemfree", "kbavail"), "paging": ("pgpgin", "pgpgout"), "swapping": ("pswpin", "pswpout")}
 
 
 def _list(pool: tuple[str, ...], spark: bool) -> str:
@@ -120,7 +121,11 @@ def line_sql(kind: str, spark: bool) -> str:
     if kind == "bsd":
         return f"{bsd} || {host} || {tag} || {pick(SYSLOG_MESSAGES, number)}"
     if kind == "mixed":
-        return f"case when event_id % 2 = 0 then {line_sql('iso', spark)} else {line_sql('bsd', spark)} end"
+        whole = f"case when event_id % 2 = 0 then {line_sql('iso', spark)} else {line_sql('bsd', spark)} end"
+        return (  # now and then a day or month that does not exist
+            "case when event_id % 101 = 7 then '2024-13-45T10:00:00.1+00:00 h a[1]: error' "
+            f"when event_id % 101 = 8 then 'Foo  9 10:00:00 h a[1]: error' else {whole} end"
+        )
     if kind == "sol":
         return (
             f"{bsd} || ' solaris-host genunix: [ID ' || {text('event_id % 1000')} || ' kern.' || "
@@ -181,6 +186,9 @@ def table_columns(kind: str, spark: bool) -> list[str]:
             host, "cast(ts as date) as log_date", "date_trunc('second', ts) as ts",
             f"cast({k} as double) as pgpgin", "cast(event_id % 1000 as double) as pgpgout",
         ]
+    if kind.startswith("sar_"):
+        first, second = SAR_METRICS[kind.removeprefix("sar_")]
+        return [*table_columns("sar", spark)[:3], f"cast({k} as double) as {first}", f"cast(event_id % 1000 as double) as {second}"]
     raise ValueError(kind)
 
 
@@ -215,6 +223,18 @@ def _write(spark: SparkSession, sf_dir: str, kind: str, path: str) -> None:
         row = F.format_string("%s %8.2f %8.2f", F.date_format("ts", "HH:mm:ss"), "pgpgin", "pgpgout")
         named = series.select(row.alias("value"), "host", "log_date").hint("rebalance", "host", "log_date")
         named.write.partitionBy("host", "log_date").text(path)
+    elif kind.startswith("sar_"):
+        first, second = SAR_METRICS[kind.removeprefix("sar_")]
+        unit = "" if kind == "sar_memory" else "/s"
+        turned = F.col("host") == "host1"  # this host's files have their columns the other way round
+        series = source.selectExpr(*table_columns(kind, spark=True))
+        pair = lambda a, b: F.when(turned, F.concat(b, F.lit("  "), a)).otherwise(F.concat(a, F.lit("  "), b))
+        row = F.concat(F.date_format("ts", "HH:mm:ss"), F.lit("  "), pair(F.format_string("%.2f", first), F.format_string("%.2f", second)))
+        heads = series.select("host", "log_date").distinct().select(
+            F.concat(F.lit("00:00:01  "), pair(F.lit(first + unit), F.lit(second + unit))).alias("value"), "host", "log_date", F.lit(0).alias("at"))
+        lines = series.select(row.alias("value"), "host", "log_date", F.lit(1).alias("at")).unionByName(heads)
+        lines = lines.repartition("host", "log_date").sortWithinPartitions("host", "log_date", "at").drop("at")
+        lines.write.partitionBy("host", "log_date").text(path)
     elif kind == "synthetic":
         ids = source.select(F.col("event_id").alias("id"), "ts")
         lines = synthetic.solaris_lines(ids, F.col("ts"), success_of(F.col("id")), number_of)
@@ -224,6 +244,8 @@ def _write(spark: SparkSession, sf_dir: str, kind: str, path: str) -> None:
         if kind in ("iso", "mixed", "dpkg"):  # their queries depend on the order of the lines
             lines = lines.orderBy("event_id")
         lines = lines.select("value")
+        if kind == "dpkg":  # in one file, whose last line is the last
+            lines = lines.coalesce(1)
         if kind == "wsys":
             lines = _with_header(lines, "\t".join(SYSTEM_HEADER))
         lines.write.text(path)

@@ -75,16 +75,23 @@ def mixed_rows() -> str:
     iso = (
         f"select event_id, 'iso' as style, log_date, cast(month(log_date) as int) as log_month, "
         f"cast(day(log_date) as int) as log_day, log_time, app_name, message from "
-        f"(select event_id, {_ISO} from {lines} where regexp_matches(value, '^{DATE_RE}'))"
+        f"(select event_id, {_ISO} from {lines} where regexp_matches(value, '^{DATE_RE}')) where log_date is not null"
     )
     bsd = (
         f"select event_id, 'bsd' as style, cast(null as date) as log_date, cast({_BSD_MONTH} as int) as log_month, "
         f"{_BSD_DAY} as log_day, {_BSD_TIME} as log_time, {_BSD_APP} as app_name, {_BSD_MESSAGE} as message "
-        f"from {lines} where regexp_matches(value, '^[A-Za-z]{{3}}\\s+[0-9]{{1,2}}')"
+        f"from {lines} where regexp_matches(value, '^[A-Za-z]{{3}}\\s+[0-9]{{1,2}}') and {_BSD_MONTH} > 0"
     )
     return f"select * from (({iso}) union all ({bsd})) where message <> ''"
 
 
+def mixed_ids() -> str:
+    """Numbers of the mixed log's lines that have a date."""
+    iso = f"regexp_matches(value, '^{DATE_RE}') and try_cast(substr(value, 1, 10) as date) is not null"
+    bsd = f"regexp_matches(value, '^[A-Za-z]{{3}}\\s+[0-9]{{1,2}}') and {_BSD_MONTH} > 0"
+    return f"select event_id from ({lines_sql('mixed')}) where ({iso}) or ({bsd})"
+
+
 def auth_rows(tail: bool = False) -> str:
     message = "trim(split_part(value, ']: ', 2), ' ')" if tail else "value"
     rows = (

@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions import extract
-from ..functions.classify import auth_event
+from ..functions.classify import auth_event, category
 from ..functions.dates import normalise_date
 from ..functions.rules import AUTH_COUNT_LABELS, PACKAGE_ACTIONS, SEVERITY_LABELS
 from ..operators import auth, bars, errors, filters, host, packages, parse, severity
+from ..operators.once import with_once
+from ..session import checkpointed
 from ..sources import synthetic
 from ..sources.host import host_snapshots, process_samples, sar_series
 from ..sources.tables import parsed_rows, read_counts
 from ..sources.text import log_lines
 from ..sources.windows import windows_security, windows_system
 from . import oracle as o
-from .derived import PAGING_HEADER, SYSTEM_HEADER, derived, fresh_dir, lines_sql, table_sql
+from .derived import PAGING_HEADER, SAR_METRICS, SYSTEM_HEADER, derived, fresh_dir, lines_sql, table_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,7 +62,7 @@ def _auth(spark, sf):
 
 
 def _dpkg(spark, sf):
-    return parse.parse_dpkg(_lines(spark, sf, "dpkg"))
+    return parse.parse_dpkg(log_lines(spark, derived(spark, sf, "dpkg"), newest_last=True))
 
 
 def _latest(spark, sf):
@@ -429,13 +431,9 @@ def _(spark, sf):
     return errors.error_types_by_app(_types(spark, sf, "ubu"))
 
 
-@query("zero_fill_errors", o.filled_types(
-    f"select * from ({o.mixed_rows()}) where (log_date = date '{SLOT[0]}' or (log_date is null and log_month = 1 and "
-    f"log_day = 15)) and log_time between '{SLOT[1]}' and '{SLOT[2]}'", "mem"))
+@query("zero_fill_errors", o.filled_types(o.mixed_rows(), "mem"))
 def _(spark, sf):
-    rows = filters.in_window(_mixed(spark, sf), *SLOT)
-    counts = errors.error_types_by_app(severity.with_error_types(rows, "mem"))
-    return errors.zero_fill_errors(counts, "mem").drop("position")
+    return errors.zero_fill_errors(errors.error_types_by_app(_types(spark, sf, "mem")), "mem").drop("position")
 
 
 @query("hresult_counts", f"select {o.hresult_name(o.hresult())} as hresult, count(*) as n from ({o.cbs_rows()}) "
@@ -512,9 +510,16 @@ _WIDE = {"mem": (1, 1, 0, 100), "mac": (1, 0, 0, 100), "sol": (1, 0, 0, 100), "p
     f"select '{family}' as family, * from ({o.wide_bars(_family_sql(family), family, *style)})"
     for family, style in _WIDE.items()))
 def _(spark, sf):
+    """The four families of the mixed log are classified and counted in one scan."""
+    mixed = [family for family in _WIDE if _FAMILY_LOG[family] == "mixed"]
+    rows = with_once(_mixed(spark, sf), {"labels": F.array(*(
+        F.struct(F.lit(family).alias("family"), category(F.col("message"), family).alias("category")) for family in mixed))})
+    counts = checkpointed(rows.select(F.inline("labels")).groupBy("family", "category").agg(F.count("*").alias("n")))
+    by_family = {family: counts.where(F.col("family") == family) for family in mixed}
+    by_family |= {family: _category(spark, sf, family) for family in _WIDE if family not in by_family}
     drawn = [
-        bars.severity_bars(severity.analysis_summary(_category(spark, sf, family)), family)
-        .select(F.lit(family).alias("family"), "*") for family in _WIDE
+        bars.severity_bars(severity.analysis_summary(rows), family).select(F.lit(family).alias("family"), "*")
+        for family, rows in by_family.items()
     ]
     return reduce(DataFrame.unionByName, drawn)
 
@@ -608,7 +613,7 @@ def _(spark, sf):
     return host.used_free_split(_snapshots(spark, sf))
 
 
-@query("paging_series", f"select ts, pgpgin, pgpgout from ({table_sql('sar')})")
+@query("paging_series", f"select host, log_date, ts, pgpgin, pgpgout from ({table_sql('sar')})")
 def _(spark, sf):
     return host.paging_series(_paging(spark, sf))
 
@@ -623,6 +628,14 @@ def _(spark, sf):
     return top.select("user", "pct_mem", "command", "event_id")
 
 
+@query("top_memory_processes_by_host", f"""with high as (select distinct host, cast(ts as date) as log_date from ({_SWAP_STATUS}) where status = 'High')
+       select "user", pct_mem, command, event_id, host, log_date from (select *, row_number() over
+       (partition by host, log_date order by pct_mem desc, event_id) as rn from ({table_sql("ps")})
+       where (host, log_date) in (select (host, log_date) from high)) where rn <= 10""")
+def _(spark, sf):
+    return host.top_memory_processes(_samples(spark, sf), snapshots=_snapshots(spark, sf), by=("host", "log_date"), ties=("event_id",))
+
+
 # --- tables and reports -----------------------------------------------------------
 @query("ranked_apps", o.by_app(o.mixed_rows(), "proc"))
 def _(spark, sf):
@@ -712,31 +725,50 @@ def _(spark, sf):
 
 
 @query("write_host_status", " union all ".join(
-    f"select host, ts, metric, used, {total} as total, {pct} as pct, cast(ts as date) as log_date from ({part})"
-    for part, total, pct in (
-        (_MEM_SQL, "total", "cast(pct as double)"), (_DISK_SQL, "null", "null"), (_SWAP_SQL, "total", "cast(pct as double)"))))
+    f"select host, ts, used, total, cast(pct as double) as pct, status, metric, cast(ts as date) as log_date from (select {_STATUS_COLUMNS} from ({part}))"
+    for part in (_MEM_STATUS, _DISK_STATUS, _SWAP_STATUS)))
 def _(spark, sf):
     path = fresh_dir(spark, "host_status")
     sinks.write_host_status(_snapshots(spark, sf), path)
-    read = lambda name, schema: spark.read.csv(
-        f"{path}/{name}", sep="\t", header=True, schema=f"host STRING, ts TIMESTAMP_NTZ, {schema}, log_date DATE")
-    wide = "used INT, total INT, pct DOUBLE"
-    parts = {
-        "memory": read("memory_usage", wide),
-        "disk": read("disk_usage", "used INT").withColumns(
-            {"total": F.lit(None).cast("int"), "pct": F.lit(None).cast("double")}),
-        "swap": read("swap_usage", wide),
-    }
-    return reduce(DataFrame.unionByName, (d.withColumn("metric", F.lit(m)) for m, d in parts.items()))
+    return spark.read.csv(path, sep="\t", header=True, schema=(
+        "ts TIMESTAMP_NTZ, used INT, total INT, pct DOUBLE, status STRING, metric STRING, log_date DATE, host STRING"))
+
+
+_DUMPED = ("memory", "paging", "swapping")
 
 
-@query("write_sar_dumps", f"select host, log_date, ts, pgpgin, pgpgout from ({table_sql('sar')})")
+@query("write_sar_dumps", " union all ".join(
+    f"select '{kind}' as kind, host, log_date, ts, {first} as first_metric, {second} as second_metric from ({table_sql('sar_' + kind)})"
+    for kind, (first, second) in SAR_METRICS.items()))
 def _(spark, sf):
     path = fresh_dir(spark, "sar_dumps")
-    sinks.write_sar_dumps({"paging": _paging(spark, sf)}, path)
-    return spark.read.csv(
-        f"{path}/paging_sar", sep="\t", header=True,
-        schema="host STRING, ts TIMESTAMP_NTZ, pgpgin DOUBLE, pgpgout DOUBLE, log_date DATE")
+    sinks.write_sar_dumps({kind: sar_series(spark, derived(spark, sf, f"sar_{kind}"), kind) for kind in _DUMPED}, path)
+    dumps = []
+    for kind, (first, second) in SAR_METRICS.items():
+        dump = spark.read.csv(f"{path}/{kind}_sar", sep="\t", header=True)
+        dumps.append(dump.select(
+            F.lit(kind).alias("kind"), F.col("host").cast("string"), F.col("log_date").cast("date"), F.col("ts").cast("timestamp_ntz"),
+            F.col(first).cast("double").alias("first_metric"), F.col(second).cast("double").alias("second_metric")))
+    return reduce(DataFrame.unionByName, dumps)
+
+
+def _register_series(kind: str) -> None:
+    """The series of one more kind, whose files name their columns in either order."""
+    first, second = SAR_METRICS[kind]
+
+    @query(f"sar_series_{kind}", f"select host, log_date, ts, {first}, {second} from ({table_sql('sar_' + kind)})")
+    def _(spark, sf):
+        return sar_series(spark, derived(spark, sf, f"sar_{kind}"), kind).select("host", "log_date", "ts", first, second)
+
+    @query(f"sar_interval_{kind}", f"select host, time_bucket(interval '30 minutes', ts) as bucket, round(avg({first}), 6) as {first}, "
+           f"round(avg({second}), 6) as {second} from ({table_sql('sar_' + kind)}) group by 1, 2")
+    def _(spark, sf):
+        averages = host.sar_interval(sar_series(spark, derived(spark, sf, f"sar_{kind}"), kind))
+        return averages.select("host", "bucket", *(F.round(c, 6).alias(c) for c in (first, second)))
+
+
+for _kind in _DUMPED:
+    _register_series(_kind)
 
 
 @query("write_top_processes", f"""with high as (select distinct cast(ts as date) as log_date from ({_SWAP_STATUS}) where status = 'High')
@@ -750,8 +782,21 @@ def _(spark, sf):
         "user STRING, pct_mem DOUBLE, command STRING, event_id LONG, host STRING, log_date DATE"))
 
 
-@query("write_parsed", f"select {', '.join(PARSED)} from ({o.iso_rows()}) where log_date = date '{DAY}'")
+@query("write_parsed", f"select {', '.join(PARSED)} from ({o.iso_rows()}) union all select {', '.join(PARSED)} from ({o.auth_rows()})")
 def _(spark, sf):
+    """Two families, landed into one table one after the other; the first again, which changes nothing."""
     path = fresh_dir(spark, "parsed")
-    sinks.write_parsed(_iso(spark, sf), path)
-    return filters.on_date(parsed_rows(spark, path), DAY).select(*PARSED)
+    both = parse.parse_iso_syslog(_lines(spark, sf, "iso")), parse.parse_iso_auth(_lines(spark, sf, "auth"))
+    for rows in (*both, both[0]):
+        sinks.write_parsed(rows, path)
+    return parsed_rows(spark, path).select(*PARSED)
+
+
+@query("rejected", f"""select count(*) as lines, count(*) filter (parsed) as parsed, count(*) filter (not parsed) as rejected
+       from (select l.event_id, r.event_id is not null as parsed from ({lines_sql('mixed')}) l left join ({o.mixed_ids()}) r using (event_id))""")
+def _(spark, sf):
+    """Every line is parsed or rejected."""
+    lines = _lines(spark, sf, "mixed")
+    parts = [lines.select(F.lit("lines").alias("part")), parse.parse_syslog(lines).select(F.lit("parsed")), parse.rejected_lines(lines).select(F.lit("rejected"))]
+    counts = reduce(DataFrame.union, parts)
+    return counts.agg(*(F.count_if(F.col("part") == name).alias(name) for name in ("lines", "parsed", "rejected")))

@@ -1,14 +1,11 @@
-"""Where intermediate tables go, and size checks before broadcasting."""
+"""Where intermediate tables go."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# One row of a lookup is under 1 kB, so this bounds a broadcast lookup to some tens of MB.
-MAX_BROADCAST_FILES = 20_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -23,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         _local_dirs[app] = tempfile.mkdtemp(prefix="oslogs-")
     return _local_dirs[app]
@@ -36,12 +33,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
-
-def small_enough(lines: DataFrame) -> bool:
-    """Whether a lookup with one row per input file may be broadcast."""
-    return len(lines.inputFiles()) <= MAX_BROADCAST_FILES
-
-
-def join_per_file(rows: DataFrame, lookup: DataFrame, lines: DataFrame) -> DataFrame:
-    """Inner join on ``source_file``: broadcast up to a checked number of files, shuffled beyond."""
-    return rows.join(F.broadcast(lookup) if small_enough(lines) else lookup, "source_file")

@@ -1,4 +1,4 @@
-"""Exported tables. Large outputs are partitioned by ``log_date`` and only replace the days they hold."""
+"""Exported tables. Large outputs are partitioned by ``log_date`` and only replace the partitions they hold."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions.rules import AUTH_COUNT_LABELS, ERROR_COUNT_LABELS
 from .operators.auth import auth_summary
-from .operators.host import TOP_PROCESSES, disk_status, memory_status, swap_status, top_memory_processes
+from .operators.host import TOP_PROCESSES, host_status, top_memory_processes
 from .operators.packages import package_actions_filled
 from .operators.severity import analysis_summary
 
@@ -59,31 +59,29 @@ def export_counts(tables: dict[str, DataFrame], path: str) -> None:
         _write_counts(error_counts(tables["analysis_summary"]), f"{path}/error_counts", header=True)
 
 
-def _write_by_date(rows: DataFrame, path: str) -> None:
+def write_tables(tables: dict[str, DataFrame], path: str) -> None:
+    """Every table of a report below ``path``, all its rows, tab-separated with a header."""
+    for name, table in tables.items():
+        flat = [F.array_join(c, ",").alias(c) if kind.startswith("array") else F.col(c) for c, kind in table.dtypes]
+        table.select(*flat).write.option("timestampNTZFormat", TIMESTAMPS).csv(f"{path}/{name}", sep="\t", header=True, mode="overwrite")
+
+
+def _write_by_date(rows: DataFrame, path: str, by: tuple[str, ...] = ("log_date",)) -> None:
     """Tab-separated files per day. Rebalancing splits a big day over tasks and packs small ones together."""
     (
-        rows.hint("rebalance", "log_date").write.partitionBy("log_date")
+        rows.hint("rebalance", *by).write.partitionBy(*by)
         .option("partitionOverwriteMode", "dynamic").option("timestampNTZFormat", TIMESTAMPS)
         .csv(path, sep="\t", header=True, mode="overwrite")
     )
 
 
 def write_host_status(snapshots: DataFrame, path: str) -> None:
-    """memory_usage, disk_usage and swap_usage tables below ``path``."""
-    day = F.to_date("ts").alias("log_date")
-    tables = {
-        "memory_usage": memory_status(snapshots).select(
-            "host", "ts", F.col("used").alias("memory_used"), F.col("total").alias("memory_total"),
-            F.col("pct").alias("memory_percentage"), day,
-        ),
-        "disk_usage": disk_status(snapshots).select("host", "ts", F.col("used").alias("disk_usage"), day),
-        "swap_usage": swap_status(snapshots).select(
-            "host", "ts", F.col("used").alias("swap_used"), F.col("total").alias("swap_total"),
-            F.col("pct").alias("swap_percentage"), day,
-        ),
-    }
-    for name, table in tables.items():
-        _write_by_date(table, f"{path}/{name}")
+    """Memory, disk and swap rows of all readings below ``path``, in one pass, by metric, day and host.
+
+    A later run replaces the days of the hosts that it holds, and leaves those of other hosts.
+    """
+    rows = host_status(snapshots).withColumn("log_date", F.to_date("ts"))
+    _write_by_date(rows.select("ts", "used", "total", "pct", "status", "metric", "log_date", "host"), path, ("metric", "log_date", "host"))
 
 
 def write_sar_dumps(series: dict[str, DataFrame], path: str) -> None:
@@ -100,10 +98,18 @@ def write_top_processes(
     _write_by_date(top_memory_processes(samples, n, snapshots, by, ties), path)
 
 
-def write_parsed(rows: DataFrame, path: str) -> None:
-    """Parsed rows as Parquet by ``log_date``, so that a report on some days reads only their directories."""
+def write_parsed(rows: DataFrame, path: str, batch: str | None = None) -> None:
+    """Parsed rows as Parquet by ``kind``, ``log_date`` and ``batch``, so that a report reads only its family's days.
+
+    Landing adds to the table: a second file, host or family of a day stands beside the first. What is landed again
+    under the same batch replaces its former rows of those days. By default every source file is a batch of its own;
+    name a batch to keep many small files together. A row without a date fails the write: give the year.
+    """
+    name = F.lit(f"b-{batch}") if batch is not None else F.concat(F.lit("f-"), F.substring(F.md5("source_file"), 1, 16))
+    refused = F.raise_error(F.lit("rows without a year can't be landed; give year=2024 or year='modified'"))
+    dated = F.when(F.col("log_date").isNull(), refused.cast("date")).otherwise(F.col("log_date"))
+    landed = rows.withColumns({"log_date": dated, "batch": name})
     (
-        rows.hint("rebalance", "log_date").sortWithinPartitions("log_date", "log_time")
-        .write.partitionBy("log_date").option("partitionOverwriteMode", "dynamic").parquet(path, mode="overwrite")
+        landed.hint("rebalance", "kind", "log_date", "batch").sortWithinPartitions("kind", "log_date", "batch", "log_time")
+        .write.partitionBy("kind", "log_date", "batch").option("partitionOverwriteMode", "dynamic").parquet(path, mode="overwrite")
     )
-

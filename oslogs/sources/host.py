@@ -29,6 +29,8 @@ SAR_COLUMNS: dict[str, tuple[str, ...]] = {
     "swapping": ("pswpin/s", "pswpout/s"),
 }
 
+MAX_LAYOUTS = 1000  # different header rows of one query that are told apart
+
 
 def _table(spark: SparkSession, path: str, schema: str, fmt: str, sep: str) -> DataFrame:
     if fmt == "parquet":
@@ -69,6 +71,11 @@ def _clock(value: Column) -> Column:
     )
 
 
+def _metrics(line: Column) -> Column:
+    """What follows the clock of a line, with one blank between words."""
+    return F.regexp_replace(F.trim(F.regexp_replace(line, r"^\S+\s+([AP]M\s+)?", "")), r"\s+", " ")
+
+
 def sar_series(
     spark: SparkSession,
     path: str,
@@ -78,20 +85,39 @@ def sar_series(
 ) -> DataFrame:
     """Exported ``memory``, ``paging`` or ``swapping`` text as ``host, log_date, ts`` and DOUBLE metrics.
 
-    The rows carry only a clock, so the day comes from a ``log_date=`` directory or from ``date``;
-    ``host=`` directories name the host. ``columns`` overrides the usual metric order (see
-    ``sar_header``). Headers, averages and restart notes are dropped.
+    The rows carry only a clock, so the day comes from a ``log_date=`` directory or from ``date``; ``host=``
+    directories name the host. Each file's header row names its columns, in whatever order; a file without one has the
+    usual columns. ``columns`` overrides the headers and saves the pass that looks for them. Headers, averages and
+    restart notes are dropped; a metric that a file lacks is NULL.
     """
-    columns = columns or SAR_COLUMNS[kind]
-    lines = data_rows_only(spark.read.text(path))
+    raw = spark.read.text(path)
+    kept = [c for c in ("host", "log_date") if c in raw.columns]
+    lines = raw.select("value", *kept, F.col("_metadata.file_path").alias("source_file"))
+    if columns is None:
+        headers = lines.where(F.col("value").contains(SAR_COLUMNS[kind][0]))
+        files = headers.groupBy("source_file").agg(F.min(_metrics(F.col("value"))).alias("layout"))
+        layouts = sorted(row.layout for row in files.select("layout").distinct().limit(MAX_LAYOUTS + 1).collect())
+        if len(layouts) > MAX_LAYOUTS:
+            raise ValueError(f"more than {MAX_LAYOUTS} header rows below {path}; give columns=")
+    else:
+        layouts = [" ".join(columns)]
+    usual = " ".join(SAR_COLUMNS[kind])
+    found = {name for layout in layouts or [usual] for name in layout.split(" ")}
+    names = list(columns) if columns else [*(c for c in SAR_COLUMNS[kind] if c in found), *sorted(found - set(SAR_COLUMNS[kind]))]
+    lines = data_rows_only(lines)
+    if columns is None and layouts:
+        lines = lines.join(files, "source_file", "left").withColumn("layout", F.coalesce("layout", F.lit(usual)))
+    else:
+        lines = lines.withColumn("layout", F.lit(layouts[0] if layouts else usual))
     log_date = F.lit(date) if date is not None else F.col("log_date") if "log_date" in lines.columns else None
     if log_date is None:
         raise ValueError("the rows carry no day: give date= or a log_date= directory layout")
     host = F.col("host").cast("string") if "host" in lines.columns else F.lit("")
-    words = F.split(F.regexp_replace("value", r"^\S+\s+([AP]M\s+)?", ""), r"\s+")
+    words = F.split(_metrics(F.col("value")), " ")
     stamp = F.concat_ws(" ", log_date.cast("string"), _clock(F.col("value"))).try_cast("timestamp_ntz")
-    cut = with_once(lines, {"words": words, "ts": stamp, "first": F.get(words, F.lit(0)).try_cast("double")})
+    cut = with_once(lines, {"words": words, "ts": stamp, "first": F.get(words, F.lit(0)).try_cast("double"), "names": F.split("layout", " ")})
+    place = lambda name: F.get("words", F.nullif(F.array_position("names", F.lit(name)), F.lit(0)).cast("int") - 1)
     return cut.where(F.col("ts").isNotNull() & F.col("first").isNotNull()).select(
         host.alias("host"), log_date.cast("date").alias("log_date"), "ts",
-        *(F.get("words", F.lit(i)).try_cast("double").alias(metric_name(c)) for i, c in enumerate(columns)),
+        *(place(name).try_cast("double").alias(metric_name(name)) for name in names),
     )

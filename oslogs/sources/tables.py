@@ -11,5 +11,5 @@ def read_counts(spark: SparkSession, path: str, header: bool = False) -> DataFra
 
 
 def parsed_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed rows landed by ``write_parsed``; filters on ``log_date`` prune directories."""
-    return spark.read.parquet(path)
+    """Parsed rows landed by ``write_parsed``; filters on ``kind`` and ``log_date`` prune directories."""
+    return spark.read.parquet(path).drop("batch")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.filters import well_formed_windows
 from ..operators.once import with_once
-from ..session import join_per_file
 from .text import log_lines
 
 # --- Fixed values: header names of a System export and the columns they become -
@@ -20,27 +20,22 @@ SYSTEM_HEADER: tuple[tuple[str, str], ...] = (
 MESSAGE_FIELD = 5  # the message is everything from this field on; it has no header
 
 
-def _is_header(fields: Column) -> Column:
-    return F.array_contains(fields, "Date and Time") & F.array_contains(fields, "Event ID")
+def _is_header(line: Column) -> Column:
+    """A test on the unsplit line."""
+    return F.concat(F.lit("\t"), line, F.lit("\t")).contains("\tDate and Time\t") & line.contains("Event ID")
 
 
 def system_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of the first header row found; stops reading there."""
-    fields = F.split("value", "\t")
-    found = spark.read.text(path).where(_is_header(fields)).select(fields.alias("names")).first()
+    found = spark.read.text(path).where(_is_header(F.col("value"))).select(F.split("value", "\t").alias("names")).first()
     if found is None:
         raise ValueError(f"no header row below {path}")
     return found["names"]
 
 
-def _per_file(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """Rows with ``at``, the positions that the header row of their file gives."""
-    at = [F.array_position("f", name).cast("int").alias(column) for name, column in SYSTEM_HEADER]
-    positions = (
-        rows.where(F.col("is_header")).select("source_file", F.struct(*at).alias("at"))
-        .groupBy("source_file").agg(F.first("at").alias("at"))
-    )
-    return join_per_file(rows, positions, lines)
+def _layouts(lines: DataFrame) -> DataFrame:
+    """Files and the layout (the whole header row) that each has; of several the first in the order of their text."""
+    return lines.where(_is_header(F.col("value"))).groupBy("source_file").agg(F.min("value").alias("layout"))
 
 
 def windows_system(
@@ -48,20 +43,31 @@ def windows_system(
 ) -> DataFrame:
     """System export rows ``level, date_time, source, event_id, task_category, message``.
 
-    Column positions come from each file's own header row, wherever its columns stand; finding the
-    header rows is a second pass over the files. With ``header`` (see ``system_header``) all files
-    have these columns and one pass does. Rows with fewer than five fields and header rows are
-    dropped; empty fields keep their place. ``where`` is applied to the unsplit lines and has to
-    keep header rows.
+    Column positions come from the header rows, wherever their columns stand. Without ``header`` (see
+    ``system_header``) a first pass looks for header rows among the unsplit lines. If all files that have one share a
+    layout, it holds for files without a header row as well. Where layouts differ, each file takes its own, and a file
+    without a header row fails the query with its name, as its columns can't be known. Rows that are not
+    ``well_formed_windows`` and header rows are dropped; empty fields keep their place. ``where`` is applied to the
+    unsplit lines and has to keep header rows.
     """
     lines = log_lines(spark, path, where=where)
-    rows = with_once(lines, {"f": F.split("value", "\t")}, drop=("value",)).withColumn("is_header", _is_header(F.col("f")))
-    if header is None:
-        rows = _per_file(rows, lines)
-        position = {column: F.col(f"at.{column}") - 1 for _, column in SYSTEM_HEADER}
+    layouts = [header] if header is not None else None
+    if layouts is None:
+        files = _layouts(log_lines(spark, path))
+        layouts = [row.layout.split("\t") for row in files.select("layout").distinct().limit(2).collect()]
+        if not layouts:
+            raise ValueError(f"no header row below {path}")
+    body = well_formed_windows(lines.where(~_is_header(F.col("value"))))
+    if len(layouts) == 1:
+        position = {column: F.lit(layouts[0].index(name)) for name, column in SYSTEM_HEADER}
     else:
-        position = {column: F.lit(header.index(name)) for name, column in SYSTEM_HEADER}
-    return rows.where((F.size("f") >= 5) & ~F.col("is_header")).select(
+        unknown = F.raise_error(F.concat(F.lit("no header row in "), F.col("source_file")))
+        names = F.split(F.coalesce("layout", unknown.cast("string")), "\t")
+        body = body.join(files, "source_file", "left").withColumn("at", F.struct(
+            *((F.array_position(names, name).cast("int") - 1).alias(column) for name, column in SYSTEM_HEADER)))
+        position = {column: F.col(f"at.{column}") for _, column in SYSTEM_HEADER}
+    rows = with_once(body, {"f": F.split("value", "\t")}, drop=("value",))
+    return rows.select(
         *(F.coalesce(F.get("f", at), F.lit("")).alias(column) for column, at in position.items()),
         F.array_join(F.slice("f", MESSAGE_FIELD + 1, F.size("f")), " ").alias("message"),
         "source_file", "line_no",

@@ -73,7 +73,7 @@ def test_exported_series(spark, tmp_path):
     ]
     buckets = host.sar_interval(series.select("host", "ts", "pgpgin"))
     assert got(buckets, F.date_format("bucket", "HH:mm"), "pgpgin") == [("00:00", 20.0), ("00:30", 5.0), ("12:30", 1.0)]
-    assert [r.pgpgin for r in host.paging_series(series).collect()] == [10.0, 30.0, 5.0, 1.0]
+    assert [(r.host, r.pgpgin) for r in host.paging_series(series).collect()] == [("h1", 10.0), ("h1", 30.0), ("h1", 5.0), ("h1", 1.0)]
     one = sar_series(spark, str(day / "paging"), "paging", date="2024-10-05")
     assert one.columns[:4] == ["host", "log_date", "ts", "pgpgin"] and one.count() == 4
     assert {r.log_date for r in one.collect()} == {dt.date(2024, 10, 5)}
@@ -83,6 +83,17 @@ def test_exported_series(spark, tmp_path):
         sar_header(spark, path, "swapping")
 
 
+def test_series_columns_follow_each_header(spark, tmp_path):
+    for host_, head, row in (("a", "pgpgin/s pgpgout/s fault/s", "1 2 3"), ("b", "pgpgout/s  fault/s pgpgin/s", "2 3 1"), ("c", "", "1 2 3")):
+        day = tmp_path / f"host={host_}" / "log_date=2024-10-04"
+        day.mkdir(parents=True)
+        (day / "paging").write_text((f"00:00:01  {head}\n" if head else "") + f"00:10:01  {row}\n")
+    series = sar_series(spark, str(tmp_path), "paging")
+    assert series.columns == ["host", "log_date", "ts", "pgpgin", "pgpgout", "fault"]
+    assert got(series, "host", "pgpgin", "pgpgout", "fault") == [(h, 1.0, 2.0, 3.0) for h in "abc"]
+    assert got(sar_series(spark, f"{tmp_path}/host=b", "paging"), "pgpgin", "pgpgout") == [(1.0, 2.0)]
+
+
 def test_metric_names():
     assert [metric_name(c) for c in ("pgpgin/s", "%memused", "kbdirty")] == ["pgpgin", "pct_memused", "kbdirty"]
     assert all(len(set(map(metric_name, columns))) == len(columns) for columns in SAR_COLUMNS.values())
@@ -110,7 +121,10 @@ def test_host_report_and_files(spark, tmp_path):
         snapshots, "2024-10-04", "10:00:00", "10:00:59", {"paging": series}, processes(spark), as_of="2024-10-05")
     assert got(tables["host_status"], "metric", "status") == [("disk", "High"), ("memory", "Moderate"), ("swap", "High")]
     assert tables["paging_series"].count() == tables["paging_interval"].count() == 1
-    assert tables["top_memory_processes"].count() == 10
+    assert got(tables["top_memory_processes"].groupBy("host").count()) == []  # none of the processes' hosts has high swap
+    samples = processes(spark).withColumn("host", F.when(F.col("host") == "h1", "h").otherwise(F.col("host")))
+    tables = oslogs.host_report(snapshots, "2024-10-04", "10:00:00", "10:00:59", samples=samples)
+    assert got(tables["top_memory_processes"].groupBy("host").count()) == [("h", 10)]
     with pytest.raises(ValueError):
         oslogs.host_report(snapshots, "2024-10-04", as_of="2024-10-12")
 
@@ -118,9 +132,12 @@ def test_host_report_and_files(spark, tmp_path):
     sinks.write_host_status(snapshots, path)
     sinks.write_host_status(snapshots.withColumn("ts", F.expr("ts + interval 1 day")), path)  # another day is added
     sinks.write_host_status(snapshots, path)  # the same day is replaced
-    days = spark.read.csv(f"{path}/memory_usage", sep="\t", header=True)
-    assert got(days.groupBy("log_date").count(), F.col("log_date").cast("string"), "count") == [("2024-10-04", 2), ("2024-10-05", 2)]
-    assert days.columns == ["host", "ts", "memory_used", "memory_total", "memory_percentage", "log_date"]
+    sinks.write_host_status(snapshots.withColumn("host", F.lit("other")), path)  # another host is added
+    days = spark.read.csv(path, sep="\t", header=True).where("metric = 'memory'")
+    assert got(days.groupBy("host", "log_date").count(), "host", F.col("log_date").cast("string"), "count") == [
+        ("h", "2024-10-04", 2), ("h", "2024-10-05", 2), ("other", "2024-10-04", 2)]
+    assert days.columns == ["ts", "used", "total", "pct", "status", "metric", "log_date", "host"]
+    path = str(tmp_path / "more")
     sinks.write_sar_dumps({"paging": series}, path)
     assert spark.read.csv(f"{path}/paging_sar", sep="\t", header=True).count() == 2
     sinks.write_top_processes(processes(spark), f"{path}/top", snapshots)
@@ -168,7 +185,7 @@ def test_default_paths():
     ("mem", (1, 3, 0, 4), (40, 121, 1, 1)), ("mac", (1, 3, 0, 4), (40, 121, 1, 0)), ("sol", (1, 3, 0, 9), (25, 73, 1, 100)),
     ("proc", (1, 3, 0, 4), (39, 120, 1, 1)), ("proc", (0, 0, 0, 7), (1, 1, 1, 100)), ("ubu", (0, 0, 0, 7), (1, 1, 1, 120)),
     ("mem", (0, 0, 0, 0), (1, 1, 1, 1)), ("mem", (5, 0, 0, 1), (121, 1, 1, 1)), ("mem", (1, 0, 0, 1000), (1, 1, 1, 101)),
-    ("cbs", (1, 3, 0, 0), (16, 50, 0, 0)), ("wsys", (1, 3, 0, 4), (12, 37, 0, 50)), ("cbs", (0, 0, 0, 0), (0, 0, 0, 0)),
+    ("proc", (0, 0, 0, 0), ()), ("ubu", (0, 0, 0, 0), ()), ("cbs", (1, 3, 0, 0), (16, 50, 0, 0)), ("wsys", (1, 3, 0, 4), (12, 37, 0, 50)), ("cbs", (0, 0, 0, 0), (0, 0, 0, 0)),
 ])
 def test_bars(spark, family, counts, lengths):
     severe, mild, warning, success = counts

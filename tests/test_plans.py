@@ -39,8 +39,12 @@ def test_log_is_scanned_once(spark, sf_dir):
     rows = filters.nonempty_message(parse.parse_syslog(log_lines(spark, derived(spark, sf_dir, "mixed"))))
     classified = severity.classified(rows, "ubu")
     for df in (severity.severity_by_app(classified), severity.analysis_summary(classified),
-               severity.severity_totals(classified), errors.error_table(classified, "ubu"), severity.summarize(classified)):
+               severity.severity_totals(classified), severity.summarize(classified)):
         assert tree(df).count("Scan text") == 1
+    table = errors.error_table(classified, "ubu")
+    table.collect()
+    final = table._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Scan text") == 1 and "ReusedExchange" in final and "Join" not in final
     assert tree(severity.summarize(classified)).count("Exchange") == 1
     assert tree(severity.severity_by_app(classified)).count("Exchange") == 1
 
@@ -69,13 +73,14 @@ def test_landed_rows_are_pruned(spark, sf_dir, tmp_path):
     sinks.write_parsed(rows, path)
     text = plan(filters.on_date(parsed_rows(spark, path), "2024-01-15").select("message"))
     assert "PartitionFilters: [isnotnull(log_date" in text and "2024-01-15" in text
+    assert path.rsplit("/", 1)[0] and parsed_rows(spark, path).columns == [*rows.drop("log_date", "kind").columns, "kind", "log_date"]
     assert "ReadSchema: struct<message:string>" in text
     later = filters.between_times(filters.on_day(parsed_rows(spark, path), "2024-01-15"), "06:00:00", "07:00:00")
     assert "GreaterThanOrEqual(log_time,06:00:00)" in plan(later)
     assert "PartitionFilters: [((log_date" in plan(later) or "PartitionFilters: [isnotnull" in plan(later)
     assert compare_counts(rows, parsed_rows(spark, path))
     one_day = oslogs.analyze(spark, "mem", "2024-01-15", path=path, landed=True)
-    assert "PartitionFilters: [((log_date" in plan(one_day)
+    assert "PartitionFilters: [isnotnull(kind" in plan(one_day) and "log_date" in plan(one_day).split("PartitionFilters: ")[1].split("]")[0]
     text_day = oslogs.analyze(spark, "mem", "2024-01-15", path=derived(spark, sf_dir, "iso"))
     assert compare_counts(one_day, text_day)
 
@@ -102,15 +107,13 @@ def test_partial_counts_before_the_shuffle(spark, sf_dir):
     assert tree(host.top_memory_processes(samples, by=("host",))).count("WindowGroupLimit") == 2
 
 
-def test_lookup_is_broadcast_only_for_few_files(spark, sf_dir, monkeypatch):
-    path = derived(spark, sf_dir, "wsys")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in tree(windows_system(spark, path))
-        monkeypatch.setattr(session, "MAX_BROADCAST_FILES", 0)
-        assert "SortMergeJoin" in tree(windows_system(spark, path))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_one_layout_needs_no_join(spark, sf_dir, log):
+    """All exports with one header row share its positions; only differing ones are looked up by file."""
+    rows = windows_system(spark, derived(spark, sf_dir, "wsys"))
+    assert "Join" not in tree(rows) and "Exchange" not in tree(rows) and tree(rows).count("Scan text") == 1
+    head = ["Level", "Date and Time", "Source", "Event ID", "Task Category"]
+    log("\t".join(head), name="w/a"), log("\t".join(head[::-1]), name="w/b")
+    assert "Join" in tree(windows_system(spark, log("\t".join(head), name="w/c").rsplit("/", 1)[0]))
 
 
 def test_line_order_does_not_stop_pruning(spark, tmp_path):
@@ -149,7 +152,17 @@ def test_command_line(spark, sf_dir, tmp_path, capsys, kind):
     main([kind, "2024-01-10", "00:00:00", "23:59:59", path, "--last", "2024-01-20", "--out", str(tmp_path)])
     shown = capsys.readouterr().out
     assert {"mem": "error_table", "auth": "auth_summary", "dpkg": "package_bars"}[kind] in shown
-    assert len(list(tmp_path.iterdir())) == 1
+    tables = oslogs.report(oslogs.analyze(spark, kind, "2024-01-10", path=path, last="2024-01-20"), kind)
+    assert len(list(tmp_path.iterdir())) == len(tables) + 1  # and the count table
+    for name, table in tables.items():
+        assert spark.read.csv(str(tmp_path / name), sep="\t", header=True).count() == table.count(), name
+
+
+def test_command_line_exports_what_it_does_not_show(spark, log, tmp_path, capsys):
+    path = log(*(f"2024-11-09T10:{i // 60:02}:{i % 60:02}.1+00:00 h sudo[1]: ann : PWD=/ ; USER=root ; COMMAND=/bin/{i}" for i in range(120)))
+    main(["auth", "2024-11-09", "10:00:00", "10:01:29", path, "--rows", "50", "--out", str(tmp_path / "out")])
+    assert "only showing top 50 rows" in capsys.readouterr().out
+    assert spark.read.csv(str(tmp_path / "out/sudo_commands"), sep="\t", header=True).count() == 90
 
 
 def test_command_line_for_hosts(spark, sf_dir, tmp_path, capsys):
@@ -157,8 +170,9 @@ def test_command_line_for_hosts(spark, sf_dir, tmp_path, capsys):
           "paging=" + derived(spark, sf_dir, "sar"), "--processes", derived(spark, sf_dir, "ps"), "--out", str(tmp_path)])
     shown = capsys.readouterr().out
     assert all(name in shown for name in ("host_status", "paging_interval", "paging_series", "top_memory_processes"))
-    assert {p.name for p in tmp_path.iterdir()} == {"memory_usage", "disk_usage", "swap_usage", "paging_sar"}
-    assert [p.name for p in (tmp_path / "paging_sar").iterdir() if p.is_dir()] == ["log_date=2024-01-15"]
+    assert {p.name for p in tmp_path.iterdir()} == {"host_status", "used_free", "paging_interval", "paging_series", "top_memory_processes"}
+    status = spark.read.csv(str(tmp_path / "host_status"), sep="\t", header=True, schema="host STRING, ts TIMESTAMP_NTZ")
+    assert {(t.hour >= 6, t.hour <= 18) for _, t in status.select("host", "ts").collect()} == {(True, True)}
 
 
 def test_auth_rows_use_extracts_only_on_hits(spark, sf_dir):

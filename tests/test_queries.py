@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from oslogs.operators import errors, filters, parse, severity
 from oslogs.plans.derived import SYSLOG_MESSAGES, derived
+from oslogs.plans.queries import ORACLE, QUERIES
 from oslogs.sources.text import log_lines
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -19,6 +18,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys() and len(QUERIES) >= 86
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -1,9 +1,9 @@
 """Windows component-servicing, System and Security logs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import oslogs
-from oslogs import session
 from oslogs.functions.dates import as_date, normalise_date
 from oslogs.operators import errors, filters, parse, severity
 from oslogs.sources.text import log_lines
@@ -51,7 +51,7 @@ def test_cbs(spark, log):
     ]
 
 
-def test_system_columns_follow_each_header(spark, log, monkeypatch):
+def test_system_columns_follow_each_header(spark, log):
     log(
         HEADER,
         "Error\t28-11-2024 10:00:00\tNtfs\t55\tNone\tChkdsk must\trun",
@@ -67,17 +67,16 @@ def test_system_columns_follow_each_header(spark, log, monkeypatch):
         "Disk\tNone\tWarning\t7\t28-11-2024 23:00:00",
         name="win/b.txt",
     )
-    log("Disk\tNone\tWarning\t7\t28-11-2024 11:00:00\tno header above", name="win/c.txt")
     folder = path.rsplit("/", 1)[0]
     expected = [
         ("10:00:00", "Error", "Ntfs", "55", "None", "Chkdsk must run", "severe_error"),
         ("10:00:01", "Error", "", "55", "None", "fail", "mild_error"),
         ("11:00:00", "Warning", "Disk", "7", "None", "out of memory", "severe_error"),
     ]
-    for limit in (session.MAX_BROADCAST_FILES, 1):  # looked up by broadcast, and by a shuffled join
-        monkeypatch.setattr(session, "MAX_BROADCAST_FILES", limit)
-        rows = oslogs.analyze(spark, "wsys", "2024-11-28", "10:00:00", "22:59:59", folder)
-        assert got(rows, "log_time", "level", "app_name", "event_id", "task_category", "message", "category") == expected
+    rows = oslogs.analyze(spark, "wsys", "2024-11-28", "10:00:00", "22:59:59", folder)
+    assert got(rows, "log_time", "level", "app_name", "event_id", "task_category", "message", "category") == expected
+    assert got(oslogs.analyze(spark, "wsys", "2024-01-01", path=folder, last="2024-12-31").where("app_name = 'Disk'"), "log_time") == [
+        ("11:00:00",), ("23:00:00",)]
     table = errors.error_table(rows, "wsys").collect()
     assert [tuple(r) for r in table] == [
         ("Out of Memory", "Disk", 1, "Out of Memory"), ("Kernel Bug", "N/A", 0, "Kernel Bug"),
@@ -124,3 +123,16 @@ def test_summary_of_system_log(spark, log):
     rows = oslogs.analyze(spark, "wsys", "2024-11-28", path=path)
     assert got(severity.raw_total(rows)) == [(3,)]
     assert got(severity.severity_totals(rows)) == [("mild_error", 2), ("severe_error", 0), ("success", 1), ("warning", 0)]
+
+
+def test_no_file_is_lost_for_want_of_a_header(spark, log):
+    row = "Error\t28-11-2024 10:00:00\tNtfs\t55\tNone\t"
+    log(HEADER, row + "first", name="win/a.txt")
+    folder = log(row + "second", name="win/b.txt").rsplit("/", 1)[0]
+    assert got(oslogs.analyze(spark, "wsys", "2024-11-28", path=folder), "message") == [("first",), ("second",)]
+    log("\t".join(reversed(HEADER.split("\t"))), name="win/c.txt")
+    with pytest.raises(Exception, match="no header row in .*b.txt"):
+        oslogs.analyze(spark, "wsys", "2024-11-28", path=folder).collect()
+    assert oslogs.analyze(spark, "wsys", "2024-11-28", path=folder, header=HEADER.split("\t")).count() == 2
+    with pytest.raises(ValueError, match="no header row"):
+        windows_system(spark, f"{folder}/b.txt")
