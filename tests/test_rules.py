@@ -66,3 +66,81 @@ def test_tables_list_types_that_exist():
 def test_implied_words_are_not_tested():
     text = str(contains_any(F.col("m"), ("error", "fail", "failed")))
     assert "failed" not in text and "fail" in text
+
+
+# --- Fixed values, written down apart from the module under test ----------------
+SEVERITY = {
+    "mem": {
+        "severe_error": "kernel bug|OOM|out of memory|critical|disk failure|I/O error",
+        "mild_error": "error|fail|failed",
+        "warning": "warning|deprecated|high usage|not recommended",
+    },
+    "proc": {
+        "severe_error": "kernel bug|process crash|process hang|process killed|CPU fault|GPU failure|critical",
+        "mild_error": "error|fail|failed|CPU warning|GPU warning|process issue",
+        "warning": "warning|deprecated|high usage|not recommended",
+    },
+    "ubu": {
+        "severe_error": "kernel bug|process crash|process hang|process killed|CPU fault|GPU failure|critical|OOM|out of memory|disk failure|I/O error",
+        "mild_error": "error|fail|failed|CPU warning|GPU warning|process issue",
+        "warning": "warning|deprecated|high usage|not recommended",
+    },
+    "mac": {
+        "severe_error": "kernel panic|EXC_BAD_ACCESS|EXC_CRASH|kernel crash|panic|out of memory|critical error|disk failure|I/O error|process crash|process killed|system fault",
+        "mild_error": "error|fail|failed|crash|terminated|signal fault|process issue|application error|memory warning|CPU warning|GPU warning",
+        "warning": "warning|deprecated|high memory usage|low disk space|disk warning|not recommended|slow response",
+    },
+    "sol": {
+        "severe_error": "kernel bug|OOM|out of memory|critical|disk failure|I/O error|process crash|process hang|process killed|CPU fault|GPU failure|fatal|PAM_ERROR_MSG|Account is disabled|authentication failed|disk corruption",
+        "mild_error": "error|fail|failed|CPU warning|GPU warning|process issue|login failure|connection refused",
+        "warning": "warning|deprecated|high usage|not recommended|repeated login failures|performance degradation",
+    },
+    "wsys": {
+        "severe_error": "kernel bug|OOM|out of memory|critical|disk failure|I/O error|Chkdsk",
+        "mild_error": "error|fail|failed",
+        "warning": "warning|deprecated|high usage|not recommended",
+    },
+    "cbs": {
+        "severe_error": "Error|E_FAIL|CBS_E_|FATAL|CRITICAL",
+        "mild_error": "Failed|HRESULT",
+        "warning": "Warning|WARN",
+    },
+}
+ERROR_TYPES = {
+    "mem": [
+        [("oom", "oom|OOM|out of memory"), ("segfault", "segfault|Segmentation fault"), ("malloc", "malloc"), ("kernel bug", "kernel bug"), ("critical", "critical"), ("disk failure", "disk failure|I/O error")],
+    ],
+    "proc": [
+        [("process crash", "process crash"), ("process hang", "process hang"), ("process killed", "kernel bug|process killed")],
+        [("cpu error", "CPU fault|CPU overload|CPU failure")],
+        [("gpu error", "GPU failure|GPU overload|GPU fault")],
+    ],
+    "ubu": [
+        [("process crash", "process crash"), ("process hang", "process hang"), ("process killed", "kernel bug|process killed")],
+        [("cpu error", "CPU fault|CPU overload|CPU failure")],
+        [("gpu error", "GPU failure|GPU overload|GPU fault")],
+        [("oom", "oom|OOM|out of memory"), ("segfault", "segfault|Segmentation fault"), ("malloc", "malloc"), ("kernel bug", "kernel bug"), ("critical", "critical"), ("disk failure", "disk failure|I/O error")],
+    ],
+    "mac": [
+        [("oom", "out of memory|OOM|memory pressure|EXC_RESOURCE"), ("segfault", "segfault|EXC_CRASH|EXC_BAD_ACCESS|core dump"), ("malloc", "malloc error|memory allocation failure"), ("kernel bug", "kernel panic|panic|EXC_BAD_ACCESS|EXC_CRASH"), ("critical", "critical error|fatal error|system failure|unhandled exception|system fault"), ("disk failure", "disk failure|I/O error|disk read error|disk write error")],
+        [("process crash", "process crash|terminated due to signal|terminated by signal"), ("process hang", "process hang|process freeze"), ("process killed", "process killed|killed by signal")],
+        [("cpu error", "CPU fault|CPU overload|CPU failure|CPU panic")],
+        [("gpu error", "GPU failure|GPU overload|GPU fault|GPU panic")],
+    ],
+    "sol": [
+        [("out of memory", "out of memory"), ("oom", "oom|OOM"), ("segfault", "segfault|Segmentation fault"), ("malloc", "malloc")],
+        [("PAM error", "PAM_ERROR_MSG"), ("login failure", "repeated login failures"), ("account disabled", "Account is disabled")],
+        [("connection issue", "connection from|refused connect from")],
+        [("ftp", "FTPD: IMPORT|FTPD: EXPORT")],
+        [("cpu error", "CPU fault|CPU overload|CPU failure")],
+        [("gpu error", "GPU failure|GPU overload|GPU fault")],
+    ],
+    "wsys": [
+        [("Out of Memory", "OOM|out of memory"), ("Kernel Bug", "kernel bug"), ("Critical", "critical"), ("Disk Failure", "disk failure|I/O error|Chkdsk")],
+    ],
+}
+
+
+def test_words_are_those_of_the_scripts():
+    assert {f: {c: "|".join(words) for c, words in groups.items()} for f, groups in SEVERITY_WORDS.items()} == SEVERITY
+    assert {f: [[(n, "|".join(words)) for n, words in group] for group in groups] for f, groups in ERROR_TYPE_WORDS.items()} == ERROR_TYPES
