@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB counterpart, and properties of the counts."""
 
+import sys
+
 import compare
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +30,11 @@ def test_query(spark, duck, sf_dir, name):
     assert rows
 
 
+def test_entry_without_training_data(monkeypatch):
+    monkeypatch.setitem(sys.modules, "oslogs.llm", None)
+    assert entry.queries() == QUERIES and entry.oracle_sql() == ORACLE
+
+
 def test_entry(spark, sf_dir):
     assert entry.entry(spark).columns == ["category", "app_name", "n"]
 
