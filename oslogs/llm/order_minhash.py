@@ -6,8 +6,10 @@ probability that follows their edit similarity. Texts that share a sketch are ca
 banded alignment of its words proves a similarity (1 - edits / longer length) of at least 0.8.
 
 Equal texts are one class and compared once. A sketch that many texts share never yields all their pairs: every text is
-aligned with two leaders of the sketch; only those that are near neither of them are compared with each other, in blocks,
-and only where more sketches and the lengths agree.
+aligned with two leaders of the sketch, and those that are near neither with two of their own, as long as a crowd is left.
+Then the texts outside the sketch's largest component are compared, in blocks, with all its texts of other components, and
+aligned where more sketches agree and where lengths and word counts leave room for the similarity asked for. So no link
+between two components is lost, and no pair within one is ever made.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ SIMILARITY = 0.8
 BLOCK = 512  # texts of a sketch that are compared at a time
 AGREE = 2  # sketches that two texts share at least to be compared where neither leader is near
 
+CROWD = 64  # texts of a sketch that are near no leader and are yet not led again
+ROUNDS = 2  # of leaders, at most; how many there are decides about time, not about results
+COUNTERS = 1024  # of words, for a lower bound of the edits between two texts
+
 _WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -87,6 +93,15 @@ def sketches(words: np.ndarray) -> np.ndarray:
         return (out ^ np.arange(SKETCHES, dtype=np.uint64)).view(np.int64)
 
 
+def counted(words: np.ndarray) -> bytes:
+    """How many words fall to each counter (255 at most).
+
+    What one text has beyond another, summed over the counters, never exceeds the words that it has and the other lacks,
+    and so never exceeds the edits between them.
+    """
+    return np.minimum(np.bincount(words % COUNTERS, minlength=COUNTERS), 255).astype(np.uint8).tobytes()
+
+
 def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edit distance of two word sequences, or most + 1 where it is greater.
 
@@ -176,10 +191,11 @@ def _sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield {
                     "id": part.column(0), "key": [hashlib.md5(t.encode()).digest() if t is not None else None for t in texts],
                     "n": [len(w) for w in words], "sketches": [sketches(w) if len(w) else [] for w in words], "words": [w.astype("<u4").tobytes() for w in words],
+                    "counters": [counted(w) for w in words],
                 }
 
     few = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return map_batches(few, rows, "id bigint, key binary, n int, sketches array<bigint>, words binary")
+    return map_batches(few, rows, "id bigint, key binary, n int, sketches array<bigint>, words binary, counters binary")
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -196,7 +212,7 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
 
 
 def _agreeing(least: float):
-    """Pairs of texts in the rows' groups (sorted by v, x, y) that agree on AGREE sketches and in length."""
+    """Pairs of texts in the rows' groups (sorted by v, x, y) of different components that agree on AGREE sketches, in length and in words."""
 
     def run(frames):
         def pairs(rows: list[pd.DataFrame]) -> pd.DataFrame:
@@ -210,9 +226,18 @@ def _agreeing(least: float):
                 return pd.DataFrame({"a": [], "b": []}, dtype="int64")
             s, t = np.stack(left["sketches"].to_numpy()), np.stack(right["sketches"].to_numpy())
             n, m = left["n"].to_numpy(), right["n"].to_numpy()
+            c, d = left["component"].to_numpy(), right["component"].to_numpy()
             shared = sum((s[:, i, None] == t[None, :, i]).astype(np.int8) for i in range(s.shape[1]))
-            good = (shared >= AGREE) & (np.minimum(n[:, None], m[None, :]) >= least * np.maximum(n[:, None], m[None, :]) - 1e-9) & (a[:, None] != b[None, :])
+            good = (shared >= AGREE) & (np.minimum(n[:, None], m[None, :]) >= least * np.maximum(n[:, None], m[None, :]) - 1e-9) & (c[:, None] != d[None, :])
             i, j = np.nonzero(np.triu(good) if alone else good)
+            f, g = (np.stack([np.frombuffer(x, np.uint8) for x in side["counters"]]).astype(np.int16) for side in (left, right))
+            near = np.zeros(len(i), bool)
+            for at in range(0, len(i), 8192):
+                p, q = i[at : at + 8192], j[at : at + 8192]
+                apart = f[p] - g[q]
+                most = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
+                near[at : at + 8192] = most <= (1 - least) * np.maximum(n[p], m[q]) + 1e-9
+            i, j = i[near], j[near]
             return pd.DataFrame({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j])})
 
         held: list[pd.DataFrame] = []
@@ -240,31 +265,50 @@ def near_documents(df: DataFrame, similarity: float = SIMILARITY, id_col: str =
     table = written(_sketched(df, id_col, text_col), "sketches")
     named = table.where(F.col("id").isNotNull() & F.col("key").isNotNull())
     classes = written(named.groupBy("key").agg(
-        F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketches").alias("sketches")), "classes")
-    bands = classes.select("rep", F.explode("sketches").alias("v"))
-    shared = bands.groupBy("v").agg(F.min("rep").alias("l1"), F.max("rep").alias("l2")).where("l1 < l2")
-    tried = bands.join(shared, "v").select("v", "rep", F.explode(F.array("l1", "l2")).alias("leader")).where("rep != leader").select(
-        "v", "rep", F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"), F.col("leader"))
-    tried = written(tried, "tried")
-    words = table.where(F.col("id").isNotNull()).select("id", "words")
-    first = written(_verified(tried.select("a", "b").distinct(), words, similarity), "first")
-
-    # texts that are near neither leader of a sketch, and are no leader themselves
-    outcome = tried.join(first, ["a", "b"]).groupBy("v", "rep").agg(F.max("linked").alias("linked"), F.count("*").alias("tries"))
-    rest = written(outcome.where("not linked and tries = 2").select("v", "rep"), "rest")
-    size = rest.groupBy("v").agg(F.count("*").alias("size")).where("size > 1").select("v", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("rep", "v"), F.col("blocks")).cast("int")
-    as_left = F.transform(F.sequence(mine, F.col("blocks") - 1), lambda y: F.struct(mine.alias("x"), y.alias("y"), F.lit(True).alias("left")))
+        F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketches").alias("sketches"), F.first("counters").alias("counters")), "classes")
+    words = all_words = table.where(F.col("id").isNotNull()).select("id", "words")
+    rest = classes.select(F.explode("sketches").alias("v"), "rep")
+    known = None
+    for number in range(ROUNDS):
+        leaders = rest.groupBy("v").agg(F.min("rep").alias("l1"), F.max("rep").alias("l2"), F.count("*").alias("size")).where("l1 < l2")
+        if number and (leaders.agg(F.max("size")).first()[0] or 0) <= CROWD:
+            break
+        tried = rest.join(leaders.drop("size"), "v").select("v", "rep", F.explode(F.array("l1", "l2")).alias("leader")).where("rep != leader")
+        tried = written(tried.select("v", "rep", F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")), "tried")
+        pairs = tried.select("a", "b").distinct()
+        if known is None:
+            known = written(_verified(pairs, words, similarity), "verified")
+        else:
+            more = _verified(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), words, similarity)
+            known = known.unionByName(written(more, "verified"))
+        # texts that are near neither leader of a sketch, and are no leader themselves
+        outcome = tried.join(known, ["a", "b"]).groupBy("v", "rep").agg(F.max("linked").alias("linked"), F.count("*").alias("tries"))
+        rest = written(outcome.where("not linked and tries = 2").select("v", "rep"), "rest")
+        words = written(words.join(rest.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "words")
+    # of each sketch, the texts outside its largest component against all others of another component
+    roots = written(components(known.where("linked"), "a", "b"), "roots")
+    placed = classes.join(roots, F.col("rep") == F.col("id"), "left").select("rep", F.coalesce("component", "rep").alias("component"))
+    bands = classes.select(F.explode("sketches").alias("v"), "rep").join(placed, "rep")
+    sizes = bands.groupBy("v", "component").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("v").agg(
+        F.sum("size").alias("all"), F.max("size").alias("most"), F.max(F.struct("size", "component"))["component"].alias("main")).where("most < all")
+    main = main.select(
+        "v", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("own_blocks"), F.ceil(F.col("most") / BLOCK).cast("int").alias("other_blocks"))
+    dealt = bands.join(main, "v").withColumn("h", F.xxhash64("rep", "v"))
+    mine = F.pmod("h", "own_blocks").cast("int")
+    theirs = F.col("own_blocks") + F.pmod("h", "other_blocks").cast("int")
+    as_left = F.transform(F.sequence(mine, F.col("own_blocks") + F.col("other_blocks") - 1), lambda y: F.struct(mine.alias("x"), y.alias("y"), F.lit(True).alias("left")))
     before = F.when(mine > 0, F.sequence(F.lit(0), mine - 1)).otherwise(F.array().cast("array<int>"))
     as_right = F.transform(before, lambda x: F.struct(x.alias("x"), mine.alias("y"), F.lit(False).alias("left")))
-    dealt = rest.join(size, "v").select("v", "rep", F.explode(F.concat(as_left, as_right)).alias("t")).select("v", "rep", "t.*")
-    dealt = dealt.join(classes.select("rep", "n", "sketches"), "rep")
+    visits = F.transform(F.sequence(F.lit(0), F.col("own_blocks") - 1), lambda x: F.struct(x.alias("x"), theirs.alias("y"), F.lit(False).alias("left")))
+    own = F.col("component") != F.col("main")
+    dealt = dealt.select("v", "rep", "component", F.explode(F.when(own, F.concat(as_left, as_right)).otherwise(visits)).alias("t")).select("v", "rep", "component", "t.*")
+    dealt = dealt.join(classes.select("rep", "n", "sketches", "counters"), "rep")
     dealt = dealt.repartition("v", "x", "y").sortWithinPartitions("v", "x", "y")
-    more = dealt.select("v", "x", "y", "left", "rep", "n", "sketches").mapInPandas(_agreeing(similarity), "a bigint, b bigint")
-    more = written(more.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    second = written(_verified(more, words, similarity), "second")
-
-    links = first.unionByName(second).where("linked")
+    more = dealt.select("v", "x", "y", "left", "rep", "component", "n", "sketches", "counters").mapInPandas(_agreeing(similarity), "a bigint, b bigint")
+    more = written(more.distinct().join(known.select("a", "b"), ["a", "b"], "left_anti"), "more")
+    links = roots.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(
+        written(_verified(more, all_words, similarity), "verified").where("linked").select("a", "b"))
     roots = components(links, "a", "b")
     found = classes.select("key", "rep", "copies").join(roots, F.col("rep") == F.col("id"), "left").select(
         F.col("key").alias("k"), F.coalesce("component", "rep").alias("component"), "copies")
