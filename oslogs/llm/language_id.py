@@ -197,8 +197,11 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     """
     key, text, lang = (F.col(f"`{c}`") for c in (id_col, text_col, lang_col))
     known = df.where(key.isNotNull() & text.isNotNull() & lang.isNotNull()).select(key.cast("bigint").alias("id"), lang.cast("string").alias("lang"), text.alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    few = known.select("id", "lang").withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_language)
+    # first within parts of each language, so that no task ranks what all tasks have found of a frequent one
+    few = known.select("id", "lang", F.pmod(F.xxhash64("id", "lang"), F.lit(64)).alias("part"))
+    for keys in (("lang", "part"), ("lang",)):
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("id"), "id")
+        few = few.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_language)
     few = few.orderBy("rn", "lang", "id").limit(TRAIN_ROWS).select("id", "lang").distinct()
 
     def cut(batches):
