@@ -18,6 +18,7 @@ from oslogs.llm import bpe
 from oslogs.llm.common import filter_batches, fold, map_batches, written
 
 TRAIN_ROWS = 8000  # labelled rows at most that the model is fitted to, chosen by a hash of their id
+ROWS_AT_A_TIME = 128  # whose features are held together
 BUCKETS = 1 << 17
 GRAMS = (3, 4, 5)
 DIMENSIONS = 4
@@ -186,11 +187,14 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
 
     def make(batches):
         for batch in batches:
-            found = [features(t) for t in batch.column(0).to_pylist()]
-            yield {"slots": [s.astype(np.int32) for s, _ in found], "weights": [w for _, w in found], "label": batch.column(1)}
+            for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
+                part = batch.slice(at, ROWS_AT_A_TIME)
+                found = [features(t) for t in part.column(0).to_pylist()]
+                yield {"slots": [s.astype(np.int32) for s, _ in found], "weights": [w for _, w in found], "label": part.column(1)}
 
     schema = "slots array<int>, weights array<float>, label int"
-    table = written(map_batches(few.select("text", "label"), make, schema), "features")
+    spread = few.select("text", "label").repartition(max(8, rows // 250))  # the limit leaves the sample in one task
+    table = written(map_batches(spread, make, schema), "features")
     n, positive = table.agg(F.count("*"), F.coalesce(F.avg((F.col("label") > 0).cast("double")), F.lit(0.0))).first()
     pairs = table.select((F.col("label") > 0).cast("double").alias("y"), F.explode(F.arrays_zip("slots", "weights")).alias("f")).select("y", "f.*")
     x = F.col("weights").cast("double")
@@ -203,9 +207,11 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
 
     def keep(batches):
         for batch in batches:
-            found = [(np.array(s, np.int32), np.array(w, np.float32)) for s, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            found = [(s[scale[s] > 0], w[scale[s] > 0]) for s, w in found]
-            yield {"slots": [s for s, _ in found], "weights": [w for _, w in found], "label": batch.column(2)}
+            slots, weights = (batch.column(i).flatten().to_numpy() for i in range(2))
+            ends = np.cumsum(batch.column(0).value_lengths().to_numpy())
+            good = scale[slots] > 0
+            kept = np.concatenate([[0], np.cumsum(good)])[ends]
+            yield {"slots": np.split(slots[good], kept)[:-1], "weights": np.split(weights[good], kept)[:-1], "label": batch.column(2)}
 
     got = map_batches(table, keep, schema).toArrow()
     flat = [(np.asarray(got.column(0)[i].values), np.asarray(got.column(1)[i].values)) for i in range(got.num_rows)]
