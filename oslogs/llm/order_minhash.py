@@ -227,9 +227,16 @@ def _agreeing(least: float):
             s, t = np.stack(left["sketches"].to_numpy()), np.stack(right["sketches"].to_numpy())
             n, m = left["n"].to_numpy(), right["n"].to_numpy()
             c, d = left["component"].to_numpy(), right["component"].to_numpy()
-            shared = sum((s[:, i, None] == t[None, :, i]).astype(np.int8) for i in range(s.shape[1]))
+            shared = np.zeros((len(a), len(b)), np.int8)
+            first = np.full((len(a), len(b)), -1, np.int8)
+            for k in range(s.shape[1] - 1, -1, -1):
+                equal = s[:, k, None] == t[None, :, k]
+                shared += equal
+                first[equal] = k
             good = (shared >= AGREE) & (np.minimum(n[:, None], m[None, :]) >= least * np.maximum(n[:, None], m[None, :]) - 1e-9) & (c[:, None] != d[None, :])
             i, j = np.nonzero(np.triu(good) if alone else good)
+            here = s[i, first[i, j]] == group["v"].iloc[0]  # a pair is made at the first sketch that it shares, and nowhere else
+            i, j = i[here], j[here]
             f, g = (np.stack([np.frombuffer(x, np.uint8) for x in side["counters"]]).astype(np.int16) for side in (left, right))
             near = np.zeros(len(i), bool)
             for at in range(0, len(i), 8192):
