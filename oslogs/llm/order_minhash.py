@@ -8,7 +8,7 @@ banded alignment of its words proves a similarity (1 - edits / longer length) of
 Equal texts are one class and compared once. A sketch that many texts share never yields all their pairs: every text is
 aligned with two leaders of the sketch, and those that are near neither with two of their own, as long as a crowd is left.
 Then the texts outside the sketch's largest component are compared, in blocks, with all its texts of other components, and
-aligned where more sketches agree and where lengths and word counts leave room for the similarity asked for. So no link
+aligned where lengths and word counts leave room for the similarity asked for. So no link
 between two components is lost, and no pair within one is ever made.
 """
 
@@ -32,11 +32,11 @@ LEAST = 2  # labelled shingles of a sketch
 SKETCHES = 24
 SIMILARITY = 0.8
 BLOCK = 512  # texts of a sketch that are compared at a time
-AGREE = 2  # sketches that two texts share at least to be compared where neither leader is near
 
 CROWD = 64  # texts of a sketch that are near no leader and are yet not led again
 ROUNDS = 2  # of leaders, at most; how many there are decides about time, not about results
 COUNTERS = 1024  # of words, for a lower bound of the edits between two texts
+FEWER = 128  # sums of counters, for a coarser bound that is tried first
 
 _WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20)
@@ -212,7 +212,7 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
 
 
 def _agreeing(least: float):
-    """Pairs of texts in the rows' groups (sorted by v, x, y) of different components that agree on AGREE sketches, in length and in words."""
+    """Pairs of texts in the rows' groups (sorted by v, x, y) of different components that share a sketch and agree in length and in words."""
 
     def run(frames):
         def pairs(rows: list[pd.DataFrame]) -> pd.DataFrame:
@@ -227,24 +227,22 @@ def _agreeing(least: float):
             s, t = np.stack(left["sketches"].to_numpy()), np.stack(right["sketches"].to_numpy())
             n, m = left["n"].to_numpy(), right["n"].to_numpy()
             c, d = left["component"].to_numpy(), right["component"].to_numpy()
-            shared = np.zeros((len(a), len(b)), np.int8)
             first = np.full((len(a), len(b)), -1, np.int8)
             for k in range(s.shape[1] - 1, -1, -1):
-                equal = s[:, k, None] == t[None, :, k]
-                shared += equal
-                first[equal] = k
-            good = (shared >= AGREE) & (np.minimum(n[:, None], m[None, :]) >= least * np.maximum(n[:, None], m[None, :]) - 1e-9) & (c[:, None] != d[None, :])
+                first[s[:, k, None] == t[None, :, k]] = k
+            good = (first >= 0) & (np.minimum(n[:, None], m[None, :]) >= least * np.maximum(n[:, None], m[None, :]) - 1e-9) & (c[:, None] != d[None, :])
             i, j = np.nonzero(np.triu(good) if alone else good)
             here = s[i, first[i, j]] == group["v"].iloc[0]  # a pair is made at the first sketch that it shares, and nowhere else
             i, j = i[here], j[here]
             f, g = (np.stack([np.frombuffer(x, np.uint8) for x in side["counters"]]).astype(np.int16) for side in (left, right))
-            near = np.zeros(len(i), bool)
-            for at in range(0, len(i), 8192):
-                p, q = i[at : at + 8192], j[at : at + 8192]
-                apart = f[p] - g[q]
-                most = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
-                near[at : at + 8192] = most <= (1 - least) * np.maximum(n[p], m[q]) + 1e-9
-            i, j = i[near], j[near]
+            for x, y in ((f.reshape(len(f), -1, FEWER).sum(1, dtype=np.int16), g.reshape(len(g), -1, FEWER).sum(1, dtype=np.int16)), (f, g)):
+                near = np.zeros(len(i), bool)
+                for at in range(0, len(i), 8192):
+                    p, q = i[at : at + 8192], j[at : at + 8192]
+                    apart = x[p] - y[q]
+                    most = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
+                    near[at : at + 8192] = most <= (1 - least) * np.maximum(n[p], m[q]) + 1e-9
+                i, j = i[near], j[near]
             return pd.DataFrame({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j])})
 
         held: list[pd.DataFrame] = []

@@ -107,6 +107,33 @@ def test_near_documents(spark, monkeypatch, block, crowd):
     assert order_minhash.near_documents(df.limit(0)).count() == 0 == order_minhash.one_of_each(df.limit(0)).count()
 
 
+def keys(text):
+    words = order_minhash.Words()(text)
+    return set(order_minhash.sketches(words).tolist()) if len(words) else set()
+
+
+@pytest.mark.parametrize("crowd", [1, 1000])
+def test_one_shared_sketch_is_enough(spark, monkeypatch, crowd):
+    """The classes are those of all similar pairs that share a sketch, however many texts share it."""
+    monkeypatch.setattr(order_minhash, "CROWD", crowd)
+    rng = np.random.default_rng(11)
+    passage, texts = [f"p{i}" for i in range(12)], []
+    for i in range(60):
+        base = [f"w{i}x{j}" for j in range(38)]
+        base = base[:20] + passage + base[20:]
+        texts.append(" ".join(base))
+        for at in rng.choice(50, 9, replace=False):
+            base[at] = f"e{i}x{at}"
+        texts.append(" ".join(base))
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    held, number = [keys(t) for t in texts], order_minhash.Words()
+    words = [number(t) for t in texts]
+    wanted = {(i, j) for j in range(len(texts)) for i in range(j) if held[i] & held[j] and order_minhash.similar(words[i], words[j])}
+    assert len(wanted) > 20
+    got = {r.doc_id: r.class_id for r in order_minhash.near_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {(got[i], i) for i in got if got[i] != i} == wanted
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(3, 3), (9, 8), (200, 150), (200, 150)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(pairs, "x long, y long"), "x", "y").collect()}
