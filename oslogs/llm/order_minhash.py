@@ -2,8 +2,10 @@
 
 A text's words give shingles of five words, each labelled with how often it has occurred before. For each of many hash functions
 the few least labelled shingles are taken and kept in the order of the text, so that two texts agree on a sketch with a
-probability that follows their edit similarity. Texts that share a sketch are candidates; a candidate pair is a link if a
-banded alignment of its words proves a similarity (1 - edits / longer length) of at least 0.8.
+probability that follows their edit similarity. As scattered edits leave few shingles whole, as many sketches hold the single
+least shingle; texts of up to BRIEF words have more of three-word shingles, and those of up to EXACT words have their
+word-deletion neighbourhood, which no link of 0.8 escapes. Texts that share a sketch are candidates; a candidate pair is a link
+if a banded alignment of its words proves a similarity (1 - edits / longer length) of at least 0.8.
 
 Equal texts are one class and compared once. A sketch that many texts share never yields all their pairs: every text is
 aligned with two leaders of the sketch, and those that are near neither with two of their own, as long as a crowd is left.
@@ -17,7 +19,8 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from itertools import groupby
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -29,7 +32,12 @@ from oslogs.llm.components import components
 
 SHINGLE = 5  # words
 LEAST = 2  # labelled shingles of a sketch
-SKETCHES = 24
+ORDERED = 24  # sketches of LEAST shingles
+SKETCHES = ORDERED + 24  # the others are of one shingle
+BRIEF = 64  # words of a text that also has sketches of shorter shingles
+BRIEF_SHINGLE = 3  # words
+BRIEF_SKETCHES = 24
+EXACT = 14  # words of a text that also has its word deletions as sketches
 SIMILARITY = 0.8
 BLOCK = 512  # texts of a sketch that are compared at a time
 
@@ -40,7 +48,7 @@ FEWER = 128  # sums of counters, for a coarser bound that is tried first
 
 _WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20)
-_FACTORS = _RANDOM.integers(0, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = _RANDOM.integers(0, 1 << 63, SKETCHES + BRIEF_SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9FB21C651E98DF25)
 _REMEMBERED = 400_000  # words whose numbers a worker keeps
 
@@ -68,31 +76,69 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def sketches(words: np.ndarray) -> np.ndarray:
-    """The sketches of a text with at least one word."""
-    n = max(1, len(words) - SHINGLE + 1)
+def _labelled(words: np.ndarray, size: int) -> np.ndarray:
+    """The labelled shingles of a text with at least one word."""
+    n = max(1, len(words) - size + 1)
     x = words.astype(np.uint64)
     with np.errstate(over="ignore"):
         keys = np.zeros(n, np.uint64)
-        for i in range(min(SHINGLE, len(words))):
+        for i in range(min(size, len(words))):
             keys = _mixed(keys + x[i : i + n] + np.uint64(i))
         # the occurrence number of each shingle
         order = np.argsort(keys, kind="stable")
         first = np.r_[True, keys[order][1:] != keys[order][:-1]]
         seen = np.empty(n, np.uint64)
         seen[order] = np.arange(n) - np.flatnonzero(first)[np.cumsum(first) - 1]
-        labelled = _mixed(keys + seen * np.uint64(0x632BE59BD9B4E019))
-        values = labelled[None, :] * _FACTORS[:, None]
+        return _mixed(keys + seen * np.uint64(0x632BE59BD9B4E019))
+
+
+def sketches(words: np.ndarray) -> np.ndarray:
+    """The sketches of a text with at least one word: ORDERED of LEAST shingles in their order, then those of one shingle."""
+    labelled = _labelled(words, SHINGLE)
+    n = len(labelled)
+    with np.errstate(over="ignore"):
+        values = labelled[None, :] * _FACTORS[:SKETCHES, None]
         if n > LEAST:
-            chosen = np.sort(np.argpartition(values, LEAST - 1, axis=1)[:, :LEAST], axis=1)
+            chosen = np.sort(np.argpartition(values[:ORDERED], LEAST - 1, axis=1)[:, :LEAST], axis=1)
         else:
-            chosen = np.broadcast_to(np.arange(n), (SKETCHES, n))
+            chosen = np.broadcast_to(np.arange(n), (ORDERED, n))
         out = np.zeros(SKETCHES, np.uint64)
         for i in range(chosen.shape[1]):
-            out = _mixed(out + labelled[chosen[:, i]])
+            out[:ORDERED] = _mixed(out[:ORDERED] + labelled[chosen[:, i]])
+        out[ORDERED:] = _mixed(labelled[values[ORDERED:].argmin(1)])
         return (out ^ np.arange(SKETCHES, dtype=np.uint64)).view(np.int64)
 
 
+@lru_cache(maxsize=None)
+def _left(n: int, gone: int) -> np.ndarray:
+    """The places that are left of n where some are gone, a row for each choice."""
+    return np.array(list(combinations(range(n), n - gone)), np.int64).reshape(-1, n - gone)
+
+
+def brief(words: np.ndarray) -> np.ndarray:
+    """Further sketches of a text of 1 to BRIEF words: of shorter shingles and, up to EXACT words, of what word deletions leave.
+
+    Two texts that k edits part have a sequence in common that k deletions or fewer leave of each, so every link of at
+    least SIMILARITY between texts of up to EXACT words shares such a sketch.
+    """
+    n = len(words)
+    if not 0 < n <= BRIEF:
+        return np.zeros(0, np.int64)
+    x = words.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        labelled = _labelled(words, BRIEF_SHINGLE)
+        least = labelled[(labelled[None, :] * _FACTORS[SKETCHES:, None]).argmin(1)]
+        out = [_mixed(least + np.uint64(BRIEF_SHINGLE)) ^ np.arange(SKETCHES, SKETCHES + BRIEF_SKETCHES, dtype=np.uint64)]
+        allowed = {m: int((1 - SIMILARITY) * m + 1e-9) for m in range(n, EXACT + 1)}
+        for gone in range(1 + max((k for m, k in allowed.items() if m - n <= k), default=-1)):
+            left = _left(n, gone)
+            keys = np.full(len(left), 0x2545F4914F6CDD1D, np.uint64)
+            for i in range(left.shape[1]):
+                keys = _mixed(keys + x[left[:, i]])
+            out.append(keys)
+    return np.unique(np.concatenate(out)).view(np.int64)
+
+
 def counted(words: np.ndarray) -> bytes:
     """How many words fall to each counter (255 at most).
 
@@ -179,7 +225,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 
 
 def _sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, key (digest of the text; null for a null text), sketches (none for a text without words) and the words' numbers."""
+    """id, key (digest of the text; null for a null text), sketches and brief ones (none for a text without words) and the words' numbers."""
 
     def rows(batches):
         number = Words()
@@ -190,12 +236,12 @@ def _sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 words = [number(t) for t in texts]
                 yield {
                     "id": part.column(0), "key": [hashlib.md5(t.encode()).digest() if t is not None else None for t in texts],
-                    "n": [len(w) for w in words], "sketches": [sketches(w) if len(w) else [] for w in words], "words": [w.astype("<u4").tobytes() for w in words],
+                    "n": [len(w) for w in words], "sketches": [sketches(w) if len(w) else [] for w in words], "brief": [brief(w) for w in words], "words": [w.astype("<u4").tobytes() for w in words],
                     "counters": [counted(w) for w in words],
                 }
 
     few = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return map_batches(few, rows, "id bigint, key binary, n int, sketches array<bigint>, words binary, counters binary")
+    return map_batches(few, rows, "id bigint, key binary, n int, sketches array<bigint>, brief array<bigint>, words binary, counters binary")
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -227,13 +273,13 @@ def _agreeing(least: float):
             s, t = np.stack(left["sketches"].to_numpy()), np.stack(right["sketches"].to_numpy())
             n, m = left["n"].to_numpy(), right["n"].to_numpy()
             c, d = left["component"].to_numpy(), right["component"].to_numpy()
-            first = np.full((len(a), len(b)), -1, np.int8)
-            for k in range(s.shape[1] - 1, -1, -1):
-                first[s[:, k, None] == t[None, :, k]] = k
-            good = (first >= 0) & (np.minimum(n[:, None], m[None, :]) >= least * np.maximum(n[:, None], m[None, :]) - 1e-9) & (c[:, None] != d[None, :])
+            v = group["v"].iloc[0]
+            good = (np.minimum(n[:, None], m[None, :]) >= least * np.maximum(n[:, None], m[None, :]) - 1e-9) & (c[:, None] != d[None, :])
+            # a pair is made at the first sketch that it shares, and nowhere else; brief sketches come last
+            places = np.flatnonzero((s == v).any(0))
+            for k in range(places[0] if len(places) else s.shape[1]):
+                good &= s[:, k, None] != t[None, :, k]
             i, j = np.nonzero(np.triu(good) if alone else good)
-            here = s[i, first[i, j]] == group["v"].iloc[0]  # a pair is made at the first sketch that it shares, and nowhere else
-            i, j = i[here], j[here]
             f, g = (np.stack([np.frombuffer(x, np.uint8) for x in side["counters"]]).astype(np.int16) for side in (left, right))
             for x, y in ((f.reshape(len(f), -1, FEWER).sum(1, dtype=np.int16), g.reshape(len(g), -1, FEWER).sum(1, dtype=np.int16)), (f, g)):
                 near = np.zeros(len(i), bool)
@@ -243,6 +289,10 @@ def _agreeing(least: float):
                     most = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
                     near[at : at + 8192] = most <= (1 - least) * np.maximum(n[p], m[q]) + 1e-9
                 i, j = i[near], j[near]
+            if not len(places):
+                more, others = ([set(x) for x in side["brief"]] for side in (left, right))
+                here = np.array([min(more[p] & others[q]) == v for p, q in zip(i, j)], bool)
+                i, j = i[here], j[here]
             return pd.DataFrame({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j])})
 
         held: list[pd.DataFrame] = []
@@ -270,30 +320,34 @@ def near_documents(df: DataFrame, similarity: float = SIMILARITY, id_col: str =
     table = written(_sketched(df, id_col, text_col), "sketches")
     named = table.where(F.col("id").isNotNull() & F.col("key").isNotNull())
     classes = written(named.groupBy("key").agg(
-        F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketches").alias("sketches"), F.first("counters").alias("counters")), "classes")
-    words = all_words = table.where(F.col("id").isNotNull()).select("id", "words")
-    rest = classes.select(F.explode("sketches").alias("v"), "rep")
+        F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketches").alias("sketches"), F.first("brief").alias("brief"), F.first("counters").alias("counters")), "classes")
+    words = table.where(F.col("id").isNotNull()).select("id", "words")
+    every = classes.select(F.explode(F.concat("sketches", "brief")).alias("v"), "rep", "n")
+    shared = every.groupBy("v").count().where("count > 1").select("v")  # most sketches are of one text alone and lead to no pair
+    rest = shared = written(every.join(shared, "v", "left_semi"), "shared")
     known = None
     for number in range(ROUNDS):
-        leaders = rest.groupBy("v").agg(F.min("rep").alias("l1"), F.max("rep").alias("l2"), F.count("*").alias("size")).where("l1 < l2")
+        leaders = rest.groupBy("v").agg(F.min(F.struct("rep", "n")).alias("l1"), F.max(F.struct("rep", "n")).alias("l2"), F.count("*").alias("size")).where("l1.rep < l2.rep")
         if number and (leaders.agg(F.max("size")).first()[0] or 0) <= CROWD:
             break
-        tried = rest.join(leaders.drop("size"), "v").select("v", "rep", F.explode(F.array("l1", "l2")).alias("leader")).where("rep != leader")
-        tried = written(tried.select("v", "rep", F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")), "tried")
-        pairs = tried.select("a", "b").distinct()
+        tried = rest.join(leaders.drop("size"), "v").select("v", "rep", "n", F.explode(F.array("l1", "l2")).alias("leader")).where("rep != leader.rep")
+        fits = F.least("n", "leader.n") >= similarity * F.greatest("n", "leader.n") - 1e-9  # else lengths alone rule out a link
+        tried = written(tried.select("v", "rep", "n", F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b"), fits.alias("fits")), "tried")
+        pairs = tried.where("fits").select("a", "b").distinct()
         if known is None:
             known = written(_verified(pairs, words, similarity), "verified")
         else:
             more = _verified(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), words, similarity)
             known = known.unionByName(written(more, "verified"))
+        if number == ROUNDS - 1:
+            break
         # texts that are near neither leader of a sketch, and are no leader themselves
-        outcome = tried.join(known, ["a", "b"]).groupBy("v", "rep").agg(F.max("linked").alias("linked"), F.count("*").alias("tries"))
-        rest = written(outcome.where("not linked and tries = 2").select("v", "rep"), "rest")
-        words = written(words.join(rest.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "words")
+        outcome = tried.join(known, ["a", "b"], "left").groupBy("v", "rep", "n").agg(F.max(F.coalesce("linked", F.lit(False))).alias("linked"), F.count("*").alias("tries"))
+        rest = written(outcome.where("not linked and tries = 2").select("v", "rep", "n"), "rest")
     # of each sketch, the texts outside its largest component against all others of another component
     roots = written(components(known.where("linked"), "a", "b"), "roots")
     placed = classes.join(roots, F.col("rep") == F.col("id"), "left").select("rep", F.coalesce("component", "rep").alias("component"))
-    bands = classes.select(F.explode("sketches").alias("v"), "rep").join(placed, "rep")
+    bands = shared.select("v", "rep").join(placed, "rep")
     sizes = bands.groupBy("v", "component").agg(F.count("*").alias("size"))
     main = sizes.groupBy("v").agg(
         F.sum("size").alias("all"), F.max("size").alias("most"), F.max(F.struct("size", "component"))["component"].alias("main")).where("most < all")
@@ -308,12 +362,12 @@ def near_documents(df: DataFrame, similarity: float = SIMILARITY, id_col: str =
     visits = F.transform(F.sequence(F.lit(0), F.col("own_blocks") - 1), lambda x: F.struct(x.alias("x"), theirs.alias("y"), F.lit(False).alias("left")))
     own = F.col("component") != F.col("main")
     dealt = dealt.select("v", "rep", "component", F.explode(F.when(own, F.concat(as_left, as_right)).otherwise(visits)).alias("t")).select("v", "rep", "component", "t.*")
-    dealt = dealt.join(classes.select("rep", "n", "sketches", "counters"), "rep")
+    dealt = dealt.join(classes.select("rep", "n", "sketches", "brief", "counters"), "rep")
     dealt = dealt.repartition("v", "x", "y").sortWithinPartitions("v", "x", "y")
-    more = dealt.select("v", "x", "y", "left", "rep", "component", "n", "sketches", "counters").mapInPandas(_agreeing(similarity), "a bigint, b bigint")
+    more = dealt.select("v", "x", "y", "left", "rep", "component", "n", "sketches", "brief", "counters").mapInPandas(_agreeing(similarity), "a bigint, b bigint")
     more = written(more.distinct().join(known.select("a", "b"), ["a", "b"], "left_anti"), "more")
     links = roots.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(
-        written(_verified(more, all_words, similarity), "verified").where("linked").select("a", "b"))
+        written(_verified(more, words, similarity), "verified").where("linked").select("a", "b"))
     roots = components(links, "a", "b")
     found = classes.select("key", "rep", "copies").join(roots, F.col("rep") == F.col("id"), "left").select(
         F.col("key").alias("k"), F.coalesce("component", "rep").alias("component"), "copies")

@@ -109,7 +109,7 @@ def test_near_documents(spark, monkeypatch, block, crowd):
 
 def keys(text):
     words = order_minhash.Words()(text)
-    return set(order_minhash.sketches(words).tolist()) if len(words) else set()
+    return {*order_minhash.sketches(words).tolist(), *order_minhash.brief(words).tolist()} if len(words) else set()
 
 
 @pytest.mark.parametrize("crowd", [1, 1000])
@@ -134,6 +134,40 @@ def test_one_shared_sketch_is_enough(spark, monkeypatch, crowd):
     assert {(got[i], i) for i in got if got[i] != i} == wanted
 
 
+def test_short_links_always_share_a_sketch():
+    rng = np.random.default_rng(4)
+    for n in range(1, order_minhash.EXACT + 1):
+        for _ in range(60):
+            a = [f"w{x}" for x in rng.integers(0, 30, n)]
+            b = list(a)
+            for _ in range(rng.integers(1, 4)):
+                at, what = int(rng.integers(0, len(b) + 1)), rng.integers(0, 3)
+                b[at : at + int(what > 0)] = [f"e{rng.integers(0, 9)}"] if what != 1 else []
+            if 0 < len(b) <= order_minhash.EXACT and distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+                assert keys(" ".join(a)) & keys(" ".join(b))
+
+
+def test_scattered_edits_share_a_sketch():
+    rng = np.random.default_rng(6)
+    for n in (15, 20, 40, 64, 100, 250):
+        for share in (0.2, 0.15, 0.1):
+            found = 0
+            for i in range(100):
+                a = [f"{i}w{j}" for j in range(n)]
+                b = list(a)
+                for at in rng.choice(n, int(n * share), replace=False):
+                    b[at] += "e"
+                found += bool(keys(" ".join(a)) & keys(" ".join(b)))
+            assert found >= 95
+
+
+def test_changed_word_in_short_texts(spark):
+    texts = ["one two three four five", "one two other four five", "a b c d e f g", "a b c x e f g", "one two three four", "a b c d x f h"]
+    texts += [f"u v w{i} x y" for i in range(600)] + ["g h i j k l m n o p", "g h z j k l m q o p"]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(6)] == [0, 0, 2, 2, 0, 5] and {got[6 + i] for i in range(600)} == {6} and got[607] == got[606] == 606
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(3, 3), (9, 8), (200, 150), (200, 150)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(pairs, "x long, y long"), "x", "y").collect()}
