@@ -21,13 +21,14 @@ from oslogs.llm.common import map_batches
 # Phrases that always count, with their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-# Signatures by family: label, name as written (pattern), short forms (pattern), versions, keywords (name, short form).
+# Signatures by family: label, name as written (pattern), short forms (pattern), versions, keywords (name, short form). Keywords
+# parted by | stand for alternatives, one of which is in every text that matches.
 FAMILIES = [
     ("gpl", r"gnu general public licen[cs]e", r"gpl|gnu gpl", ("1", "2", "3"), ("general public", "gpl")),
     ("lgpl", r"(?:gnu )?(?:lesser|library) general public licen[cs]e", r"lgpl|gnu lgpl", ("2", "2.1", "3"), ("general public", "lgpl")),
     ("agpl", r"(?:gnu )?affero general public licen[cs]e", r"agpl|gnu agpl", ("1", "3"), ("affero", "agpl")),
     ("gfdl", r"(?:gnu )?free documentation licen[cs]e", r"gfdl|fdl", ("1.1", "1.2", "1.3"), ("free documentation", "fdl")),
-    ("apache", r"apache (?:software )?licen[cs]e", r"apache|asl", ("1.0", "1.1", "2.0"), ("apache", "asl")),
+    ("apache", r"apache (?:software )?licen[cs]e", r"apache|asl", ("1.0", "1.1", "2.0"), ("apache", "apache|asl")),
     ("mpl", r"mozilla public licen[cs]e", r"mpl", ("1.0", "1.1", "2.0"), ("mozilla", "mpl")),
     ("epl", r"eclipse public licen[cs]e", r"epl", ("1.0", "2.0"), ("eclipse public", "epl")),
     ("cpl", r"common public licen[cs]e", r"cpl", ("1.0",), ("common public", "cpl")),
@@ -183,7 +184,8 @@ class Scanner:
         self.automaton = ahocorasick.Automaton()
         by: dict[str, list[int]] = {}
         for i, rule in enumerate(self.rules):
-            by.setdefault(rule.keyword, []).append(i)
+            for keyword in rule.keyword.split("|"):
+                by.setdefault(keyword, []).append(i)
         for phrase in BASE:
             by.setdefault(phrase, [])
         for keyword, numbers in by.items():

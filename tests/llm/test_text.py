@@ -81,6 +81,42 @@ def test_license_rules(text, labels):
     assert {x for _, x in base} | {d.label for d in found} == labels
 
 
+def strings(parsed):
+    """Strings that a parsed pattern matches: every branch, options with and without, the first sign of a set of ranges."""
+    out = [""]
+    for op, value in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            more = [chr(value)]
+        elif kind == "ANY":
+            more = ["x"]
+        elif kind == "IN":
+            more = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value]
+        elif kind == "BRANCH":
+            more = [x for branch in value[1] for x in strings(branch)]
+        elif kind == "SUBPATTERN":
+            more = strings(value[3])
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            more = [x * n for n in sorted({value[0], max(value[0], 1)}) for x in strings(value[2])]
+        else:
+            assert kind == "ASSERT_NOT", kind
+            more = [""]
+        out = [a + b for a in out for b in dict.fromkeys(more)]
+    return out
+
+
+def test_every_rule_has_its_keyword_in_what_it_matches():
+    for rule in licenses.rules():
+        made = strings(re._parser.parse(rule.pattern.pattern))
+        assert made and all(rule.pattern.fullmatch(x) for x in made), rule
+        assert all(any(k in x for k in rule.keyword.split("|")) for x in made), rule
+
+
+@pytest.mark.parametrize(("text", "label"), [("Apache 2.0", "apache-2.0"), ("Apache v2", "apache-2.0"), ("Apache-1.1", "apache-1.1"), ("ASL 2.0", "apache-2.0")])
+def test_short_forms_need_no_other_text(text, label):
+    assert [d.label for d in licenses.scanner().scan(text)[2]] == [label]
+
+
 def test_no_detection_lies_within_another():
     found = licenses.scanner().scan("GNU General Public License version 2 or later, and GPL-2.0, gnu general public license")[2]
     spans = [(d.first, d.last) for d in found]
