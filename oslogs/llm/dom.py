@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Generator, Iterator
+from functools import wraps
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -20,16 +22,36 @@ CLOSES = {
     "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
 }
 
-DEEPEST = 100  # elements nested deeper count as empty marks in their parent, which keeps their text
-
 _TAG = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,20000}+"|'[^']{0,20000}+')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*>""",
+    r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*>""",
     re.S,
 )
-_NAMED = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|itemprop)(?![\w-])(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
+_NAMED = frozenset("class id role hidden aria-hidden itemprop".split())
 _WORDS = re.compile(r"[a-z]+")
 
 
+def deep(f: Callable[..., Generator]) -> Callable:
+    """A function that recurs without Python's stack: f yields calls of f.each, of its own or others', and is sent what they return."""
+
+    @wraps(f)
+    def call(*args):
+        stack, value = [f(*args)], None
+        while stack:
+            try:
+                inner = stack[-1].send(value)
+            except StopIteration as end:
+                stack.pop()
+                value = end.value
+            else:
+                stack.append(inner)
+                value = None
+        return value
+
+    call.each = f
+    return call
+
+
 class Node:
     __slots__ = ("tag", "words", "children")
 
@@ -40,8 +62,11 @@ class Node:
 
 def _role_words(attributes: str) -> frozenset[str]:
     out: set[str] = set()
-    for name, value in _NAMED.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name not in _NAMED:
+            continue
+        value = value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             out.add("hidden")
         elif name != "aria-hidden":
@@ -53,16 +78,23 @@ def parse(text: str) -> Node:
     """The tree of a page. Missing end tags are implied, stray ones ignored, comments dropped; every text is kept once."""
     root = Node("#root")
     stack = [root]
+    named: Counter[str] = Counter()  # open elements by tag
     at = 0
 
     def add(piece: str) -> None:
         if piece:
             stack[-1].children.append(html.unescape(piece) if "&" in piece else piece)
 
+    def end(i: int) -> None:
+        named.subtract(n.tag for n in stack[i:])
+        del stack[i:]
+
     def close(tags: tuple[str, ...], walls: tuple[str, ...]) -> None:
+        if not any(named[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
-                del stack[i:]
+                end(i)
                 return
             if stack[i].tag in walls:
                 return
@@ -74,10 +106,8 @@ def parse(text: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if named[tag]:
+                end(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
         if tag in ENDS_P:
             close(("p",), ("button", "td", "th", "table", "caption"))
@@ -86,13 +116,14 @@ def parse(text: str) -> Node:
         node = Node(tag, _role_words(m[3]) if m[3] and m[3].strip() else frozenset())
         stack[-1].children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(text, at)
-            inner = text[at : end.start() if end else len(text)]
-            at = end.end() if end else len(text)
+            last = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(text, at)
+            inner = text[at : last.start() if last else len(text)]
+            at = last.end() if last else len(text)
             if inner and tag in ("title", "textarea"):
                 node.children.append(html.unescape(inner))
-        elif tag not in VOID and len(stack) < DEEPEST:
+        elif tag not in VOID:
             stack.append(node)
+            named[tag] += 1
     tail = text[at:]
     add(tail)
     return root
@@ -100,10 +131,12 @@ def parse(text: str) -> Node:
 
 def texts(node: Node) -> Iterator[str]:
     """All text below a node; line breaks count as blanks."""
-    for child in node.children:
+    ahead = node.children[::-1]
+    while ahead:
+        child = ahead.pop()
         if isinstance(child, str):
             yield child
         elif child.tag == "br":
             yield " "
         else:
-            yield from texts(child)
+            ahead += child.children[::-1]

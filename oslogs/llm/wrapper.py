@@ -11,9 +11,11 @@ number, so that a host with a third of all pages is no larger a task than any ot
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -55,7 +57,14 @@ def left_out(node: dom.Node, inside_article: bool) -> bool:
 
 
 def _has_heading(node: dom.Node) -> bool:
-    return any(isinstance(c, dom.Node) and (c.tag in HEADINGS or _has_heading(c)) for c in node.children)
+    ahead = list(node.children)
+    while ahead:
+        c = ahead.pop()
+        if isinstance(c, dom.Node):
+            if c.tag in HEADINGS:
+                return True
+            ahead += c.children
+    return False
 
 
 class Tree:
@@ -68,43 +77,60 @@ class Tree:
 
     def __init__(self, label: str, total: int, chars: int, pages: int, children: list[Tree], out: bool, nodes: list[dom.Node] | None = None):
         self.label, self.sum, self.chars, self.pages, self.children, self.out, self.nodes = label, total, chars, pages, children, out, nodes or []
-        self.form: str | None = None
+        self.form: bytes | None = None
 
-    def shape(self) -> str:
-        """The labels of the whole tree."""
-        if self.form is None:
-            self.form = self.label + ("(" + ",".join(c.shape() for c in self.children) + ")" if self.children else "")
+    def shape(self) -> bytes:
+        """A digest of the labels of the whole tree."""
+        for t in reversed(list(self.below())) if self.form is None else ():
+            if t.form is None:
+                t.form = hashlib.md5(json.dumps([t.label, len(t.children)]).encode() + b"".join(c.form for c in t.children)).digest()
         return self.form
 
+    def below(self) -> Iterator[Tree]:
+        """The nodes of the tree, parents before their children, in their order."""
+        ahead = [self]
+        while ahead:
+            t = ahead.pop()
+            yield t
+            ahead += t.children[::-1]
+
     def dump(self) -> list:
-        return [self.label, self.sum, self.chars, self.pages, int(self.out), [c.dump() for c in self.children]]
+        return [[t.label, t.sum, t.chars, t.pages, int(t.out), len(t.children)] for t in self.below()]
 
     @staticmethod
-    def load(x: list) -> Tree:
-        return Tree(x[0], x[1], x[2], x[3], [Tree.load(c) for c in x[5]], bool(x[4]))
+    def load(rows: list) -> Tree:
+        ready: list[Tree] = []
+        for label, total, chars, pages, out, n in reversed(rows):
+            children = [ready.pop() for _ in range(n)]
+            ready.append(Tree(label, total, chars, pages, children, bool(out)))
+        return ready[0]
 
 
 def _own_text(node: dom.Node) -> list[str]:
     """Text of a node outside the block elements below it."""
-    out = []
-    for c in node.children:
+    out, ahead = [], node.children[::-1]
+    while ahead:
+        c = ahead.pop()
         if isinstance(c, str):
             out.append(c)
         elif c.tag not in dom.BLOCKS and c.tag not in LEFT_OUT:
-            out += _own_text(c)
+            ahead += c.children[::-1]
     return out
 
 
 def _blocks_below(node: dom.Node):
-    for c in node.children:
+    ahead = node.children[::-1]
+    while ahead:
+        c = ahead.pop()
         if isinstance(c, dom.Node):
             if c.tag in dom.BLOCKS or c.tag in LEFT_OUT:
                 yield c
             else:
-                yield from _blocks_below(c)
+                ahead += c.children[::-1]
 
 
-def tree_of(nodes: list[dom.Node], inside: bool = False) -> Tree:
+@dom.deep
+def tree_of(nodes: list[dom.Node], inside: bool = False):
     """The tree of one element, or of a run of neighbours with one label; inline elements count as their text."""
     first = nodes[0]
     label = first.tag + ("." + ".".join(sorted(first.words)) if first.words else "")
@@ -125,15 +151,23 @@ def tree_of(nodes: list[dom.Node], inside: bool = False) -> Tree:
         for run in runs:
             by.setdefault((run[0].tag, run[0].words), []).extend(run)
         runs = list(by.values())
-    return Tree(label, zlib.crc32(text.encode()) or 1, len(text), 1, [tree_of(r, inside) for r in runs], out, nodes)
+    children = []
+    for r in runs:
+        children.append((yield tree_of.each(r, inside)))
+    return Tree(label, zlib.crc32(text.encode()) or 1, len(text), 1, children, out, nodes)
 
 
-def match(a: list[Tree], b: list[Tree]) -> list[tuple[int, int]]:
+@dom.deep
+def match(a: list[Tree], b: list[Tree]):
     """The order-preserving pairs of two lists of children with the largest total of simple tree matching."""
     n, m = len(a), len(b)
     if n == m and all(x.label == y.label for x, y in zip(a, b)):
         return [(i, i) for i in range(n)]
-    weight = [[_score(x, y) for y in b] for x in a]
+    weight = []
+    for x in a:
+        weight.append([])
+        for y in b:
+            weight[-1].append((yield _score.each(x, y)) if x.label == y.label else 0)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
@@ -151,59 +185,71 @@ def match(a: list[Tree], b: list[Tree]) -> list[tuple[int, int]]:
     return out
 
 
-def _score(a: Tree, b: Tree) -> int:
-    """Simple tree matching: how many nodes of two trees can be paired, roots with roots."""
-    return _score_of(a.shape(), b.shape(), a, b) if a.label == b.label else 0
-
-
-_SCORES: dict[tuple[str, str], int] = {}
+_SCORES: dict[tuple[bytes, bytes], int] = {}
 
 
-def _score_of(x: str, y: str, a: Tree, b: Tree) -> int:
-    if (x, y) not in _SCORES:
+@dom.deep
+def _score(a: Tree, b: Tree):
+    """Simple tree matching: how many nodes of two trees can be paired, roots with roots."""
+    if a.label != b.label:
+        return 0
+    key = a.shape(), b.shape()
+    if key not in _SCORES:
+        score = 1
+        for i, j in (yield match.each(a.children, b.children)):
+            score += yield _score.each(a.children[i], b.children[j])
         if len(_SCORES) > 100_000:
             _SCORES.clear()
-        _SCORES[x, y] = 1 + sum(_score(a.children[i], b.children[j]) for i, j in match(a.children, b.children))
-    return _SCORES[x, y]
+        _SCORES[key] = score
+    return _SCORES[key]
 
 
-def merge(a: Tree, b: Tree) -> Tree:
+@dom.deep
+def merge(a: Tree, b: Tree):
     """Two aligned trees as one: text that differs varies from now on, nodes that only one has stay in their order."""
     children, i, j = [], 0, 0
     for p, q in [*match(a.children, b.children), (len(a.children), len(b.children))]:
         children += a.children[i:p] + b.children[j:q]
         if p < len(a.children):
-            children.append(merge(a.children[p], b.children[q]))
+            children.append((yield merge.each(a.children[p], b.children[q])))
         i, j = p + 1, q + 1
     return Tree(a.label, a.sum if a.sum == b.sum else 0, a.chars + b.chars, a.pages + b.pages, children, a.out)
 
 
 def trimmed(tree: Tree) -> Tree:
     """The tree without rare nodes, where it has grown beyond NODES."""
-    def count(t: Tree) -> int:
-        return 1 + sum(map(count, t.children))
-
-    def keep(t: Tree, least: int) -> Tree:
-        return Tree(t.label, t.sum, t.chars, t.pages, [keep(c, least) for c in t.children if c.pages >= least], t.out)
+    @dom.deep
+    def keep(t: Tree, least: int):
+        children = []
+        for c in t.children:
+            if c.pages >= least:
+                children.append((yield keep.each(c, least)))
+        return Tree(t.label, t.sum, t.chars, t.pages, children, t.out)
 
     least = 2
-    while count(tree) > NODES and least <= tree.pages:
+    while sum(1 for _ in tree.below()) > NODES and least <= tree.pages:
         tree, least = keep(tree, least), least * 2
     return tree
 
 
-def varying(tree: Tree, alone: bool) -> int:
-    """Signs of text, below a node and outside what is left out, that varies between pages (alone: all)."""
-    return 0 if tree.out else (tree.chars if alone or not tree.sum else 0) + sum(varying(c, alone) for c in tree.children)
+def varying(tree: Tree, alone: bool) -> dict[int, int]:
+    """By node (id), signs of text at and below it and outside what is left out, that varies between pages (alone: all)."""
+    out: dict[int, int] = {}
+    for t in reversed(list(tree.below())):
+        out[id(t)] = 0 if t.out else (t.chars if alone or not t.sum else 0) + sum(out[id(c)] for c in t.children)
+    return out
 
 
-def _articles(tree: Tree) -> list[Tree]:
+@dom.deep
+def _articles(tree: Tree):
     if tree.out:
         return []
     tag, *words = tree.label.split(".")
-    inner = [a for c in tree.children for a in _articles(c)]
     if tag == "article":
         return [tree]
+    inner = []
+    for c in tree.children:
+        inner += yield _articles.each(c)
     return inner or ([tree] if tag == "main" or ARTICLE_WORDS & set(words) else [])
 
 
@@ -213,16 +259,19 @@ def region(tree: Tree) -> tuple[list[Tree], bool]:
     What the pages themselves name as article or main part is taken whole if it holds text. Otherwise the way goes from the
     root to the child that has three quarters of the varying text, down to where text blocks begin.
     """
-    alone = tree.pages == 1 or not varying(tree, False)
+    signs = varying(tree, True)
     named = _articles(tree)
-    if sum(varying(a, True) for a in named):
+    if sum(signs[id(a)] for a in named):
         return named, False
+    changing = varying(tree, False)
+    alone = tree.pages == 1 or not changing[id(tree)]
+    weight = signs if alone else changing
     node = tree
     while node.children:
-        best = max(node.children, key=lambda c: varying(c, alone))
+        best = max(node.children, key=lambda c: weight[id(c)])
         if any(c.label.split(".")[0] in HEADINGS and not c.out for c in node.children) or best.label.split(".")[0] in LEAVES:
             break
-        if varying(best, alone) < 0.75 * max(1, varying(node, alone)):
+        if weight[id(best)] < 0.75 * max(1, weight[id(node)]):
             break
         node = best
     return [node], not alone
@@ -234,25 +283,24 @@ class Wrapper:
     def __init__(self, tree: Tree):
         self.tree = tree
         self.region, self.drops = region(tree)
-        self.places: dict[str, tuple] = {}
+        self.places: dict[bytes, tuple] = {}
 
     def _constant(self, t: Tree) -> bool:
         return self.drops and bool(t.sum) and t.pages >= 3 and 2 * t.pages >= self.tree.pages
 
-    def _find(self, page: Tree) -> tuple[list[tuple[int, ...]], dict[tuple[int, ...], Tree]]:
-        """Ways (child numbers) to the page's nodes that align with the region, and template nodes of those below it."""
-        ways: list[tuple[int, ...]] = []
-        pairs: dict[tuple[int, ...], Tree] = {}
+    def _find(self, page: Tree) -> tuple[list[int], dict[int, Tree]]:
+        """Numbers (in the order of below()) of the page's nodes that align with the region, and template nodes of all that align."""
+        number = {id(p): k for k, p in enumerate(page.below())}
         wanted = {id(t) for t in self.region}
-
-        def walk(t: Tree, p: Tree, way: tuple[int, ...]) -> None:
-            pairs[way] = t
+        ways: list[int] = []
+        pairs: dict[int, Tree] = {}
+        ahead = [(self.tree, page)]
+        while ahead:
+            t, p = ahead.pop()
+            pairs[number[id(p)]] = t
             if id(t) in wanted:
-                ways.append(way)
-            for i, j in match(t.children, p.children):
-                walk(t.children[i], p.children[j], (*way, j))
-
-        walk(self.tree, page, ())
+                ways.append(number[id(p)])
+            ahead += [(t.children[i], p.children[j]) for i, j in match(t.children, p.children)][::-1]
         return ways, pairs
 
     def text(self, page: dom.Node) -> str:
@@ -267,16 +315,12 @@ class Wrapper:
             return Wrapper(tree).text(page)
         template: set[int] = set()
         roots: list[dom.Node] = []
+        below = list(tree.below())
         for way in ways:
-            node = tree
-            for i in way:
-                node = node.children[i]
-            roots += node.nodes
+            roots += below[way].nodes
         if self.drops:
             for way, t in pairs.items():
-                node = tree
-                for i in way:
-                    node = node.children[i]
+                node = below[way]
                 if not t.children and self._constant(t) and t.sum == node.sum:
                     template.update(map(id, node.nodes))
         blocks: list[str] = []
@@ -287,7 +331,8 @@ class Wrapper:
                 blocks.append(block)
             held.clear()
 
-        def walk(node: dom.Node, inside: bool) -> None:
+        @dom.deep
+        def walk(node: dom.Node, inside: bool):
             block = node.tag in dom.BLOCKS
             if block:
                 flush()
@@ -297,7 +342,7 @@ class Wrapper:
                 elif c.tag == "br":
                     held.append(" ")
                 elif not left_out(c, inside) and id(c) not in template:
-                    walk(c, inside or c.tag == "article")
+                    yield walk.each(c, inside or c.tag == "article")
                 elif c.tag in dom.BLOCKS:
                     flush()
             if block:

@@ -39,6 +39,27 @@ def test_main_text(spark):
     assert wrapper.main_text(df.limit(0)).count() == 0
 
 
+def alone(text):
+    return wrapper.Wrapper(wrapper.tree_of([dom.parse(text)])).text(dom.parse(text))
+
+
+def test_deep_pages_keep_their_article():
+    for n in (120, 30_000):
+        assert alone("<div id=page><article><p>head</p>" + "<div>" * n + "</div>" * n + "<p>tail</p></article></div>") == "head\n\ntail"
+        assert alone("<article><p>a</p>" + "<div>" * n + "<nav>no</nav><p>b</p>" + "</div>" * n + "c</article>") == "a\n\nb\n\nc"
+        assert alone("<font>" * n + "<article><p>in</p><form>no</form></article>out") == "in"
+        assert alone("<div>" * n + "<article>x</article>y") == "x"
+    a, b = ([dom.parse("<div>" * 30_000 + x)] for x in ("<p>1", "<h1>t</h1><p>2"))
+    merged = wrapper.merge(wrapper.tree_of(a), wrapper.tree_of(b))
+    assert merged.pages == 2 and wrapper.wrapper(wrapper.json.dumps(merged.dump())).tree.shape() == merged.shape()
+
+
+def test_long_quoted_attributes():
+    state = "{hidden class=ad >" + "x" * 50_000 + "}"
+    page = f"<div>top</div><article data-state=\"{state}\"><p title='{state}'>in</p></article>out"
+    assert alone(page) == "in" and not dom.parse(page).children[1].words
+
+
 def test_trees_merge_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(wrapper, "MERGED", 2)
     df = spark.createDataFrame([(k, "http://soup.example/x", soup(k)) for k in range(40)], "page_id long, url string, html string").repartition(11)
