@@ -53,15 +53,18 @@ def deep(f: Callable[..., Generator]) -> Callable:
 
 
 class Node:
-    __slots__ = ("tag", "words", "children")
+    """An element: ``words`` are the letter parts of class, id, role and itemprop, ``tokens`` their whole words."""
 
-    def __init__(self, tag: str, words: frozenset[str] = frozenset()):
-        self.tag, self.words = tag, words
+    __slots__ = ("tag", "words", "tokens", "children")
+
+    def __init__(self, tag: str, words: frozenset[str] = frozenset(), tokens: frozenset[str] = frozenset()):
+        self.tag, self.words, self.tokens = tag, words, tokens
         self.children: list[Node | str] = []
 
 
-def _role_words(attributes: str) -> frozenset[str]:
+def _role_words(attributes: str) -> tuple[frozenset[str], frozenset[str]]:
     out: set[str] = set()
+    tokens: set[str] = set()
     for name, value in _ATTRIBUTE.findall(attributes):
         name = name.lower()
         if name not in _NAMED:
@@ -69,9 +72,11 @@ def _role_words(attributes: str) -> frozenset[str]:
         value = value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             out.add("hidden")
+            tokens.add("hidden")
         elif name != "aria-hidden":
             out.update(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value)))
-    return frozenset(out)
+            tokens.update(value.split())
+    return frozenset(out), frozenset(tokens)
 
 
 def parse(text: str) -> Node:
@@ -113,7 +118,7 @@ def parse(text: str) -> Node:
             close(("p",), ("button", "td", "th", "table", "caption"))
         if tag in CLOSES:
             close(*CLOSES[tag])
-        node = Node(tag, _role_words(m[3]) if m[3] and m[3].strip() else frozenset())
+        node = Node(tag, *(_role_words(m[3]) if m[3] and m[3].strip() else ()))
         stack[-1].children.append(node)
         if tag in RAW:
             last = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(text, at)

@@ -30,7 +30,7 @@ NODES = 3000  # beyond so many, a host's tree loses nodes that few pages have; p
 WIDEST = 64  # runs of children that are aligned in their order
 SPREAD = 16  # parts of each host in the join with its pages
 
-# What is never part of an article, by element and by the words of class, id and role.
+# What is never part of an article, by element and by the whole words of class, id and role.
 LEFT_OUT = frozenset(
     "head nav footer aside form script style noscript template iframe button select input textarea label svg canvas audio video object dialog menu "
     "noembed noframes xmp map datalist fieldset".split()
@@ -41,6 +41,7 @@ LEFT_OUT_WORDS = frozenset(
     "disqus respond reply replies related recommended widget toolbar pagination pager login signup search hidden complementary contentinfo skip".split()
 )
 HEADER_WORDS = frozenset({"header", "banner"})
+COMMENT_WORDS = frozenset("comment comments disqus respond reply replies".split())
 ARTICLE_WORDS = frozenset({"articlebody", "main", "article", "hentry"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEAVES = HEADINGS | frozenset("p pre blockquote ul ol dl li dd dt table tr td th figure figcaption".split())
@@ -50,10 +51,14 @@ def left_out(node: dom.Node, inside_article: bool) -> bool:
     if node.tag in LEFT_OUT:
         return True
     if node.tag in ("html", "body", "article", "main", "#root") or node.tag in HEADINGS:
-        return node.tag == "article" and bool(node.words & {"comment", "comments", "reply"})
-    if node.tag == "header" or node.words & HEADER_WORDS:
+        return node.tag == "article" and bool(node.tokens & {"comment", "comments", "reply"})
+    if node.tag == "header" or node.tokens & HEADER_WORDS:
         return not (inside_article and _has_heading(node))
-    return bool(node.words & LEFT_OUT_WORDS)
+    return bool(node.tokens & LEFT_OUT_WORDS)
+
+
+def _kind(node: dom.Node) -> tuple:
+    return node.tag, node.words, bool(node.tokens & (LEFT_OUT_WORDS | HEADER_WORDS))
 
 
 def _has_heading(node: dom.Node) -> bool:
@@ -67,15 +72,18 @@ def _has_heading(node: dom.Node) -> bool:
     return False
 
 
+BY_TAG, BY_WORD = 1, 2
+
+
 class Tree:
     """A node of an aligned tree: its label, the sum of its own text (0: it varies), signs of text, pages, children.
 
-    ``out`` marks what is never article; ``nodes`` are the page's elements, one or a run of equal neighbours.
+    ``out`` marks what is no article (BY_TAG: never; BY_WORD: unless it turns out to hold the article); ``nodes`` are the page's elements, one or a run of equal neighbours.
     """
 
     __slots__ = ("label", "sum", "chars", "pages", "children", "out", "nodes", "form")
 
-    def __init__(self, label: str, total: int, chars: int, pages: int, children: list[Tree], out: bool, nodes: list[dom.Node] | None = None):
+    def __init__(self, label: str, total: int, chars: int, pages: int, children: list[Tree], out: int, nodes: list[dom.Node] | None = None):
         self.label, self.sum, self.chars, self.pages, self.children, self.out, self.nodes = label, total, chars, pages, children, out, nodes or []
         self.form: bytes | None = None
 
@@ -102,7 +110,7 @@ class Tree:
         ready: list[Tree] = []
         for label, total, chars, pages, out, n in reversed(rows):
             children = [ready.pop() for _ in range(n)]
-            ready.append(Tree(label, total, chars, pages, children, bool(out)))
+            ready.append(Tree(label, total, chars, pages, children, out))
         return ready[0]
 
 
@@ -136,20 +144,22 @@ def tree_of(nodes: list[dom.Node], inside: bool = False):
     label = first.tag + ("." + ".".join(sorted(first.words)) if first.words else "")
     text = " ".join(" ".join("".join(_own_text(n)) for n in nodes).split())
     if first.tag in LEFT_OUT:
-        return Tree(label, zlib.crc32(text.encode()) or 1, len(text), 1, [], True, nodes)
-    out = left_out(first, inside)
+        return Tree(label, zlib.crc32(text.encode()) or 1, len(text), 1, [], BY_TAG, nodes)
+    out = 0 if not left_out(first, inside) else BY_TAG if first.tag in ("header", "article") or inside and first.tokens & COMMENT_WORDS else BY_WORD
+    if out:
+        label += ".!"
     inside = inside or first.tag == "article"
     runs: list[list[dom.Node]] = []
     for n in nodes:
         for c in _blocks_below(n):
-            if runs and runs[-1][0].tag == c.tag and runs[-1][0].words == c.words:
+            if runs and _kind(runs[-1][0]) == _kind(c):
                 runs[-1].append(c)
             else:
                 runs.append([c])
     if len(nodes) > 1 or len(runs) > WIDEST:  # of neighbours, and where there are many, children of a like kind are one
         by: dict[tuple, list[dom.Node]] = {}
         for run in runs:
-            by.setdefault((run[0].tag, run[0].words), []).extend(run)
+            by.setdefault(_kind(run[0]), []).extend(run)
         runs = list(by.values())
     children = []
     for r in runs:
@@ -232,27 +242,38 @@ def trimmed(tree: Tree) -> Tree:
     return tree
 
 
-def varying(tree: Tree, alone: bool) -> dict[int, int]:
-    """By node (id), signs of text at and below it and outside what is left out, that varies between pages (alone: all)."""
+def varying(tree: Tree, alone: bool, never: tuple[int, ...] = (BY_TAG, BY_WORD)) -> dict[int, int]:
+    """By node (id), signs of text at and below it and outside what is left out (never), that varies between pages (alone: all)."""
     out: dict[int, int] = {}
     for t in reversed(list(tree.below())):
-        out[id(t)] = 0 if t.out else (t.chars if alone or not t.sum else 0) + sum(out[id(c)] for c in t.children)
+        out[id(t)] = 0 if t.out in never else (t.chars if alone or not t.sum else 0) + sum(out[id(c)] for c in t.children)
     return out
 
 
 @dom.deep
-def _articles(tree: Tree):
-    if tree.out:
+def _articles(tree: Tree, never: tuple[int, ...] = (BY_TAG, BY_WORD)):
+    if tree.out in never:
         return []
     tag, *words = tree.label.split(".")
     if tag == "article":
         return [tree]
     inner = []
     for c in tree.children:
-        inner += yield _articles.each(c)
+        inner += yield _articles.each(c, never)
     return inner or ([tree] if tag == "main" or ARTICLE_WORDS & set(words) else [])
 
 
+def restored(tree: Tree) -> list[Tree]:
+    """The nodes left out by a word that hold the greater part of the varying text; they no longer count as left out."""
+    weight = varying(tree, False, (BY_TAG,))
+    if tree.pages == 1 or not weight[id(tree)]:
+        weight = varying(tree, True, (BY_TAG,))
+    out = [t for t in tree.below() if t.out == BY_WORD and 2 * weight[id(t)] > weight[id(tree)]]
+    for t in out:
+        t.out = 0
+    return out
+
+
 def region(tree: Tree) -> tuple[list[Tree], bool]:
     """The nodes of an aligned tree whose text is the article, and whether constant text inside them is template.
 
@@ -261,6 +282,8 @@ def region(tree: Tree) -> tuple[list[Tree], bool]:
     """
     signs = varying(tree, True)
     named = _articles(tree)
+    if not any(signs[id(a)] and a.label.split(".")[0] == "article" for a in named):  # an element that holds the article is not left out for a word
+        named = max(named, _articles(tree, (BY_TAG,)), key=lambda found: sum(signs[id(a)] for a in found))
     if sum(signs[id(a)] for a in named):
         return named, False
     changing = varying(tree, False)
@@ -277,11 +300,17 @@ def region(tree: Tree) -> tuple[list[Tree], bool]:
     return [node], not alone
 
 
+def _wraps(node: dom.Node, whole: int) -> bool:
+    """Whether an inline element, which no tree holds, has blocks below it and the greater part of a page's text."""
+    return node.tag not in dom.BLOCKS and node.tag not in LEFT_OUT and any(True for _ in _blocks_below(node)) and 2 * sum(map(len, dom.texts(node))) > whole
+
+
 class Wrapper:
     """The article of pages that align with a host's tree."""
 
     def __init__(self, tree: Tree):
         self.tree = tree
+        self.kept = {id(t) for t in restored(tree)}
         self.region, self.drops = region(tree)
         self.places: dict[bytes, tuple] = {}
 
@@ -316,6 +345,8 @@ class Wrapper:
         template: set[int] = set()
         roots: list[dom.Node] = []
         below = list(tree.below())
+        kept = {id(n) for way, t in pairs.items() if id(t) in self.kept for n in below[way].nodes}
+        whole = sum(map(len, dom.texts(page)))
         for way in ways:
             roots += below[way].nodes
         if self.drops:
@@ -341,7 +372,7 @@ class Wrapper:
                     held.append(c)
                 elif c.tag == "br":
                     held.append(" ")
-                elif not left_out(c, inside) and id(c) not in template:
+                elif (not left_out(c, inside) or id(c) in kept or _wraps(c, whole)) and id(c) not in template:
                     yield walk.each(c, inside or c.tag == "article")
                 elif c.tag in dom.BLOCKS:
                     flush()

@@ -60,6 +60,26 @@ def test_long_quoted_attributes():
     assert alone(page) == "in" and not dom.parse(page).children[1].words
 
 
+@pytest.mark.parametrize("role", ["has-sidebar", "no-comments", "search-enabled", "content share-on", "has-header", "content search", "menu", "x banner"])
+def test_a_class_of_its_wrapper_loses_no_article(role):
+    def made(body, k):
+        return f"<div class=ad>Buy {k}</div><div id=page class='{role}'>{body}</div><div class=related>see {k}</div>"
+
+    named = [made(f"<article><h1>T{k}</h1><p>some longer text {k}</p><div class=share>no {k}</div></article>", k) for k in range(4)]
+    within = [f"<article class='no-comments'><h1>T{k}</h1><div class='{role}'><p>some longer text {k}</p></div></article>" for k in range(4)]
+    main = [f"<main><p>x{k}</p>" + made(f"<article><h1>T{k}</h1><p>some longer text {k}</p></article>", k) + "</main>" for k in range(4)]
+    bare = [made(f"<h1>T{k}</h1><p>some longer text {k}</p><p>and more {k}</p>", k) for k in range(4)]
+    inline = [f"<font class='{role}'><h1>T{k}</h1><p>some longer text {k}</p></font>" for k in range(4)]
+    for pages in (named, within, main, bare, inline):
+        whole = None
+        for text in pages:
+            tree = wrapper.tree_of([dom.parse(text)])
+            whole = tree if whole is None else wrapper.merge(whole, tree)
+        for found in ([alone(x) for x in pages], list(map(wrapper.Wrapper(whole).text, map(dom.parse, pages)))):
+            wanted = [f"T{k}\n\nsome longer text {k}" + f"\n\nand more {k}" * (pages is bare) for k in range(4)]
+            assert found == wanted
+
+
 def test_trees_merge_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(wrapper, "MERGED", 2)
     df = spark.createDataFrame([(k, "http://soup.example/x", soup(k)) for k in range(40)], "page_id long, url string, html string").repartition(11)
