@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from oslogs.llm import language_id, licenses, multi_index, order_minhash, packing, pair_index, token_counts, toxicity, va_file, wrapper
+from oslogs.llm import language_id, licenses, multi_index, order_minhash, packing, pair_index, spelling, token_counts, toxicity, va_file, wrapper
 from oslogs.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -62,8 +62,12 @@ def op10_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
 
 
+def op12_letter_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op3_wrapper_induction, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file)
+    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op3_wrapper_induction, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file, op12_letter_trie)
 }
 ORACLE: dict[str, str] = {
     "op5_multi_index": """
@@ -90,4 +94,40 @@ ORACLE: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
         ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op12_letter_trie": """
+        WITH RECURSIVE crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+        ), runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[A-Za-zÀ-ÿ]{6,}')) AS run FROM documents
+        ), grouped AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL
+        ), bytes AS (
+            SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM grouped
+        ), hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+                   lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+                   lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS h FROM bytes, crc
+        ), slipped AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+        ), words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+        ), cut AS (
+            SELECT word, n, i, CASE WHEN i = 0 THEN word ELSE substr(word, 1, i - 1) || substr(word, i + 1) END AS part
+            FROM (SELECT word, n, unnest(range(length(word) + 1)) AS i FROM words)
+        ), near AS (
+            SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (part)
+            WHERE a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)
+        ), ranked AS (
+            SELECT *, count(*) OVER (PARTITION BY word) AS n_near,
+                   row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS place FROM near
+        ), classed AS (
+            SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+                   CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+            FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1
+        ), up(word, root, next) AS (
+            SELECT word, word, form FROM classed
+            UNION ALL SELECT u.word, c.word, c.form FROM up u JOIN classed c ON c.word = u.next
+        )
+        SELECT c.word, c.form, u.root, c.n, c.n_near, c.form_n FROM classed c JOIN up u ON u.word = c.word AND u.next IS NULL""",
 }
