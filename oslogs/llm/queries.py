@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from oslogs.llm import language_id, licenses, multi_index, order_minhash, packing, pair_index, spelling, token_counts, toxicity, va_file, wrapper
+from oslogs.llm import alignment, language_id, licenses, multi_index, order_minhash, packing, pair_index, spelling, token_counts, toxicity, va_file, wrapper
 from oslogs.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,12 +63,16 @@ def op10_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
 
 
+def op11_fragment_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_summary(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.path(PIECE_FILE))
+
+
 def op12_letter_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.words(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op3_wrapper_induction, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file, op12_letter_trie)
+    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op3_wrapper_induction, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file, op11_fragment_monoid, op12_letter_trie)
 }
 ORACLE: dict[str, str] = {
     "op5_multi_index": """
