@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from oslogs.llm import alignment, language_id, licenses, multi_index, order_minhash, packing, pair_index, spelling, token_counts, toxicity, va_file, wrapper
+from oslogs.llm import alignment, language_id, licenses, mixing, multi_index, order_minhash, packing, pair_index, spelling, token_counts, toxicity, va_file, wrapper
 from oslogs.llm.common import fold, table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -71,8 +71,12 @@ def op12_letter_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.words(table(spark, sf_dir, "documents")))
 
 
+def op13_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.scores(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op3_wrapper_induction, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file, op11_fragment_monoid, op12_letter_trie)
+    f.__name__: f for f in (op1_order_minhash, op2_vector_packing, op3_wrapper_induction, op4_pair_index_bpe, op5_multi_index, op6_toxicity, op7_byte_gru, op8_token_counts, op9_license_rules, op10_va_file, op11_fragment_monoid, op12_letter_trie, op13_context_mixing)
 }
 ORACLE: dict[str, str] = {
     "op5_multi_index": """
