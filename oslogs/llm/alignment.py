@@ -25,8 +25,9 @@ from oslogs.llm import bpe
 from oslogs.llm.common import map_batches, written
 
 RANGE = 1 << 16  # bytes of a text that make one fragment
-BATCH = 1 << 20  # code points that are tokenized at a time
-BLOCK = 1 << 23  # links whose counts are fetched together
+BATCH = 1 << 18  # code points that are tokenized at a time
+BLOCK = 1 << 22  # links whose counts are fetched together
+STRIP = 1 << 19  # links that are summed at a time, where one row has no more
 ID_BITS = 20  # an open token is kept as its end, shifted by this, and its id
 
 _CUT = re.compile(r"(?<=\w) (?=\w)")  # a single blank between two words: a pre-token of either tokenizer starts here
@@ -344,7 +345,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     few = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("text"))
     long = F.octet_length("text") >= RANGE
     paths = (path_a, path_b)
-    return written(_short(few.where(~F.coalesce(long, F.lit(False))), paths).unionByName(_long(few.where(long), paths)), "aligned")
+    return written(_short(few.where(~F.coalesce(long, F.lit(False))), paths).unionByName(_long(few.where(long), paths)), "aligned", "zstd")
 
 
 def pair_counts(rows: DataFrame, path_a: str, path_b: str) -> tuple[DataFrame, DataFrame]:
@@ -379,16 +380,19 @@ def link_summary(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def score(group: pa.Table, pairs: pa.Table) -> pa.Table:
         order = np.argsort(pairs.column("pair").to_numpy())
         keys, count, best = (pairs.column(c).to_numpy()[order] for c in ("pair", "count", "best"))
-        held = [x or b"" for x in group.column("links").to_pylist()]
-        links = np.frombuffer(b"".join(held), kind)
-        ends = np.cumsum([len(x) // kind.itemsize for x in held]) if held else np.zeros(0, np.int64)
-        at = np.searchsorted(keys.astype(kind), links)
-        made = {"n_links": np.diff(ends, prepend=0), "n_best": _sums(best[at], ends) if len(keys) else np.zeros(len(held), np.int64),
-                "count_sum": _sums(count[at], ends) if len(keys) else np.zeros(len(held), np.int64)}
+        keys, held = keys.astype(kind), group.column("links").to_pylist()
+        sizes = np.array([len(x or b"") // kind.itemsize for x in held], np.int64)
+        made = {"n_links": sizes, "n_best": np.zeros(len(held), np.int64), "count_sum": np.zeros(len(held), np.int64)}
+        strips = np.cumsum(sizes) // STRIP
+        for rows_here in np.split(np.arange(len(held)), np.flatnonzero(np.diff(strips)) + 1):
+            if sizes[rows_here].any():
+                at = np.searchsorted(keys, np.frombuffer(b"".join(held[i] or b"" for i in rows_here), kind))
+                ends = np.cumsum(sizes[rows_here])
+                made["n_best"][rows_here], made["count_sum"][rows_here] = _sums(best[at], ends), _sums(count[at], ends)
         group = group.drop_columns(["links", "block"])
         for name, values in made.items():
-            group = group.append_column(name, pa.array(values.astype(np.int64)))
-        return group.select([*(f.name for f in group.schema)])
+            group = group.append_column(name, pa.array(values))
+        return group
 
     schema = "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, n_links bigint, n_best bigint, count_sum bigint"
     scored = written(rows.groupBy("block").cogroup(lexicon.groupBy("block")).applyInArrow(score, schema), "alignment")

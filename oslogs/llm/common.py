@@ -49,11 +49,11 @@ def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return pa.schema([(f.name, kind(f.dataType)) for f in T.StructType.fromDDL(schema)])
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """The rows as a table in the cluster's checkpoint folder: lineage ends there and lost executors re-read it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
