@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from oslogs import sinks
 from oslogs.api import KINDS, analyze, host_report, report
 from oslogs.sources.host import host_snapshots, process_samples, sar_series
+from oslogs.sources.tables import daily_summaries
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -30,6 +31,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--by-name", action="store_true", help="the last file by name holds the last lines, not the one changed last")
     parser.add_argument("--header", help="tab-separated column names that hold for all System exports")
     parser.add_argument("--landed", action="store_true", help="the path is a table of parsed rows")
+    parser.add_argument("--summaries", metavar="TABLE", help="report whole days from stored daily summaries, without the log")
+    parser.add_argument("--store-summaries", metavar="TABLE", help="store the daily summaries of these rows; same files again replace theirs")
     parser.add_argument("--series", action="append", default=[], metavar="KIND=PATH", help="exported series of a host report")
     parser.add_argument("--processes", metavar="PATH", help="process samples of a host report")
     parser.add_argument("--as-of", help="refuse days more than a week before this one (host report)")
@@ -48,12 +51,19 @@ def main(argv: list[str] | None = None) -> None:
         tables = host_report(snapshots, args.date, args.start, args.end, series, samples, args.as_of)
         if args.out:
             sinks.write_tables(tables, args.out)
+    elif args.summaries:
+        tables = report(daily_summaries(spark, args.summaries, args.kind, (args.date, args.last or args.date)), args.kind)
+        if args.out:
+            sinks.write_tables(tables, args.out)
+            sinks.export_counts(tables, args.out)
     else:
         rows = analyze(
             spark, args.kind, args.date, args.start, args.end, args.path, args.last,
             "neither" if args.exclusive else "both", not args.all_bsd_times, args.year, not args.by_name,
             args.header.split("\t") if args.header else None, args.landed,
         )
+        if args.store_summaries:
+            sinks.write_summaries(rows, args.store_summaries, args.kind)
         tables = report(rows, args.kind)
         if args.out:
             sinks.write_tables(tables, args.out)

@@ -66,7 +66,7 @@ def analyze(
     days = (as_date(date), as_date(last or date))
     as_time(start), as_time(end)
     if landed:
-        rows = parsed_rows(spark, path).where(F.col("kind") == kind)
+        rows = parsed_rows(spark, path, kind, days)
     else:
         rows = parsed(spark, kind, path, days, year, newest_last, header)
     rows = filters.in_window(rows, date, start, end, last, inclusive, bsd_time_filter)
@@ -76,8 +76,9 @@ def analyze(
 def report(rows: DataFrame, kind: str) -> dict[str, DataFrame]:
     """All tables of a family's report over rows from ``analyze``.
 
-    The log is read once into a small summary, which is checkpointed; the tables come from that.
-    Authentication rows and package rows are listed in full, so those tables read the log again.
+    The log is read once into a small summary, which is checkpointed; the tables come from that. Authentication rows are
+    written once, by event, and all tables come from there. ``rows`` may also be a summary of many days
+    (``daily_summaries``), for the families with severities.
     """
     if kind == "wsec":
         return {"security_actions": packages.security_actions(rows)}
@@ -91,6 +92,7 @@ def report(rows: DataFrame, kind: str) -> dict[str, DataFrame]:
         }
     if kind in ("auth", "auth_t"):
         strict = kind == "auth"
+        rows = auth.by_event(rows)
         counts = rows.groupBy("event", "app_name").agg(severity.weight(rows).alias("n"))
         counts = checkpointed(counts)
         summary = auth.auth_summary(counts, keep_unnamed=not strict)

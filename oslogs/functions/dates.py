@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .rules import MONTHS
 
+# --- Fixed values: how lines of either style begin ----------------------------
 BSD_PATTERN = r"^[A-Za-z]{3}\s+[0-9]{1,2}"
 ISO_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 _DATE = re.compile(r"\d{4}-\d{2}-\d{2}")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import auth_event
+from ..session import written
 from .once import with_once
 from .parse import extract_auth_failure, extract_sudo
 from .severity import weight, weight_where
@@ -16,6 +17,12 @@ def with_auth_event(rows: DataFrame) -> DataFrame:
     return with_once(rows, {"event": auth_event(F.col("message"))})
 
 
+def by_event(rows: DataFrame) -> DataFrame:
+    """Rows in a table by event, written in one pass over the log; only failures and commands keep their message."""
+    message = F.when(F.col("event").isin("auth_failure", "sudo"), F.col("message")).alias("message")
+    return written(rows.select("log_date", "log_time", "app_name", message, "event"), "auth-events", "event")
+
+
 def _by_app(rows: DataFrame, event: str, keep_unnamed: bool) -> DataFrame:
     hits = rows.where(F.col("event") == event)
     if not keep_unnamed:

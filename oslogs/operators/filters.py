@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.classify import contains_any
 from ..functions.dates import as_date, as_time
 from ..functions.rules import MONTHS, PACKAGE_ACTIONS
+from ..session import checkpointed
+from .lookup import with_file_facts
 
 Day = str | dt.date
 
@@ -83,14 +85,19 @@ def date_range(rows: DataFrame, first: Day, last: Day, inclusive: str = "both")
 def prefix_stop(rows: DataFrame, late: Column, per_file: bool = False) -> DataFrame:
     """Rows before the first late one, in ``line_no`` order: the early stop of a reader of sorted logs.
 
-    The first late position is one scalar (or one row per file), found with a partial aggregate.
+    The first late position is found with a partial aggregate: one scalar, or with ``per_file`` one row per file, which the
+    lines look up (``with_file_facts``), so the log itself is not shuffled.
     """
-    first_late = F.min(F.when(late, F.col("line_no")))
     if not per_file:
-        stop = rows.agg(first_late.alias("stop")).scalar()
+        stop = rows.agg(F.min(F.when(late, F.col("line_no"))).alias("stop")).scalar()
         return rows.where(stop.isNull() | (F.col("line_no") < stop))
-    stops = rows.groupBy("source_file").agg(first_late.alias("stop"))
-    return rows.join(stops, "source_file").where(F.col("stop").isNull() | (F.col("line_no") < F.col("stop"))).drop("stop")
+    block, position = F.col("line_no.block"), F.col("line_no.position")
+    blocks = rows.groupBy("source_file", block.alias("block")).agg(F.min(F.when(late, position)).alias("position"))
+    first = F.min(F.when(F.col("position").isNotNull(), F.struct("block", "position")))
+    stops = checkpointed(blocks.groupBy("source_file").agg(first.alias("stop"), F.max("block").alias("last_byte")))
+    marked = with_file_facts(rows, stops.where(F.col("stop").isNotNull()), block)
+    before = F.struct(block.alias("block"), position.alias("position")) < F.col("stop")
+    return marked.where(F.col("stop").isNull() | before).drop("stop").select(*rows.columns)
 
 
 def late_for(date: Day, end: str) -> Column:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import PACKAGE_ACTIONS
@@ -12,33 +10,29 @@ from .filters import package_actions_only
 from .severity import weight, weight_where
 
 
-def _packed(order: str) -> Column:
-    """The order key and the action as one number, whose largest a hash aggregate can keep.
-
-    From the highest digit on: the file's last change (61 bits with ten of a hash of its name), its block in units of
-    16 KB (29 bits), the row in the task (30 bits), the action (3 bits).
-    """
-    key = F.col(order)
-    file = F.shiftleft(F.unix_micros(key["modified"]), 10).bitwiseOR(F.xxhash64(key["file"]).bitwiseAND(F.lit(1023)))
-    row = key["position"].bitwiseAND(F.lit((1 << 30) - 1))
-    line = F.shiftleft(F.shiftright(key["block"].cast("long"), 14), 33).bitwiseOR(F.shiftleft(row, 3))
-    action = F.array_position(F.array(*map(F.lit, PACKAGE_ACTIONS)), F.col("action"))
-    return file.cast("decimal(19,0)") * F.lit(Decimal(1 << 62)) + line.bitwiseOR(action).cast("decimal(19,0)")
-
-
 def latest_package_action(rows: DataFrame, order: str = "line_no") -> DataFrame:
     """Per date, time and package the last action in log order.
 
-    One candidate per key and task goes to the shuffle, so a key that fills a third of the log still sends one row per
-    task. Rows from ``log_lines(newest_last=True)`` are ordered by one number, which a hash aggregate keeps without
-    sorting; for any other sortable ``order`` column ``max_by`` does the same with a sort.
+    For the ``line_no`` of ``log_lines`` the log passes two hash aggregates. The first keeps, per key, file and block, the
+    action of the highest position, a number; as one task reads a block, it leaves one row per key and block before any
+    shuffle. Only these few rows are then ordered by file (its last change first with ``newest_last``, then its name), block
+    and position, so files that changed at the same time follow each other by name. A key that fills a third of the log
+    sends one row per block. For any other sortable ``order`` column ``max_by`` does it in one step.
     """
-    grouped = package_actions_only(rows).groupBy("log_date", "log_time", "package")
-    if "modified" not in getattr(rows.schema[order].dataType, "names", ()):
-        return grouped.agg(F.max_by("action", order).alias("action"))
-    last = grouped.agg(F.max(_packed(order)).alias("last"))
-    number = (F.col("last") % 8).cast("int")
-    return last.select("log_date", "log_time", "package", F.element_at(F.array(*map(F.lit, PACKAGE_ACTIONS)), number).alias("action"))
+    kept = package_actions_only(rows)
+    key = ("log_date", "log_time", "package")
+    names = getattr(rows.schema[order].dataType, "names", ())
+    if names[-3:] != ["file", "block", "position"]:
+        return kept.groupBy(*key).agg(F.max_by("action", order).alias("action"))
+    actions = F.array(*map(F.lit, PACKAGE_ACTIONS))
+    parts = [F.col(order)[name].alias(f"order_{name}") for name in names]
+    number = F.array_position(actions, F.col("action")).cast("int").alias("number")
+    block = [f"order_{name}" for name in names[:-1]]
+    position = F.col("order_position")
+    in_block = kept.select(*key, *parts, number).groupBy(*key, *block).agg(
+        F.max_by("number", position).alias("number"), F.max(position).alias("order_position"))
+    last = in_block.groupBy(*key).agg(F.max_by("number", F.struct(*block, "order_position")).alias("number"))
+    return last.select(*key, F.element_at(actions, F.col("number")).alias("action"))
 
 
 def package_report(latest: DataFrame) -> DataFrame:

@@ -43,11 +43,11 @@ def weight_where(rows: DataFrame, condition: Column) -> Column:
 
 
 def summarize(rows: DataFrame) -> DataFrame:
-    """``category, app_name, error_types, n``: all that the severity and error reports need.
+    """``category, app_name, error_types, n``: all that the severity and error reports need, also of other summaries.
 
     One shuffle, on partial counts; a chatty application costs one row per task.
     """
-    return rows.groupBy("category", "app_name", "error_types").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("category", "app_name", "error_types").agg(weight(rows).alias("n"))
 
 
 def severity_by_app(rows: DataFrame) -> DataFrame:

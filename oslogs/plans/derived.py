@@ -244,8 +244,6 @@ def _write(spark: SparkSession, sf_dir: str, kind: str, path: str) -> None:
         if kind in ("iso", "mixed", "dpkg"):  # their queries depend on the order of the lines
             lines = lines.orderBy("event_id")
         lines = lines.select("value")
-        if kind == "dpkg":  # in one file, whose last line is the last
-            lines = lines.coalesce(1)
         if kind == "wsys":
             lines = _with_header(lines, "\t".join(SYSTEM_HEADER))
         lines.write.text(path)

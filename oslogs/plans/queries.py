@@ -18,7 +18,7 @@ from ..operators.once import with_once
 from ..session import checkpointed
 from ..sources import synthetic
 from ..sources.host import host_snapshots, process_samples, sar_series
-from ..sources.tables import parsed_rows, read_counts
+from ..sources.tables import daily_summaries, parsed_rows, read_counts
 from ..sources.text import log_lines
 from ..sources.windows import windows_security, windows_system
 from . import oracle as o
@@ -30,7 +30,6 @@ ORACLE: dict[str, str] = {}
 
 DAY, START, END = "2024-01-15", "06:00:00", "18:00:00"
 FIRST, LAST = "2024-01-10", "2024-01-20"
-SLOT = ("2024-01-15", "09:00:00", "09:20:00")
 
 
 def query(name: str, sql: str) -> Callable[[Query], Query]:
@@ -62,7 +61,7 @@ def _auth(spark, sf):
 
 
 def _dpkg(spark, sf):
-    return parse.parse_dpkg(log_lines(spark, derived(spark, sf, "dpkg"), newest_last=True))
+    return parse.parse_dpkg(log_lines(spark, derived(spark, sf, "dpkg")))  # part files follow each other by name
 
 
 def _latest(spark, sf):
@@ -661,6 +660,41 @@ def _register_tables(family: str) -> None:
 for _name in ("proc", "ubu", "mac", "wsys"):
     _register_tables(_name)
 
+
+@query("error_table_mem", o.filled_types(_family_sql("mem"), "mem"))
+def _(spark, sf):
+    return errors.error_table(_types(spark, sf, "mem"), "mem")
+
+
+@query("severity_by_app_sol", o.by_app(_SOL_SQL, "sol"))
+def _(spark, sf):
+    return severity.severity_by_app(_category(spark, sf, "sol"))
+
+
+@query("severity_by_app_cbs", o.by_app(o.cbs_rows(), "cbs"))
+def _(spark, sf):
+    return severity.severity_by_app(_category(spark, sf, "cbs"))
+
+
+@query("hresult_table", f"select regexp_replace({o.hresult_name(o.hresult())}, '^.* - ', '') as error, 'N/A' as app_name, count(*) as n, "
+       f"regexp_replace({o.hresult_name(o.hresult())}, '^.* - ', '') as error_message from ({o.cbs_rows()}) where {o.hresult()} <> '' "
+       f"group by {o.hresult_name(o.hresult())}")
+def _(spark, sf):
+    return errors.hresult_table(_types(spark, sf, "cbs"))
+
+
+@query("daily_summaries", "select category, app_name, array_to_string(error_types, ',') as error_types, count(*) as n from "
+       f"(select app_name, {o.category('ubu')} as category, {o.types('ubu')} as error_types from ({o.iso_rows()}) "
+       f"where message <> '' and log_date between date '{FIRST}' and date '{LAST}') group by all")
+def _(spark, sf):
+    """Some days of a stored table of daily summaries, into which one half of the log was put twice."""
+    path = fresh_dir(spark, "summaries")
+    rows = severity.classified(filters.nonempty_message(_iso(spark, sf)), "ubu")
+    early = F.col("log_time") < "12:00:00"
+    for half, batch in ((early, "am"), (~early, "pm"), (early, "am")):
+        sinks.write_summaries(rows.where(half), path, "ubu", batch)
+    return daily_summaries(spark, path, "ubu", (FIRST, LAST)).withColumn("error_types", F.array_join("error_types", ","))
+
 _LABEL = "case category " + " ".join(f"when '{c}' then '{t}'" for c, t in SEVERITY_LABELS.items()) + " end"
 
 
@@ -688,6 +722,33 @@ def _(spark, sf):
     return auth.sudo_commands(_auth(spark, sf))
 
 
+_TAIL_SQL = f"select * from ({o.auth_rows(tail=True)}) where message <> ''"
+
+
+def _auth_tail(spark, sf):
+    rows = filters.nonempty_message(parse.parse_iso_auth_tail(_lines(spark, sf, "auth")))
+    return auth.by_event(auth.with_auth_event(rows))
+
+
+@query("auth_failures_tail", "select log_date, log_time, regexp_extract(message, 'logname=([^ ]+)', 1) as logname, "
+       f"regexp_extract(message, '(?:^|[^A-Za-z0-9_])user=([^ ]+)', 1) as \"user\" from ({_TAIL_SQL}) where event = 'auth_failure'")
+def _(spark, sf):
+    """The form of the older report, from the rows written by event: an empty logname stays empty."""
+    return auth.auth_failures(_auth_tail(spark, sf), None)
+
+
+@query("sudo_commands_tail", "select log_date, log_time, regexp_extract(message, 'USER=([^ ]+)', 1) as sudo_user, "
+       "regexp_extract(message, 'PWD=([^ ]+)', 1) as pwd, regexp_extract(message, 'COMMAND=([^ ]+)', 1) as command "
+       f"from ({_TAIL_SQL}) where event = 'sudo'")
+def _(spark, sf):
+    return auth.sudo_commands(_auth_tail(spark, sf), strip=False)
+
+
+@query("other_events_by_app_tail", f"select app_name, count(*) as n from ({_TAIL_SQL}) where event = 'other' group by app_name")
+def _(spark, sf):
+    return auth.other_events_by_app(_auth_tail(spark, sf), keep_unnamed=True)
+
+
 @query("package_report", o.latest_actions())
 def _(spark, sf):
     return packages.package_report(_latest(spark, sf))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +34,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
+
+def written(df: DataFrame, name: str, by: str) -> DataFrame:
+    """``df`` as a table in the shared folder, in directories by one column; lost executors read it again."""
+    path = f"{shared_dir(df.sparkSession)}/oslogs/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

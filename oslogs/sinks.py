@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .functions.rules import AUTH_COUNT_LABELS, ERROR_COUNT_LABELS
 from .operators.auth import auth_summary
 from .operators.host import TOP_PROCESSES, host_status, top_memory_processes
 from .operators.packages import package_actions_filled
-from .operators.severity import analysis_summary
+from .operators.severity import analysis_summary, weight
+from .sources.tables import LANDED_ROWS, MANIFEST
 
 TIMESTAMPS = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # the default would cut microseconds
 
@@ -98,18 +102,47 @@ def write_top_processes(
     _write_by_date(top_memory_processes(samples, n, snapshots, by, ties), path)
 
 
-def write_parsed(rows: DataFrame, path: str, batch: str | None = None) -> None:
-    """Parsed rows as Parquet by ``kind``, ``log_date`` and ``batch``, so that a report reads only its family's days.
+def _batch(batch: str | None) -> Column:
+    return F.lit(f"b-{batch}") if batch is not None else F.concat(F.lit("f-"), F.substring(F.md5("source_file"), 1, 16))
 
-    Landing adds to the table: a second file, host or family of a day stands beside the first. What is landed again
-    under the same batch replaces its former rows of those days. By default every source file is a batch of its own;
-    name a batch to keep many small files together. A row without a date fails the write: give the year.
+
+def _land(rows: DataFrame, path: str, within: tuple[str, ...]) -> None:
+    """Adds rows with ``kind``, ``log_date`` and ``batch`` to a table of landings.
+
+    Rows go to directories by ``kind`` and ``log_date`` alone, however many batches a day has; which landing of a batch's day
+    is valid stands in a second table, the manifest, written once the rows are in place. So a landing that fails is never
+    seen, and one that succeeds replaces the former rows of its batches and days in one step, without touching their files.
     """
-    name = F.lit(f"b-{batch}") if batch is not None else F.concat(F.lit("f-"), F.substring(F.md5("source_file"), 1, 16))
     refused = F.raise_error(F.lit("rows without a year can't be landed; give year=2024 or year='modified'"))
     dated = F.when(F.col("log_date").isNull(), refused.cast("date")).otherwise(F.col("log_date"))
-    landed = rows.withColumns({"log_date": dated, "batch": name})
+    landing = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    landed = rows.withColumns({"log_date": dated, "landing": F.lit(landing)})
+    data, manifest = f"{path}/{LANDED_ROWS}", f"{path}/{MANIFEST}"
     (
-        landed.hint("rebalance", "kind", "log_date", "batch").sortWithinPartitions("kind", "log_date", "batch", "log_time")
-        .write.partitionBy("kind", "log_date", "batch").option("partitionOverwriteMode", "dynamic").parquet(path, mode="overwrite")
+        landed.hint("rebalance", "kind", "log_date").sortWithinPartitions("kind", "log_date", *within)
+        .write.partitionBy("kind", "log_date").parquet(data, mode="append")
     )
+    # what was written is read, not the source again: only the landing's own files hold its number, which the statistics tell
+    keys = landed.sparkSession.read.parquet(data).where(F.col("landing") == landing).groupBy("kind", "log_date", "batch", "landing").agg(F.count(F.lit(1)).alias("n"))
+    keys.hint("rebalance", "kind", "log_date").write.partitionBy("kind", "log_date").parquet(manifest, mode="append")
+
+
+def write_parsed(rows: DataFrame, path: str, batch: str | None = None) -> None:
+    """Parsed rows as Parquet by ``kind`` and ``log_date``, so that a report reads only its family's days.
+
+    Landing adds to the table: a second file, host or family of a day stands beside the first. What is landed again
+    under the same batch replaces its former rows of those days. By default every source file is a batch of its own, which
+    costs a row of the manifest and no directory; name a batch to replace many files together. A row without a date fails
+    the write: give the year.
+    """
+    _land(rows.withColumn("batch", _batch(batch)), path, ("log_time",))
+
+
+def write_summaries(rows: DataFrame, path: str, kind: str, batch: str | None = None) -> None:
+    """What the severity and error reports need of classified rows, per day and batch.
+
+    A month's report then adds up thirty small tables (``sources.tables.daily_summaries``). A batch landed again replaces its
+    own days, so summaries can be made again after a failure or a late file without counting anything twice.
+    """
+    counted = rows.withColumn("batch", _batch(batch)).groupBy("log_date", "batch", "category", "app_name", "error_types")
+    _land(counted.agg(weight(rows).alias("n")).withColumn("kind", F.lit(kind)), path, ("batch",))

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import data_rows_only
+from ..operators.lookup import with_file_facts
 from ..operators.once import with_once
+from ..session import checkpointed
 
 # --- Fixed values: table schemas ----------------------------------------------
 SNAPSHOT_SCHEMA = (
@@ -76,6 +78,13 @@ def _metrics(line: Column) -> Column:
     return F.regexp_replace(F.trim(F.regexp_replace(line, r"^\S+\s+([AP]M\s+)?", "")), r"\s+", " ")
 
 
+def _series_layouts(lines: DataFrame, kind: str) -> DataFrame:
+    """Every file with its layout, NULL without a header row; one pass by hash aggregates, checkpointed."""
+    layout = F.when(F.col("value").contains(SAR_COLUMNS[kind][0]), _metrics(F.col("value"))).alias("layout")
+    seen = lines.select("source_file", "size", layout).groupBy("source_file", "size", "layout").agg(F.count(F.lit(1)))
+    return checkpointed(seen.groupBy("source_file").agg(F.min("layout").alias("layout"), F.max("size").alias("last_byte")))
+
+
 def sar_series(
     spark: SparkSession,
     path: str,
@@ -87,26 +96,31 @@ def sar_series(
 
     The rows carry only a clock, so the day comes from a ``log_date=`` directory or from ``date``; ``host=``
     directories name the host. Each file's header row names its columns, in whatever order; a file without one has the
-    usual columns. ``columns`` overrides the headers and saves the pass that looks for them. Headers, averages and
+    usual columns. If all files come to the same layout there is no lookup; otherwise each line finds its file's in a
+    dictionary of the files that differ from the usual one (``with_file_facts``). ``columns`` overrides the headers and saves
+    the pass that looks for them. Headers, averages and
     restart notes are dropped; a metric that a file lacks is NULL.
     """
     raw = spark.read.text(path)
     kept = [c for c in ("host", "log_date") if c in raw.columns]
-    lines = raw.select("value", *kept, F.col("_metadata.file_path").alias("source_file"))
+    place = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block")]
+    usual, files = " ".join(SAR_COLUMNS[kind]), None
     if columns is None:
-        headers = lines.where(F.col("value").contains(SAR_COLUMNS[kind][0]))
-        files = headers.groupBy("source_file").agg(F.min(_metrics(F.col("value"))).alias("layout"))
-        layouts = sorted(row.layout for row in files.select("layout").distinct().limit(MAX_LAYOUTS + 1).collect())
-        if len(layouts) > MAX_LAYOUTS:
+        files = _series_layouts(raw.select("value", *place, F.col("_metadata.file_size").alias("size")), kind)
+        met = [row.layout for row in files.select("layout").distinct().limit(MAX_LAYOUTS + 1).collect()]
+        if len(met) > MAX_LAYOUTS:
             raise ValueError(f"more than {MAX_LAYOUTS} header rows below {path}; give columns=")
+        headers = sorted(layout for layout in met if layout is not None)
+        layouts = sorted({layout or usual for layout in met})
     else:
-        layouts = [" ".join(columns)]
-    usual = " ".join(SAR_COLUMNS[kind])
-    found = {name for layout in layouts or [usual] for name in layout.split(" ")}
+        headers = layouts = [" ".join(columns)]
+    lines = raw.select("value", *kept, *place)
+    found = {name for layout in headers or [usual] for name in layout.split(" ")}
     names = list(columns) if columns else [*(c for c in SAR_COLUMNS[kind] if c in found), *sorted(found - set(SAR_COLUMNS[kind]))]
     lines = data_rows_only(lines)
-    if columns is None and layouts:
-        lines = lines.join(files, "source_file", "left").withColumn("layout", F.coalesce("layout", F.lit(usual)))
+    if len(layouts) > 1:
+        others = files.where(F.col("layout") != usual)
+        lines = with_file_facts(lines, others, F.col("block")).withColumn("layout", F.coalesce("layout", F.lit(usual)))
     else:
         lines = lines.withColumn("layout", F.lit(layouts[0] if layouts else usual))
     log_date = F.lit(date) if date is not None else F.col("log_date") if "log_date" in lines.columns else None
@@ -116,8 +130,8 @@ def sar_series(
     words = F.split(_metrics(F.col("value")), " ")
     stamp = F.concat_ws(" ", log_date.cast("string"), _clock(F.col("value"))).try_cast("timestamp_ntz")
     cut = with_once(lines, {"words": words, "ts": stamp, "first": F.get(words, F.lit(0)).try_cast("double"), "names": F.split("layout", " ")})
-    place = lambda name: F.get("words", F.nullif(F.array_position("names", F.lit(name)), F.lit(0)).cast("int") - 1)
+    metric = lambda name: F.get("words", F.nullif(F.array_position("names", F.lit(name)), F.lit(0)).cast("int") - 1)
     return cut.where(F.col("ts").isNotNull() & F.col("first").isNotNull()).select(
         host.alias("host"), log_date.cast("date").alias("log_date"), "ts",
-        *(place(name).try_cast("double").alias(metric_name(name)) for name in names),
+        *(metric(name).try_cast("double").alias(metric_name(name)) for name in names),
     )

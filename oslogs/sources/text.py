@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import DEFAULT_PATHS
 
+#: endings of compressed files, which can't be split
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+
 
 def default_path(kind: str | None, path: str | None = None) -> str:
     """The given path, or the family's usual log file."""
@@ -25,6 +28,8 @@ def log_lines(
     days: tuple | None = None,
     newest_last: bool = False,
     modified: bool = False,
+    file_size: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """Lines of a file, directory or glob as ``value, source_file, line_no``.
 
@@ -34,7 +39,10 @@ def log_lines(
     query uses it. ``where`` is a condition on ``value`` or on directory columns that is applied
     before numbering, so it can still prune directories. ``days`` (first, last) reads only those
     ``log_date=`` directories where the log is laid out that way. ``modified`` adds the file's last
-    change.
+    change, ``file_size`` its size.
+
+    A compressed file is read by one task, whatever its size. With ``spread`` its lines are numbered there and then dealt
+    over many tasks, so that parsing and rules are not bound to that one; other files keep their tasks and are not shuffled.
     """
     lines = spark.read.text(default_path(kind, path) if path is None or isinstance(path, str) else path)
     keep = ["value", *(c for c in lines.columns if c != "value")]
@@ -49,10 +57,14 @@ def log_lines(
     ]
     if newest_last:
         key.insert(0, F.col("_metadata.file_modification_time").alias("modified"))
-    return lines.select(
+    numbered = lines.select(
         *keep,
         F.col("_metadata.file_path").alias("source_file"),
         F.struct(*key).alias("line_no"),
         *([F.col("_metadata.file_modification_time").alias("modified")] if modified else []),
+        *([F.col("_metadata.file_size").alias("file_size")] if file_size else []),
     )
-
+    if not spread or lines.isStreaming or not any(name.endswith(COMPRESSED) for name in lines.inputFiles()):
+        return numbered
+    packed = F.substring_index("source_file", ".", -1).isin([ending[1:] for ending in COMPRESSED])
+    return numbered.where(~packed).unionAll(numbered.where(packed).hint("rebalance", "line_no"))

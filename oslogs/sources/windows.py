@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import well_formed_windows
+from ..operators.lookup import with_file_facts
 from ..operators.once import with_once
+from ..session import checkpointed
 from .text import log_lines
 
 # --- Fixed values: header names of a System export and the columns they become -
@@ -35,7 +37,8 @@ def system_header(spark: SparkSession, path: str) -> list[str]:
 
 def _layouts(lines: DataFrame) -> DataFrame:
     """Files and the layout (the whole header row) that each has; of several the first in the order of their text."""
-    return lines.where(_is_header(F.col("value"))).groupBy("source_file").agg(F.min("value").alias("layout"))
+    header = lines.where(_is_header(F.col("value")))
+    return header.groupBy("source_file").agg(F.min("value").alias("layout"), F.max("file_size").alias("last_byte"))
 
 
 def windows_system(
@@ -45,7 +48,8 @@ def windows_system(
 
     Column positions come from the header rows, wherever their columns stand. Without ``header`` (see
     ``system_header``) a first pass looks for header rows among the unsplit lines. If all files that have one share a
-    layout, it holds for files without a header row as well. Where layouts differ, each file takes its own, and a file
+    layout, it holds for files without a header row as well, and nothing is looked up. Where layouts differ, each file takes
+    its own from a checkpointed dictionary, which is broadcast up to a measured size (``with_file_facts``), and a file
     without a header row fails the query with its name, as its columns can't be known. Rows that are not
     ``well_formed_windows`` and header rows are dropped; empty fields keep their place. ``where`` is applied to the
     unsplit lines and has to keep header rows.
@@ -53,7 +57,7 @@ def windows_system(
     lines = log_lines(spark, path, where=where)
     layouts = [header] if header is not None else None
     if layouts is None:
-        files = _layouts(log_lines(spark, path))
+        files = checkpointed(_layouts(log_lines(spark, path, file_size=True)))
         layouts = [row.layout.split("\t") for row in files.select("layout").distinct().limit(2).collect()]
         if not layouts:
             raise ValueError(f"no header row below {path}")
@@ -63,7 +67,7 @@ def windows_system(
     else:
         unknown = F.raise_error(F.concat(F.lit("no header row in "), F.col("source_file")))
         names = F.split(F.coalesce("layout", unknown.cast("string")), "\t")
-        body = body.join(files, "source_file", "left").withColumn("at", F.struct(
+        body = with_file_facts(body, files, F.col("line_no.block")).withColumn("at", F.struct(
             *((F.array_position(names, name).cast("int") - 1).alias(column) for name, column in SYSTEM_HEADER)))
         position = {column: F.col(f"at.{column}") for _, column in SYSTEM_HEADER}
     rows = with_once(body, {"f": F.split("value", "\t")}, drop=("value",))
