@@ -234,12 +234,16 @@ def slices(text: str, size: int = SLICE) -> Iterator[str]:
 
 
 class Encoder:
-    """Ids of texts. rest.flat(words) gives the ids of pre-tokens, as bytes, that are no single known token."""
+    """Ids of texts. rest.flat(words) gives the ids of pre-tokens, as bytes, that are no single known token.
 
-    def __init__(self, vocabulary: Vocabulary, rest):
+    Without ``shortcut`` only added tokens are known, and every pre-token goes to ``rest``, each different one once.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, rest, shortcut: bool = True):
         self.vocabulary, self.rest = vocabulary, rest
         self.special = vocabulary.splitter()
-        whole = whole_tokens(vocabulary)
+        whole = whole_tokens(vocabulary) if shortcut else list(vocabulary.added.items())
+        whole = whole or [("", 0)]  # equal to no pre-token
         self.letters = np.frombuffer("".join(t for t, _ in whole).encode("utf-32-le"), np.uint32)
         length = np.array([len(t) for t, _ in whole], np.int64)
         ends = np.cumsum(length)

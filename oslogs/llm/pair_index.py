@@ -3,7 +3,8 @@
 All different pre-tokens of a slice of a partition lie in one array of symbols. The index maps each pair that has a rank to
 all its positions. Ranks that occur are taken in ascending order; each merges its pair at every position of its list and
 enters the pairs that arise beside it under their own ranks, which are always higher. Positions that a neighbour's merge
-has overtaken are recognised when their turn comes.
+has overtaken are recognised when their turn comes. Every different pre-token goes through the index; none is answered by a
+table of whole tokens.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ def coder(path: str) -> tuple[bpe.Encoder, Decoder]:
     """Encoder and decoder of a vocabulary file, once per worker."""
     if path not in _LOADED:
         vocabulary = bpe.Vocabulary(path)
-        _LOADED[path] = bpe.Encoder(vocabulary, PairIndex(vocabulary)), Decoder(vocabulary)
+        _LOADED[path] = bpe.Encoder(vocabulary, PairIndex(vocabulary), shortcut=False), Decoder(vocabulary)
     return _LOADED[path]
 
 

@@ -24,7 +24,7 @@ def library():
 @pytest.fixture(scope="module")
 def encoders():
     vocabulary = bpe.Vocabulary(PATH)
-    return bpe.Encoder(vocabulary, bpe.Rounds(vocabulary)), bpe.Encoder(vocabulary, pair_index.PairIndex(vocabulary))
+    return bpe.Encoder(vocabulary, bpe.Rounds(vocabulary)), bpe.Encoder(vocabulary, pair_index.PairIndex(vocabulary), shortcut=False)
 
 
 def test_texts_of_all_kinds(library, encoders):
@@ -55,6 +55,21 @@ def test_colliding_hashes_are_told_apart(library, encoders, monkeypatch):
     assert next(bpe.Encoder(vocabulary, bpe.Rounds(vocabulary)).encode([text])).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_pre_token_goes_through_the_index(library, sf_dir, monkeypatch):
+    """Also those that are one token of the vocabulary: each different one once, and no other way leads to ids."""
+    import pyarrow.parquet as pq
+    texts = [t or "" for t in pq.read_table(f"{sf_dir}/documents.parquet").column("text").to_pylist()]
+    entered = []
+    flat = pair_index.PairIndex.flat
+    monkeypatch.setattr(pair_index.PairIndex, "flat", lambda self, words: entered.extend(words) or flat(self, words))
+    monkeypatch.setattr(pair_index, "_LOADED", {})
+    encoder, _ = pair_index.coder(PATH)
+    assert [x.tolist() for x in encoder.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    letters = {c: b for b, c in enumerate(bpe.byte_letters())}
+    wanted = {bytes(letters[c] for c in piece) for t in texts for piece, _ in library.pre_tokenizer.pre_tokenize_str(t)}
+    assert len(entered) == len(set(entered)) and set(entered) == wanted and b" the" in wanted
+
+
 @pytest.fixture()
 def docs(spark):
     rows = [(i, t, "x", 1.0) for i, t in enumerate(TEXTS)] + [(3, "a", "x", 1.0), (None, "b c", None, None)]
