@@ -31,6 +31,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--by-name", action="store_true", help="the last file by name holds the last lines, not the one changed last")
     parser.add_argument("--header", help="tab-separated column names that hold for all System exports")
     parser.add_argument("--landed", action="store_true", help="the path is a table of parsed rows")
+    parser.add_argument("--repetitive", action="store_true", help="the log repeats its messages: search each different one once")
     parser.add_argument("--summaries", metavar="TABLE", help="report whole days from stored daily summaries, without the log")
     parser.add_argument("--store-summaries", metavar="TABLE", help="store the daily summaries of these rows; same files again replace theirs")
     parser.add_argument("--series", action="append", default=[], metavar="KIND=PATH", help="exported series of a host report")
@@ -60,8 +61,10 @@ def main(argv: list[str] | None = None) -> None:
         rows = analyze(
             spark, args.kind, args.date, args.start, args.end, args.path, args.last,
             "neither" if args.exclusive else "both", not args.all_bsd_times, args.year, not args.by_name,
-            args.header.split("\t") if args.header else None, args.landed,
+            args.header.split("\t") if args.header else None, args.landed, args.repetitive,
         )
+        if args.store_summaries and args.repetitive:
+            raise SystemExit("--store-summaries needs the files of the rows, which --repetitive drops")
         if args.store_summaries:
             sinks.write_summaries(rows, args.store_summaries, args.kind)
         tables = report(rows, args.kind)

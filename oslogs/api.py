@@ -57,11 +57,13 @@ def analyze(
     spark: SparkSession, kind: str, date: str, start: str = "00:00:00", end: str = "23:59:59",
     path: str | None = None, last: str | None = None, inclusive: str = "both",
     bsd_time_filter: bool = True, year: parse.Year = None, newest_last: bool = True,
-    header: list[str] | None = None, landed: bool = False,
+    header: list[str] | None = None, landed: bool = False, repetitive: bool = False,
 ) -> DataFrame:
     """Parsed and labelled rows of a day (or days up to ``last``) and time window of one log.
 
-    With ``landed`` the path is a table written by ``write_parsed``; only the days asked for are read.
+    With ``landed`` the path is a table written by ``write_parsed``; only the days asked for are read. With ``repetitive``
+    the families with severities give each different message of an application and day once, labelled, with its number of
+    rows ``n``; their reports are the same.
     """
     days = (as_date(date), as_date(last or date))
     as_time(start), as_time(end)
@@ -70,6 +72,10 @@ def analyze(
     else:
         rows = parsed(spark, kind, path, days, year, newest_last, header)
     rows = filters.in_window(rows, date, start, end, last, inclusive, bsd_time_filter)
+    if repetitive:
+        if kind not in (*SYSLOG_KINDS, "cbs", "wsys"):
+            raise ValueError("only families with severities have repetitive reports")
+        rows = severity.distinct_messages(rows)
     return labelled(rows, kind)
 
 

@@ -30,6 +30,17 @@ def classified(rows: DataFrame, family: str) -> DataFrame:
     return with_once(rows, {"category": category(message, family), "error_types": error_types(message, family)})
 
 
+def distinct_messages(rows: DataFrame, by: tuple[str, ...] = ("log_date",)) -> DataFrame:
+    """``app_name, message, n`` (and ``by``) of parsed rows: each different message once, with its number of rows.
+
+    For logs that say the same things over and over: rules are then searched in each message once, not in each row. Equal
+    rows are counted in every task before the one shuffle, so a message that fills a third of the log sends one row per
+    task. A log whose messages all differ would be shuffled whole; classify its rows as they are.
+    """
+    by = tuple(c for c in by if c in rows.columns)
+    return rows.groupBy(*by, "app_name", "message").agg(weight(rows).alias("n"))
+
+
 def weight(rows: DataFrame) -> Column:
     """Number of log rows in a group."""
     return F.coalesce(F.sum("n"), F.lit(0)).cast("long") if "n" in rows.columns else F.count(F.lit(1))

@@ -666,6 +666,12 @@ def _(spark, sf):
     return errors.error_table(_types(spark, sf, "mem"), "mem")
 
 
+@query("severity_by_app_repetitive", o.by_app(o.mixed_rows(), "ubu"))
+def _(spark, sf):
+    """Each different message is classified once, and counts for as many rows as it has."""
+    return severity.severity_by_app(severity.with_category(severity.distinct_messages(_mixed(spark, sf)), "ubu"))
+
+
 @query("severity_by_app_sol", o.by_app(_SOL_SQL, "sol"))
 def _(spark, sf):
     return severity.severity_by_app(_category(spark, sf, "sol"))
