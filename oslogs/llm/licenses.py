@@ -44,7 +44,7 @@ FAMILIES = [
     ("zpl", r"zope public licen[cs]e", r"zpl", ("1.1", "2.0", "2.1"), ("zope", "zpl")),
     ("psf", r"python software foundation licen[cs]e", r"psf|psfl", ("2",), ("python software", "psf")),
     ("python", r"python licen[cs]e", r"cnri python", ("2.0",), ("python", "cnri")),
-    ("php", r"php licen[cs]e", r"php", ("3.0", "3.01"), ("php", "php")),
+    ("php", r"php licen[cs]e", r"php licensed", ("3.0", "3.01"), ("php", "php")),
     ("ruby", r"ruby licen[cs]e", r"ruby licensed", (), ("ruby", "ruby")),
     ("lppl", r"latex project public licen[cs]e", r"lppl", ("1.0", "1.1", "1.2", "1.3a", "1.3c"), ("latex project", "lppl")),
     ("cecill", r"cecill(?: free software)? licen[cs]e", r"cecill", ("1.0", "1.1", "2.0", "2.1"), ("cecill", "cecill")),
@@ -77,6 +77,9 @@ FAMILIES = [
     ("beerware", r"beer ?ware licen[cs]e", r"beerware", (), ("ware", "beerware")),
 ]
 
+# Short forms that are words or names as well: they count only as a license, or with one of its versions.
+PLAIN = {"apache", "artistic", "elastic", "unlicense", "beerware", "psf", "mulan"}
+
 # Sentences of license texts: label, pattern, keyword.
 SENTENCES = [
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "hereby granted"),
@@ -130,11 +133,12 @@ def rules() -> list[Rule]:
     lead = r"(?: (?:version|v|ver))? ?v?"
     for label, name, short, versions, (name_key, short_key) in FAMILIES:
         out.append(_rule(label, 10, name_key, name, 0.8))
-        out.append(_rule(label, 10, short_key, rf"(?:{short})(?: licen[cs]e)?" if versions else short, 0.5) if len(short) > 3 or not versions else
-                   _rule(label, 10, short_key, rf"(?:{short}) licen[cs]e", 0.5))
+        said = rf"(?:{short}) licen[cs]ed?|licen[cs]ed? (?:under |is )?(?:the )?(?:{short})"
+        alone = label not in PLAIN and (len(short) > 3 or not versions)
+        out.append(_rule(label, 10, short_key, rf"{said}|{short}" if alone else said, 0.5))
         for v in versions:
             full = f"{label}-{v if '.' in v or label not in ('gpl', 'lgpl', 'agpl') else v + '.0'}"
-            numbered = rf"(?:{lead}{_version(v)})"
+            numbered = rf"(?:{lead}{_version(v)}(?! [0-9]))"  # 2 4 is no version 2
             out.append(_rule(full, 30, name_key, name + numbered, 1.0))
             out.append(_rule(full, 25, short_key, rf"(?:{short})(?: licen[cs]e)?{numbered}", 0.9))
             if label in ("gpl", "lgpl", "agpl", "gfdl"):
@@ -202,9 +206,11 @@ class Scanner:
         """Word number and label of every place of a base phrase."""
         padded, out = b" " + line + b" ", []
         for phrase, label in BASE.items():
-            wanted, at = b" " + phrase.encode() + b" ", -1
+            wanted, at, number, counted = b" " + phrase.encode() + b" ", -1, 0, 0
             while (at := padded.find(wanted, at + 1)) >= 0:
-                out.append((padded.count(b" ", 0, at), label))
+                number += padded.count(b" ", counted, at)  # words since the last place
+                counted = at
+                out.append((number, label))
         return out
 
     def detections(self, line: str) -> list[Detection]:
@@ -218,12 +224,27 @@ class Scanner:
             for m in rule.pattern.finditer(line):
                 label = re.sub(r"(\d)-(?=\d)", r"\1.", m["name"].replace(" ", "-")) if rule.label == "spdx" else rule.label
                 hits.append((-rule.priority, -(m.end() - m.start()), m.start(), i, m.end(), label))
+        starts = {start: k for k, start in enumerate(sorted({h[2] for h in hits}), 1)}
+        reach = [0] * (len(starts) + 1)  # a Fenwick tree: how far what is accepted reaches, by where it starts
         kept: list[tuple[int, int, int, str]] = []
         for _, _, start, i, end, label in sorted(hits):
-            if not any(a <= start and end <= b for a, b, _, _ in kept):
+            k, furthest = starts[start], 0
+            while k:
+                furthest = max(furthest, reach[k])
+                k -= k & -k
+            if furthest < end:
                 kept.append((start, end, i, label))
+                k = starts[start]
+                while k < len(reach):
+                    reach[k] = max(reach[k], end)
+                    k += k & -k
         kept.sort()
-        return [Detection(label, self.rules[i].priority, self.rules[i].weight, line.count(" ", 0, a), line.count(" ", 0, b), line[a:b]) for a, b, i, label in kept]
+        out, number, counted = [], 0, 0
+        for a, b, i, label in kept:
+            number += line.count(" ", counted, a)
+            counted = a
+            out.append(Detection(label, self.rules[i].priority, self.rules[i].weight, number, number + line.count(" ", a, b), line[a:b]))
+        return out
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, str]], list[Detection]]:
         line = self.words(text or "")
