@@ -17,22 +17,27 @@ PIECE_FILE = "piece_bpe_32k.model"
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document (``order_minhash.near_documents``: null, empty and repeated rows are defined there)."""
     return order_minhash.near_documents(table(spark, sf_dir, "documents"))
 
 
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces and places of every document (``packing.pack_documents``); a null text is its end token alone."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
 def op3_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page (``wrapper.main_text``); null html gives an empty text, repeated pages are no template."""
     return wrapper.main_text(table(spark, sf_dir, "pages"))
 
 
 def op4_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of ids and decoded text of every document (``pair_index.digests``); a null text counts as empty."""
     return pair_index.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
 def op7_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (``language_id.languages``): ``und`` for null and letterless texts; rows without an id are not learned from."""
     docs = table(spark, sf_dir, "documents")
     part = fold(F.col("doc_id"), 4)
     network = language_id.fit(docs.where(F.col("doc_id").isNotNull() & (part != 2)))
@@ -40,14 +45,17 @@ def op7_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document (``token_counts.token_counts``); a null text has none."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
 def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector (``multi_index.near_vectors``); vectors that can't be compared link with nothing."""
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document (``toxicity.scores``), null and empty texts too; equal texts score alike."""
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
     held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
@@ -55,23 +63,28 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License findings of every document (``licenses.license_summary``); a null text counts as empty."""
     return licenses.license_summary(table(spark, sf_dir, "documents"))
 
 
 def op10_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best of every query (``va_file.top_k``); vectors that are null or not finite take no part."""
     vectors = va_file.integer_vectors(table(spark, sf_dir, "embeddings"))
     return va_file.top_k(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
 
 
 def op11_fragment_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of both tokenizers in every document (``alignment.link_summary``); a null or empty text has zeros."""
     return alignment.link_summary(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.path(PIECE_FILE))
 
 
 def op12_letter_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every frequent word (``spelling.variants``); null texts have no words."""
     return spelling.variants(spelling.words(table(spark, sf_dir, "documents")))
 
 
 def op13_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document (``mixing.scores``); a null text counts as empty, a null id as learned from."""
     return mixing.scores(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 2)
 
 
