@@ -74,7 +74,7 @@ def test_landed_rows_are_pruned(spark, sf_dir, tmp_path):
     text = plan(filters.on_date(parsed_rows(spark, path), "2024-01-15").select("message"))
     assert "PartitionFilters: [isnotnull(log_date" in text and "2024-01-15" in text
     assert path.rsplit("/", 1)[0] and parsed_rows(spark, path).columns == [*rows.drop("log_date", "kind").columns, "kind", "log_date"]
-    assert "ReadSchema: struct<message:string>" in text
+    assert "ReadSchema: struct<message:string,landing:string>" in text  # the number of the landing tells whether a row is valid
     later = filters.between_times(filters.on_day(parsed_rows(spark, path), "2024-01-15"), "06:00:00", "07:00:00")
     assert "GreaterThanOrEqual(log_time,06:00:00)" in plan(later)
     assert "PartitionFilters: [((log_date" in plan(later) or "PartitionFilters: [isnotnull" in plan(later)
