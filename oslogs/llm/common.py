@@ -54,7 +54,16 @@ def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``written``; nothing that is yet to run may read them."""
+    for t in tables:
+        hadoop = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._folder)
+        hadoop.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
 
 
 def fold(column, parts: int):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oslogs.llm.common import written
+from oslogs.llm.common import discard, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -26,14 +26,18 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         least = _least(both).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = written(large, "large")
+        discard(edges)
         least = _least(large)
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))).distinct()
         edges = written(small, "small")
+        discard(large)
         ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("from"), F.lit(0).alias("to")).unionByName(
             edges.select(F.col("b").alias("id"), F.lit(0).alias("from"), F.lit(1).alias("to")))
         ends = ends.groupBy("id").agg(F.sum("from").alias("from"), F.max("to").alias("to"))
         if ends.where("from > 1 or (from = 1 and to = 1)").isEmpty():
             break  # every id has one link at most, and none leads on: all are stars round their smallest id
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-        edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    out = written(edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+        edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()), "components")
+    discard(edges)
+    return out

@@ -9,9 +9,9 @@ if a banded alignment of its words proves a similarity (1 - edits / longer lengt
 
 Equal texts are one class and compared once. A sketch that many texts share never yields all their pairs: every text is
 aligned with two leaders of the sketch, and those that are near neither with two of their own, as long as a crowd is left.
-Then the texts outside the sketch's largest component are compared, in blocks, with all its texts of other components, and
-aligned where lengths and word counts leave room for the similarity asked for. So no link
-between two components is lost, and no pair within one is ever made.
+Then the texts of a sketch that lie in different components are compared: those of a sketch of few texts by a plain join, those
+of a crowd in blocks, the texts outside its largest component with all others. Pairs are aligned where lengths and word counts
+leave room for the similarity asked for. So no link between two components is lost, and no pair within one is ever made.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oslogs.llm.common import map_batches, written
+from oslogs.llm.common import discard, map_batches, written
 from oslogs.llm.components import components
 
 SHINGLE = 5  # words
@@ -41,10 +41,13 @@ EXACT = 14  # words of a text that also has its word deletions as sketches
 SIMILARITY = 0.8
 BLOCK = 512  # texts of a sketch that are compared at a time
 
+FEW = 16  # texts of a sketch that are joined with each other outright
 CROWD = 64  # texts of a sketch that are near no leader and are yet not led again
 ROUNDS = 2  # of leaders, at most; how many there are decides about time, not about results
-COUNTERS = 1024  # of words, for a lower bound of the edits between two texts
-FEWER = 128  # sums of counters, for a coarser bound that is tried first
+FEWER = 128  # counters of words, for a lower bound of the edits between two texts
+COUNTERS = 1024  # the same for texts of more than MANY words; they add up to the fewer ones
+MANY = 512
+STRIP = 1 << 16  # shingles of a text that are hashed at a time
 
 _WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20)
@@ -92,20 +95,35 @@ def _labelled(words: np.ndarray, size: int) -> np.ndarray:
         return _mixed(keys + seen * np.uint64(0x632BE59BD9B4E019))
 
 
+def _least(labelled: np.ndarray, factors: np.ndarray, many: int) -> np.ndarray:
+    """For each factor the places, in the order of the text, of the ``many`` least labelled shingles (all, if fewer)."""
+    places = np.zeros((len(factors), 0), np.int64)
+    with np.errstate(over="ignore"):
+        for at in range(0, len(labelled), STRIP):
+            values = labelled[None, at : at + STRIP] * factors[:, None]
+            if values.shape[1] > many:
+                new = np.argpartition(values, many - 1, axis=1)[:, :many] if many > 1 else values.argmin(1)[:, None]
+            else:
+                new = np.broadcast_to(np.arange(values.shape[1]), values.shape)
+            places = np.concatenate([places, new + at], axis=1)
+            if places.shape[1] > many:
+                best = np.argsort(labelled[places] * factors[:, None], axis=1, kind="stable")[:, :many]
+                places = np.take_along_axis(places, best, axis=1)
+    return np.sort(places, axis=1)
+
+
 def sketches(words: np.ndarray) -> np.ndarray:
-    """The sketches of a text with at least one word: ORDERED of LEAST shingles in their order, then those of one shingle."""
+    """The sketches of a text with at least one word: ORDERED of LEAST shingles in their order, then those of one shingle.
+
+    Very long texts are hashed in strips, so that memory does not grow with the number of sketches.
+    """
     labelled = _labelled(words, SHINGLE)
-    n = len(labelled)
+    chosen = _least(labelled, _FACTORS[:ORDERED], LEAST)
     with np.errstate(over="ignore"):
-        values = labelled[None, :] * _FACTORS[:SKETCHES, None]
-        if n > LEAST:
-            chosen = np.sort(np.argpartition(values[:ORDERED], LEAST - 1, axis=1)[:, :LEAST], axis=1)
-        else:
-            chosen = np.broadcast_to(np.arange(n), (ORDERED, n))
         out = np.zeros(SKETCHES, np.uint64)
         for i in range(chosen.shape[1]):
             out[:ORDERED] = _mixed(out[:ORDERED] + labelled[chosen[:, i]])
-        out[ORDERED:] = _mixed(labelled[values[ORDERED:].argmin(1)])
+        out[ORDERED:] = _mixed(labelled[_least(labelled, _FACTORS[ORDERED:SKETCHES], 1)[:, 0]])
         return (out ^ np.arange(SKETCHES, dtype=np.uint64)).view(np.int64)
 
 
@@ -145,7 +163,32 @@ def counted(words: np.ndarray) -> bytes:
     What one text has beyond another, summed over the counters, never exceeds the words that it has and the other lacks,
     and so never exceeds the edits between them.
     """
-    return np.minimum(np.bincount(words % COUNTERS, minlength=COUNTERS), 255).astype(np.uint8).tobytes()
+    many = COUNTERS if len(words) > MANY else FEWER
+    return np.minimum(np.bincount(words % many, minlength=many), 255).astype(np.uint8).tobytes()
+
+
+def _fewer(counters: list[bytes]) -> np.ndarray:
+    """FEWER counters of each text."""
+    out = np.empty((len(counters), FEWER), np.int16)
+    for i, c in enumerate(counters):
+        c = np.frombuffer(c, np.uint8)
+        out[i] = c if len(c) == FEWER else np.minimum(c.reshape(-1, FEWER).sum(0, dtype=np.int32), 255)
+    return out
+
+
+def _room(f: list[bytes], g: list[bytes], i: np.ndarray, j: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether the counters of the texts f[i] and g[j] allow for as few edits as ``most``."""
+    x, y = _fewer(f), _fewer(g)
+    near = np.zeros(len(i), bool)
+    for at in range(0, len(i), 8192):
+        apart = x[i[at : at + 8192]] - y[j[at : at + 8192]]
+        near[at : at + 8192] = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1)) <= most[at : at + 8192]
+    for p in np.flatnonzero(near):
+        a, b = f[i[p]], g[j[p]]
+        if len(a) == len(b) == COUNTERS:
+            apart = np.frombuffer(a, np.uint8).astype(np.int16) - np.frombuffer(b, np.uint8)
+            near[p] = max(apart[apart > 0].sum(), -apart[apart < 0].sum()) <= most[p]
+    return near
 
 
 def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
@@ -225,40 +268,57 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 
 
 def _sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, key (digest of the text; null for a null text), sketches and brief ones (none for a text without words) and the words' numbers."""
+    """row, id, key (digest of the text; null for a null text), n, sketches (none for a text without words), counters and the words' numbers."""
 
     def rows(batches):
         number = Words()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = part.column(1).to_pylist()
+                texts = part.column(2).to_pylist()
                 words = [number(t) for t in texts]
                 yield {
-                    "id": part.column(0), "key": [hashlib.md5(t.encode()).digest() if t is not None else None for t in texts],
-                    "n": [len(w) for w in words], "sketches": [sketches(w) if len(w) else [] for w in words], "brief": [brief(w) for w in words], "words": [w.astype("<u4").tobytes() for w in words],
-                    "counters": [counted(w) for w in words],
+                    "row": part.column(0), "id": part.column(1), "key": [hashlib.md5(t.encode()).digest() if t is not None else None for t in texts],
+                    "n": [len(w) for w in words], "sketches": [np.concatenate([sketches(w), brief(w)]) if len(w) else [] for w in words],
+                    "counters": [counted(w) for w in words], "words": [w.astype("<u4").tobytes() for w in words],
                 }
 
-    few = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return map_batches(few, rows, "id bigint, key binary, n int, sketches array<bigint>, brief array<bigint>, words binary, counters binary")
+    few = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return map_batches(few, rows, "row bigint, id bigint, key binary, n int, sketches array<bigint>, counters binary, words binary")
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose lengths and counters leave room for the similarity."""
+
+    def rows(batches):
+        for batch in batches:
+            n, m = (np.asarray(batch.column(k)) for k in (2, 4))
+            every = np.arange(batch.num_rows)
+            good = _room(batch.column(3).to_pylist(), batch.column(5).to_pylist(), every, every, (1 - least) * np.maximum(n, m) + 1e-9)
+            yield {"a": np.asarray(batch.column(0))[good], "b": np.asarray(batch.column(1))[good]}
+
+    both = pairs.join(classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("counters").alias("ca")), "a").join(
+        classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("counters").alias("cb")), "b")
+    both = both.where(F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-9)
+    return map_batches(both.select("a", "b", "na", "ca", "nb", "cb"), rows, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) with linked, by alignment of their words."""
+    """The pairs (a, b), a written table, with linked, by alignment of their words; the words of no other texts are joined."""
 
     def rows(batches):
         for batch in batches:
             ok = [similar(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), least) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield {"a": batch.column(0), "b": batch.column(1), "linked": ok}
 
-    both = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
-        words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
+    own = words.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    both = pairs.join(own.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
+        own.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
     return map_batches(both.select("a", "b", "wa", "wb"), rows, "a bigint, b bigint, linked boolean")
 
 
 def _agreeing(least: float):
-    """Pairs of texts in the rows' groups (sorted by v, x, y) of different components that share a sketch and agree in length and in words."""
+    """Pairs of texts in the rows' groups (sorted by v, x, y) of different components that agree in length and in words."""
 
     def run(frames):
         def pairs(rows: list[pd.DataFrame]) -> pd.DataFrame:
@@ -270,29 +330,12 @@ def _agreeing(least: float):
             a, b = left["rep"].to_numpy(), right["rep"].to_numpy()
             if not len(a) or not len(b):
                 return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-            s, t = np.stack(left["sketches"].to_numpy()), np.stack(right["sketches"].to_numpy())
             n, m = left["n"].to_numpy(), right["n"].to_numpy()
             c, d = left["component"].to_numpy(), right["component"].to_numpy()
-            v = group["v"].iloc[0]
             good = (np.minimum(n[:, None], m[None, :]) >= least * np.maximum(n[:, None], m[None, :]) - 1e-9) & (c[:, None] != d[None, :])
-            # a pair is made at the first sketch that it shares, and nowhere else; brief sketches come last
-            places = np.flatnonzero((s == v).any(0))
-            for k in range(places[0] if len(places) else s.shape[1]):
-                good &= s[:, k, None] != t[None, :, k]
             i, j = np.nonzero(np.triu(good) if alone else good)
-            f, g = (np.stack([np.frombuffer(x, np.uint8) for x in side["counters"]]).astype(np.int16) for side in (left, right))
-            for x, y in ((f.reshape(len(f), -1, FEWER).sum(1, dtype=np.int16), g.reshape(len(g), -1, FEWER).sum(1, dtype=np.int16)), (f, g)):
-                near = np.zeros(len(i), bool)
-                for at in range(0, len(i), 8192):
-                    p, q = i[at : at + 8192], j[at : at + 8192]
-                    apart = x[p] - y[q]
-                    most = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
-                    near[at : at + 8192] = most <= (1 - least) * np.maximum(n[p], m[q]) + 1e-9
-                i, j = i[near], j[near]
-            if not len(places):
-                more, others = ([set(x) for x in side["brief"]] for side in (left, right))
-                here = np.array([min(more[p] & others[q]) == v for p, q in zip(i, j)], bool)
-                i, j = i[here], j[here]
+            near = _room(left["counters"].tolist(), right["counters"].tolist(), i, j, (1 - least) * np.maximum(n[i], m[j]) + 1e-9)
+            i, j = i[near], j[near]
             return pd.DataFrame({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j])})
 
         held: list[pd.DataFrame] = []
@@ -310,72 +353,89 @@ def _agreeing(least: float):
     return run
 
 
+def _across(bands: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b), possibly repeated, of texts of different components that share a sketch; bands: v, rep, component, n."""
+    sizes = bands.groupBy("v", "component").agg(F.count("*").alias("size"))
+    mixed = written(sizes.groupBy("v").agg(
+        F.sum("size").alias("all"), F.max("size").alias("most"), F.max_by("component", "size").alias("main")).where("most < all"), "mixed")
+    few = bands.join(mixed.where(F.col("all") <= FEW).select("v"), "v", "left_semi")
+    other = few.select("v", F.col("rep").alias("b"), F.col("component").alias("d"), F.col("n").alias("m"))
+    fits = F.least("n", "m") >= least * F.greatest("n", "m") - 1e-9
+    pairs = few.join(other, "v").where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("d")) & fits).select(F.col("rep").alias("a"), "b").distinct()
+    pairs = _possible(pairs, classes, least)
+    main = mixed.where(F.col("all") > FEW).select(
+        "v", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("own_blocks"), F.ceil(F.col("most") / BLOCK).cast("int").alias("other_blocks"))
+    dealt = bands.join(main, "v").withColumn("h", F.xxhash64("rep", "v"))
+    mine = F.pmod("h", "own_blocks").cast("int")
+    theirs = F.col("own_blocks") + F.pmod("h", "other_blocks").cast("int")
+    as_left = F.transform(F.sequence(mine, F.col("own_blocks") + F.col("other_blocks") - 1), lambda y: F.struct(mine.alias("x"), y.alias("y"), F.lit(True).alias("left")))
+    before = F.when(mine > 0, F.sequence(F.lit(0), mine - 1)).otherwise(F.array().cast("array<int>"))
+    as_right = F.transform(before, lambda x: F.struct(x.alias("x"), mine.alias("y"), F.lit(False).alias("left")))
+    visits = F.transform(F.sequence(F.lit(0), F.col("own_blocks") - 1), lambda x: F.struct(x.alias("x"), theirs.alias("y"), F.lit(False).alias("left")))
+    own = F.col("component") != F.col("main")
+    dealt = dealt.select("v", "rep", "component", F.explode(F.when(own, F.concat(as_left, as_right)).otherwise(visits)).alias("t")).select("v", "rep", "component", "t.*")
+    dealt = dealt.join(classes.select("rep", "n", "counters"), "rep")
+    dealt = dealt.repartition("v", "x", "y").sortWithinPartitions("v", "x", "y")
+    crowds = dealt.select("v", "x", "y", "left", "rep", "component", "n", "counters").mapInPandas(_agreeing(least), "a bigint, b bigint")
+    out = written(pairs.unionByName(crowds), "across")
+    discard(mixed)
+    return out
+
+
 def near_documents(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, class_id (the smallest id of its class), copies (rows of the same text) and kept (id = class_id) of every row.
 
     Equal texts are in one class, and so are texts joined by links of at least ``similarity``. A null text links with
     nothing; an empty text or one without words only with texts equal to it. Rows with a null id have a null class and
     are kept. Rows that share an id share its class. An empty table gives an empty one; other columns are not read.
+    The rows are those of a written table; all tables made on the way are deleted.
     """
-    table = written(_sketched(df, id_col, text_col), "sketches")
+    table = written(_sketched(df, id_col, text_col), "sketches", "zstd")
     named = table.where(F.col("id").isNotNull() & F.col("key").isNotNull())
-    classes = written(named.groupBy("key").agg(
-        F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketches").alias("sketches"), F.first("brief").alias("brief"), F.first("counters").alias("counters")), "classes")
-    words = table.where(F.col("id").isNotNull()).select("id", "words")
-    every = classes.select(F.explode(F.concat("sketches", "brief")).alias("v"), "rep", "n")
+    texts = written(named.groupBy("key").agg(F.min("id").alias("rep"), F.min_by("row", "id").alias("row"), F.count("*").alias("copies")), "texts")
+    classes = written(table.join(texts.select("row", "rep"), "row").select("rep", "n", "sketches", "counters"), "classes")
+    words = table.where(F.col("id").isNotNull() & (F.col("n") > 0)).select("id", "words")
+    every = classes.select(F.explode("sketches").alias("v"), "rep")
     shared = every.groupBy("v").count().where("count > 1").select("v")  # most sketches are of one text alone and lead to no pair
     rest = shared = written(every.join(shared, "v", "left_semi"), "shared")
     known = None
+    made = [table, texts, classes, shared]
     for number in range(ROUNDS):
-        leaders = rest.groupBy("v").agg(F.min(F.struct("rep", "n")).alias("l1"), F.max(F.struct("rep", "n")).alias("l2"), F.count("*").alias("size")).where("l1.rep < l2.rep")
-        if number and (leaders.agg(F.max("size")).first()[0] or 0) <= CROWD:
-            break
-        tried = rest.join(leaders.drop("size"), "v").select("v", "rep", "n", F.explode(F.array("l1", "l2")).alias("leader")).where("rep != leader.rep")
-        fits = F.least("n", "leader.n") >= similarity * F.greatest("n", "leader.n") - 1e-9  # else lengths alone rule out a link
-        tried = written(tried.select("v", "rep", "n", F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b"), fits.alias("fits")), "tried")
-        pairs = tried.where("fits").select("a", "b").distinct()
-        if known is None:
-            known = written(_verified(pairs, words, similarity), "verified")
-        else:
-            more = _verified(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), words, similarity)
-            known = known.unionByName(written(more, "verified"))
+        leaders = rest.groupBy("v").agg(F.min("rep").alias("l1"), F.max("rep").alias("l2"), F.count("*").alias("size")).where("l1 < l2")
+        if number:
+            leaders = leaders.where(F.col("size") > CROWD)
+        led = rest.join(leaders, "v").select("v", "rep", "size", F.explode(F.array("l1", "l2")).alias("leader")).where("rep != leader")
+        led = led.select("v", "rep", "size", F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
+        pairs = led.select("a", "b").distinct()
+        if known is not None:
+            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = written(_possible(pairs, classes, similarity).distinct(), "pairs")
+        found = written(_verified(pairs, words, similarity), "verified")
+        discard(pairs)
+        made.append(found)
+        known = found if known is None else known.unionByName(found)
         if number == ROUNDS - 1:
             break
-        # texts that are near neither leader of a sketch, and are no leader themselves
-        outcome = tried.join(known, ["a", "b"], "left").groupBy("v", "rep", "n").agg(F.max(F.coalesce("linked", F.lit(False))).alias("linked"), F.count("*").alias("tries"))
-        rest = written(outcome.where("not linked and tries = 2").select("v", "rep", "n"), "rest")
-    # of each sketch, the texts outside its largest component against all others of another component
-    roots = written(components(known.where("linked"), "a", "b"), "roots")
-    placed = classes.join(roots, F.col("rep") == F.col("id"), "left").select("rep", F.coalesce("component", "rep").alias("component"))
-    bands = shared.select("v", "rep").join(placed, "rep")
-    sizes = bands.groupBy("v", "component").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("v").agg(
-        F.sum("size").alias("all"), F.max("size").alias("most"), F.max(F.struct("size", "component"))["component"].alias("main")).where("most < all")
-    main = main.select(
-        "v", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("own_blocks"), F.ceil(F.col("most") / BLOCK).cast("int").alias("other_blocks"))
-    dealt = bands.join(main, "v").withColumn("h", F.xxhash64("rep", "v"))
-    mine = F.pmod("h", "own_blocks").cast("int")
-    theirs = F.col("own_blocks") + F.pmod("h", "other_blocks").cast("int")
-    as_left = F.transform(F.sequence(mine, F.col("own_blocks") + F.col("other_blocks") - 1), lambda y: F.struct(mine.alias("x"), y.alias("y"), F.lit(True).alias("left")))
-    before = F.when(mine > 0, F.sequence(F.lit(0), mine - 1)).otherwise(F.array().cast("array<int>"))
-    as_right = F.transform(before, lambda x: F.struct(x.alias("x"), mine.alias("y"), F.lit(False).alias("left")))
-    visits = F.transform(F.sequence(F.lit(0), F.col("own_blocks") - 1), lambda x: F.struct(x.alias("x"), theirs.alias("y"), F.lit(False).alias("left")))
-    own = F.col("component") != F.col("main")
-    dealt = dealt.select("v", "rep", "component", F.explode(F.when(own, F.concat(as_left, as_right)).otherwise(visits)).alias("t")).select("v", "rep", "component", "t.*")
-    dealt = dealt.join(classes.select("rep", "n", "sketches", "brief", "counters"), "rep")
-    dealt = dealt.repartition("v", "x", "y").sortWithinPartitions("v", "x", "y")
-    more = dealt.select("v", "x", "y", "left", "rep", "component", "n", "sketches", "brief", "counters").mapInPandas(_agreeing(similarity), "a bigint, b bigint")
-    more = written(more.distinct().join(known.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    links = roots.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(
-        written(_verified(more, words, similarity), "verified").where("linked").select("a", "b"))
-    roots = components(links, "a", "b")
-    found = classes.select("key", "rep", "copies").join(roots, F.col("rep") == F.col("id"), "left").select(
-        F.col("key").alias("k"), F.coalesce("component", "rep").alias("component"), "copies")
-    out = table.select("id", "key").join(found, F.col("key") == F.col("k"), "left")
+        # texts of crowds that are near neither leader of a sketch, and are no leader themselves
+        outcome = led.where(F.col("size") > CROWD).join(known, ["a", "b"], "left").groupBy("v", "rep").agg(
+            F.max(F.coalesce("linked", F.lit(False))).alias("linked"), F.count("*").alias("tries"))
+        rest = written(outcome.where("not linked and tries >= 2").select("v", "rep"), "rest")
+        made.append(rest)
+    roots = components(known.where("linked"), "a", "b")
+    placed = classes.join(roots, F.col("rep") == F.col("id"), "left").select("rep", F.coalesce("component", "rep").alias("component"), "n")
+    bands = written(shared.join(placed, "rep").select("v", "rep", "component", "n"), "bands")
+    across = _across(bands, classes, similarity)
+    more = written(across.distinct().join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    found = written(_verified(more, words, similarity).where("linked").select("a", "b"), "verified")
+    roots2 = components(roots.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(found), "a", "b")
+    named = texts.join(roots2, F.col("rep") == F.col("id"), "left").select(F.col("key").alias("k"), F.coalesce("component", "rep").alias("component"), "copies")
+    out = table.select("id", "key").join(named, F.col("key") == F.col("k"), "left")
     component = F.coalesce("component", "id")
-    return out.select(
+    out = written(out.select(
         F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), component).alias("class_id"),
-        F.coalesce("copies", F.lit(1)).cast("bigint").alias("copies"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
+        F.coalesce("copies", F.lit(1)).cast("bigint").alias("copies"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept")), "near")
+    discard(*made, roots, bands, across, more, found, roots2)
+    return out
 
 
 def one_of_each(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

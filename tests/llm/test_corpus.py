@@ -1,5 +1,7 @@
 """Near-duplicates and the pipeline against plain versions, and the queries that have SQL."""
 
+import tracemalloc
+
 import compare
 import numpy as np
 import pytest
@@ -45,6 +47,38 @@ def test_sketches_follow_order_and_occurrence():
     assert len(order_minhash.sketches(number("one"))) == order_minhash.SKETCHES
 
 
+def test_sketches_in_strips(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 50, n).astype(np.uint32) for n in (1, 2, 6, 7, 100, 1000)]
+    whole = [order_minhash.sketches(t) for t in texts]
+    for strip in (1, 2, 7, 64):
+        monkeypatch.setattr(order_minhash, "STRIP", strip)
+        assert all((order_minhash.sketches(t) == w).all() for t, w in zip(texts, whole))
+
+
+def test_sketches_of_a_million_words_stay_small():
+    words = np.random.default_rng(5).integers(0, 1 << 32, 1_000_000, dtype=np.uint32)
+    tracemalloc.start()
+    order_minhash.sketches(words)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
+def test_counters_never_exceed_the_edits():
+    """Also between texts of few and of many counters, and where counters are full."""
+    rng = np.random.default_rng(6)
+    for n in (200, 500, 515, 3000):
+        for words in (1, 30, 5000):
+            a = rng.integers(0, words, n).astype(np.uint32)
+            b = np.delete(a, rng.choice(n, n // 10, replace=False))
+            f, g = [order_minhash.counted(a)], [order_minhash.counted(b)]
+            zero = np.zeros(1, int)
+            assert order_minhash._room(f, g, zero, zero, np.array([n // 10]))[0]
+            if words == 5000:
+                other = [order_minhash.counted(rng.integers(0, words, n).astype(np.uint32))]
+                assert not order_minhash._room(f, other, zero, zero, np.array([n // 10]))[0]
+
+
 def documents(rng, n=120):
     """Originals, exact and near copies, and texts that share a passage of 60 words and nothing else."""
     word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
@@ -89,9 +123,10 @@ def plain_classes(texts):
     return [find(i) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize(("block", "crowd"), [(512, 64), (16, 1000)])
-def test_near_documents(spark, monkeypatch, block, crowd):
+@pytest.mark.parametrize(("block", "crowd", "few"), [(512, 64, 16), (16, 1000, 1)])
+def test_near_documents(spark, monkeypatch, block, crowd, few):
     monkeypatch.setattr(order_minhash, "BLOCK", block)
+    monkeypatch.setattr(order_minhash, "FEW", few)
     monkeypatch.setattr(order_minhash, "CROWD", crowd)
     texts = [*documents(np.random.default_rng(8)), None, None, "", "", "?!", "one", "one", "One!", "two words"]
     df = spark.createDataFrame([(i, t, 7, "k") for i, t in enumerate(texts)] + [(None, texts[0], 7, "k"), (0, texts[0], 7, "k")], "doc_id long, text string, copies int, key string")
@@ -112,10 +147,11 @@ def keys(text):
     return {*order_minhash.sketches(words).tolist(), *order_minhash.brief(words).tolist()} if len(words) else set()
 
 
-@pytest.mark.parametrize("crowd", [1, 1000])
-def test_one_shared_sketch_is_enough(spark, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "few"), [(1, 16), (1000, 1), (1000, 1000)])
+def test_one_shared_sketch_is_enough(spark, monkeypatch, crowd, few):
     """The classes are those of all similar pairs that share a sketch, however many texts share it."""
     monkeypatch.setattr(order_minhash, "CROWD", crowd)
+    monkeypatch.setattr(order_minhash, "FEW", few)
     rng = np.random.default_rng(11)
     passage, texts = [f"p{i}" for i in range(12)], []
     for i in range(60):
