@@ -4,8 +4,9 @@ Each predictor is one order of context: the last few bytes, hashed, and for ever
 all training texts. A byte is predicted as eight bits down the tree of its values; every predictor gives the logit of the next
 bit from the counts below the node. A gate, the number of orders that know the node together with the number of the bit, picks
 the weights by which the logits are added, and weights learn from every bit that is read. A last stage refines the mixed logit
-by a curve that is learned in the same way. Weights and curve start each stretch of ``STRETCH`` bytes from those that a bounded
-sample of training texts taught; counts come from all of them.
+by a curve that is learned in the same way. Weights start each stretch of ``STRETCH`` bytes from those that fit all training
+texts, each byte without its own share of the counts: the logits of all their bits are summed up in cells of rounded logits, and
+weights are fitted to these cells. The curve starts as a straight line. Counts come from all training texts, too.
 
 Counts never stand in one place: texts lie in blocks of about ``BLOCK`` bytes, and each block fetches the counts of the contexts
 and words that occur in it. All logits are those of the bit that was read: curve and weights are symmetric, so the other bit has
@@ -33,10 +34,11 @@ SEGMENT = 1 << 14  # bytes of a text after which it is cut at the next white spa
 STRETCH = 1 << 10  # bytes over which weights adapt before they start anew
 STRIP = 1 << 21  # bytes whose contexts are held at a time
 READ = 1 << 22  # bytes that are read side by side
-SAMPLE = 1024  # segments of training texts that teach the first weights
+LEVELS = 18  # logits are rounded to whole numbers up to this one, either way, to tell cells apart
+FORCE = 0.02  # with which first weights are held near even ones, for each bit read
 KNOTS, STEP, STEEPEST = 16, 0.5, 8.0  # of the refining curve
 PRIOR = 0.3  # added to both counts of a bit
-TEACH, ADAPT = 0.02, 0.006  # rates of learning
+ADAPT = 0.006  # rate of learning
 LEAST = 2.0**-20
 WORD, END_BYTES, ZERO_BYTES = -1, -2, -3  # rows of counts that are no context
 
@@ -165,15 +167,15 @@ def _seen(rows: DataFrame) -> DataFrame:
 
 
 def _lexicon(seen: DataFrame, words: DataFrame) -> DataFrame:
-    """block, ctx, counts (n * 256 + byte), word, n: what each block needs to know."""
+    """block, ctx, counts (n * 256 + byte), home, word, n: what each block needs to know; home: one block of each context."""
     ctx = F.shiftright("key", 8).alias("ctx")
     # the second grouping needs no further shuffle: rows are dealt by context already
-    edges = seen.where("key >= 0 and n > 0").select(ctx, "key", "n").repartition("ctx").groupBy("ctx", "key").agg(F.sum("n").alias("n"))
-    table = edges.groupBy("ctx").agg(F.collect_list(F.col("n") * 256 + F.col("key") % 256).alias("counts"))  # 256 bytes at most
+    edges = seen.where("key >= 0 and n > 0").select(ctx, "key", "n", "block").repartition("ctx").groupBy("ctx", "key").agg(F.sum("n").alias("n"), F.min("block").alias("least"))
+    table = edges.groupBy("ctx").agg(F.collect_list(F.col("n") * 256 + F.col("key") % 256).alias("counts"), F.min("least").alias("least"))  # 256 bytes at most
     none = lambda kind: F.lit(None).cast(kind)
-    byte_counts = seen.where("first").select("block", ctx).join(table, "ctx").select("block", "ctx", "counts", none("binary").alias("word"), none("bigint").alias("n"))
+    byte_counts = seen.where("first").select("block", ctx).join(table, "ctx").select("block", "ctx", "counts", (F.col("block") == F.col("least")).alias("home"), none("binary").alias("word"), none("bigint").alias("n"))
     word_counts = seen.where(F.col("key") == WORD).select("block", "word").join(words.where("n > 0"), "word")
-    return byte_counts.unionByName(word_counts.select("block", none("bigint").alias("ctx"), none("array<bigint>").alias("counts"), "word", "n"))
+    return byte_counts.unionByName(word_counts.select("block", none("bigint").alias("ctx"), none("array<bigint>").alias("counts"), F.lit(False).alias("home"), "word", "n"))
 
 
 class _Places:
@@ -302,7 +304,7 @@ class Mixer:
 class Reader:
     """A block's texts with the logits of all that occurs in them."""
 
-    def __init__(self, texts: pa.Table, lexicon: pa.Table, own: int):
+    def __init__(self, texts: pa.Table, lexicon: pa.Table):
         self.heads, self.bodies = texts.column("head").to_pylist(), texts.column("body").to_pylist()
         known = lexicon.filter(lexicon.column("ctx").is_valid()).combine_chunks()
         ctx, counts = known.column("ctx").to_numpy(), known.column("counts").combine_chunks()
@@ -319,10 +321,10 @@ class Reader:
         for k in ORDERS:
             kinds, _ = tally(self.heads, self.bodies, k, [False] * len(self.bodies))
             self.places.append(_Places(kinds))
-            self.tables.append(logits(kinds, ctx, first, flat, own))
+            self.tables.append(logits(kinds, ctx, first, flat, 0))
 
-    def read(self, mixer: Mixer, rate: float, teach: bool = False) -> np.ndarray:
-        """log2 of the probability of each segment. The mixer is taught by the first ``READ`` bytes and then by the next ones."""
+    def read(self, mixer: Mixer, rate: float) -> np.ndarray:
+        """log2 of the probability of each segment."""
         out = np.zeros(len(self.bodies))
         for part in strips(_lengths(self.bodies), READ):
             length = _lengths([self.bodies[i] for i in part])
@@ -339,25 +341,126 @@ class Reader:
             turn = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
             start = (np.cumsum(length) - length)[owner]
             begin = start + turn * STRETCH
-            out[part] = np.bincount(owner, mixer.read(self.tables, places, begin, np.minimum(begin + STRETCH, start + length[owner]), rate, teach), len(part))
+            out[part] = np.bincount(owner, mixer.read(self.tables, places, begin, np.minimum(begin + STRETCH, start + length[owner]), rate), len(part))
         return out
 
 
-def taught(sample: DataFrame, lexicon: DataFrame) -> Mixer:
-    """The mixer after two readings of the sample, each segment without its own share of the counts."""
-
-    def learn(texts: pa.Table, known: pa.Table) -> pa.Table:
-        mixer = Mixer()
-        if texts.num_rows:
-            reader = Reader(texts, known, 1)
-            for _ in range(2):
-                reader.read(mixer, TEACH, teach=True)
-        return pa.table({"weights": [mixer.weights.ravel().astype(float)], "curve": [mixer.curve.ravel().astype(float)]})
+def paths(ctx: np.ndarray) -> np.ndarray:
+    """The bytes of contexts from the last one back, then their order: sorted, each context follows its own endings."""
+    most = max(ORDERS)
+    value = ctx.astype(np.uint64) * np.uint64(pow(_HASH, -1, 1 << 54)) & np.uint64((1 << 54) - 1)
+    out = np.zeros(len(ctx), np.uint64)
+    for order in ORDERS:
+        at = np.flatnonzero(value >> np.uint64(8 * order) == order)
+        for back in range(order):
+            out[at] |= (value[at] >> np.uint64(8 * back) & np.uint64(255)) << np.uint64(8 * (most - 1 - back) + 3)
+        out[at] |= np.uint64(order)
+    return out.astype(np.int64)
+
+
+class Evidence:
+    """How often logits of the orders meet in the bits of training texts, and their sums, by cells of rounded logits."""
+
+    def __init__(self):
+        self.levels = 2 * LEVELS + 2  # the last one: nothing was seen
+        self.sums = np.zeros((1 + len(ORDERS), 8 * self.levels ** len(ORDERS)))
+        self.path, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, path: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        """Contexts by ``paths``, sorted and possibly repeated, with their counts. Endings may have come with an earlier call."""
+        path, size, flat = np.concatenate([self.path, path]), np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+        new, old = np.append(True, path[1:] != path[:-1])[: len(path)], len(self.path)
+        first = np.concatenate([[0], np.cumsum(size)])
+        order, row = path & 7, np.arange(len(path))
+        last = {k: np.maximum.accumulate(np.where((order == k) & new, row, -1)) for k in ORDERS}
+        most = max(ORDERS)
+        whole = np.flatnonzero((order == most) & new & (row >= old))
+        n_of = size[whole]
+        packed, owner = flat[ragged(first[whole], n_of)], np.repeat(whole, n_of)
+        byte, n = packed & 255, (packed >> 8).astype(float)
+        cell, every = np.zeros((len(packed), 8), np.int64), []
+        for k in ORDERS:
+            keys, back = np.unique(last[k][owner] << 8 | byte, return_inverse=True)
+            x = logits(keys, row, first, flat, 1)
+            level = np.where(x == 0, self.levels - 1, np.clip(np.rint(x), -LEVELS, LEVELS) + LEVELS).astype(np.int64)
+            cell = cell * self.levels + level[back]
+            every.append(x[back])
+        cell = (cell * 8 + np.arange(8)).ravel()
+        n = np.repeat(n, 8)
+        found, back = np.unique(cell, return_inverse=True)
+        self.sums[0, found] += np.bincount(back, n, len(found))
+        for total, x in zip(self.sums[1:], every):
+            total[found] += np.bincount(back, n * x.ravel(), len(found))
+        kept = np.unique([at[-1] for at in last.values() if len(at) and at[-1] >= 0]).astype(np.int64)
+        self.path, self.size, self.flat = path[kept], size[kept], flat[ragged(first[kept], size[kept])]
+
+    def rows(self) -> dict:
+        cell = np.flatnonzero(self.sums[0])
+        return {"cell": cell, "n": self.sums[0, cell]} | {f"x{k}": x[cell] for k, x in zip(ORDERS, self.sums[1:])}
+
+
+def evidence(lexicon: DataFrame) -> DataFrame:
+    """cell, n, and the sum of each order's logits: all bits of all training texts, each without its own count."""
+
+    def placed(batches):
+        for batch in batches:
+            yield {"path": paths(batch.column(0).to_numpy()), "counts": batch.column(1)}
 
-    made = sample.groupBy("block").cogroup(lexicon.groupBy("block")).applyInArrow(learn, "weights array<double>, curve array<double>").first()
-    if made is None:
-        return Mixer()
-    return Mixer(*(np.array(x, np.float32).reshape((len(ORDERS) + 1) * 8, -1) for x in (made.weights, made.curve)))
+    def run(batches):
+        found = Evidence()
+        for batch in batches:
+            counts = batch.column(1)
+            offset = counts.offsets.to_numpy()
+            found.add(batch.column(0).to_numpy(), np.diff(offset), counts.values.to_numpy(zero_copy_only=False)[offset[0] : offset[-1]])
+        yield found.rows()
+
+    family = F.shiftright("path", 8 * (max(ORDERS) - min(ORDERS)) + 3)
+    homes = map_batches(lexicon.where("home").select("ctx", "counts"), placed, "path bigint, counts array<bigint>")
+    sums = ["n", *(f"x{k}" for k in ORDERS)]
+    cells = map_batches(homes.repartition(family).sortWithinPartitions("path"), run, "cell bigint, " + ", ".join(f"{c} double" for c in sums))
+    return cells.groupBy("cell").agg(*(F.sum(c).alias(c) for c in sums))
+
+
+def fitted(x: np.ndarray, n: np.ndarray, start: np.ndarray, force: float) -> np.ndarray:
+    """The w of least sum of n * log(1 + exp(-(x w))) + force / 2 * |w - start|^2, by damped Newton steps."""
+
+    def loss(w: np.ndarray) -> float:
+        return float(n @ np.logaddexp(0, -(x @ w)) + force / 2 * ((w - start) ** 2).sum())
+
+    w = start.astype(float)
+    now = loss(w)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        slope = x.T @ (n * (1 - p)) - force * (w - start)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + force * np.eye(len(w)), slope)
+        while (then := loss(w + step)) > now and np.abs(step).max() > 1e-9:
+            step /= 2
+        if then > now:
+            break
+        w, gain, now = w + step, now - then, then
+        if gain <= 1e-12 * now:
+            break
+    return w
+
+
+def taught(lexicon: DataFrame) -> Mixer:
+    """The mixer whose weights fit the bits of all training texts, each without its own share of the counts.
+
+    Its curve is straight: texts bend it as they are read. Weights are held near even ones, since a byte's own text may
+    hold its context more often than once, which makes long contexts look surer than they are elsewhere.
+    """
+    cells, mixer = evidence(lexicon).orderBy("cell").toArrow(), Mixer()  # rounded logits: their number has a bound
+    cell, n = cells.column("cell").to_numpy(), cells.column("n").to_numpy()
+    x = np.stack([cells.column(f"x{k}").to_numpy() / n for k in ORDERS], 1)
+    levels, known, rest = 2 * LEVELS + 2, np.zeros(len(cell), np.int64), cell // 8
+    for _ in ORDERS:
+        known += rest % levels != levels - 1
+        rest = rest // levels
+    gates = known * 8 + cell % 8
+    for gate in np.unique(gates[known > 0]):
+        at = np.flatnonzero(gates == gate)
+        mixer.weights[gate] = fitted(x[at], n[at], mixer.weights[gate], FORCE * n[at].sum())
+    return mixer
 
 
 def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -369,16 +472,14 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     decided by the text alone. An empty table gives an empty one. Other columns are not read.
     """
     rows = segments(docs, F.coalesce(held_out, F.lit(False)), id_col, text_col)
-    pick = F.xxhash64("doc_id", "seg", "body")
-    sample = written(rows.where("not held_out").orderBy(pick, "doc_id", "seg").limit(SAMPLE).withColumn("block", F.lit(-1).cast("bigint")), "sample")
-    seen = _seen(rows.unionByName(sample.withColumn("held_out", F.lit(True))))  # the sample is in rows already: it is looked up, not counted again
+    seen = _seen(rows)
     words = written(seen.where(F.col("key") == WORD).groupBy("word").agg(F.sum("n").alias("n")), "words")
     known = words.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
     special = {row.key: row.n for row in seen.where("key < -1").groupBy("key").agg(F.sum("n").alias("n")).collect()}
     ends, nuls = special.get(END_BYTES, 0), special.get(ZERO_BYTES, 0)
     n, v = (known.n or 0) + ends, (known.v or 0) + (ends > 0)
     lexicon = written(_lexicon(seen, words), "lexicon", "zstd")
-    mixer = taught(sample, lexicon.where("block = -1"))
+    mixer = taught(lexicon)
     end_here, nul_here = math.log10((ends + 1) / (nuls + 2)), math.log10((nuls - ends + 1) / (nuls + 2))  # what a zero byte is
 
     def score(texts: pa.Table, known_here: pa.Table) -> pa.Table:
@@ -386,7 +487,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
         is_word = known_here.column("word").is_valid()
         named = known_here.filter(is_word)
         count = dict(zip(named.column("word").to_pylist(), named.column("n").to_pylist()))
-        log2 = Reader(texts, known_here, 0).read(mixer, ADAPT)
+        log2 = Reader(texts, known_here).read(mixer, ADAPT)
         out = collections.defaultdict(list)
         for body, value in zip(bodies, (log2 * math.log10(2)).tolist()):
             seg_last = body.endswith(b"\0")  # other segments end with white space
@@ -401,7 +502,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
         return pa.table({"row": texts.column("row"), "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out")} | {c: out[c] for c in ("n_bytes", "n_tokens", "n_known", "base_score", "score")})
 
     schema = "row bigint, doc_id bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, base_score double, score double"
-    parts = rows.groupBy("block").cogroup(lexicon.where("block >= 0").groupBy("block")).applyInArrow(score, schema)
+    parts = rows.groupBy("block").cogroup(lexicon.drop("home").groupBy("block")).applyInArrow(score, schema)
     sums = parts.groupBy("row", "doc_id", "held_out").agg(*(F.sum(c).alias(c) for c in ("n_bytes", "n_tokens", "n_known", "base_score", "score")))
     per_byte = F.when(F.col("n_bytes") > 0, -F.col("score") / math.log10(2) / F.col("n_bytes"))
     return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score", per_byte.alias("bits_per_byte"))
