@@ -7,8 +7,9 @@ least shingle; texts of up to BRIEF words have more of three-word shingles, and
 word-deletion neighbourhood, which no link of 0.8 escapes. Texts that share a sketch are candidates; a candidate pair is a link
 if a banded alignment of its words proves a similarity (1 - edits / longer length) of at least 0.8.
 
-Equal texts are one class and compared once. A sketch that many texts share never yields all their pairs: every text is
-aligned with two leaders of the sketch, and those that are near neither with two of their own, as long as a crowd is left.
+Equal texts are one class and compared once, and sketches that the same texts share count as one. A sketch that many texts
+share never yields all their pairs: every text is aligned with two leaders of the sketch, and those that are near neither with
+two of their own, as long as a crowd is left.
 Then the texts of a sketch that lie in different components are compared: those of a sketch of few texts by a plain join, those
 of a crowd in blocks, the texts outside its largest component with all others. Pairs are aligned where lengths and word counts
 leave room for the similarity asked for. So no link between two components is lost, and no pair within one is ever made.
@@ -17,6 +18,7 @@ leave room for the similarity asked for. So no link between two components is lo
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from functools import lru_cache
@@ -24,7 +26,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oslogs.llm.common import discard, map_batches, written
@@ -48,6 +50,7 @@ FEWER = 128  # counters of words, for a lower bound of the edits between two tex
 COUNTERS = 1024  # the same for texts of more than MANY words; they add up to the fewer ones
 MANY = 512
 STRIP = 1 << 16  # shingles of a text that are hashed at a time
+SLOTS = 1 << 18  # of the map of ids that every task gets, with 64 bits each
 
 _WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20)
@@ -287,6 +290,21 @@ def _sketched(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_batches(few, rows, "row bigint, id bigint, key binary, n int, sketches array<bigint>, counters binary, words binary")
 
 
+def _marked(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows with maybe: false only where the column's value is none of the ids (one bigint column).
+
+    The ids are bits of a broadcast map whose size has a bound, however many they are, so that wide rows which they do not
+    concern need no shuffle. What is true may be wrong: an exact join has to follow.
+    """
+    h = F.xxhash64(F.col(ids.columns[0]))
+    place = lambda h: F.pmod(h, F.lit(SLOTS))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(h, 20), F.lit(64)).cast("int"))
+    slots = ids.groupBy(place(h).alias("slot")).agg(F.bit_or(bit(h)).alias("bits"))
+    found = F.xxhash64(F.col(column))
+    both = rows.join(F.broadcast(slots), place(found) == F.col("slot"), "left")
+    return both.withColumn("maybe", F.coalesce(F.col("bits").bitwiseAND(bit(found)) != 0, F.lit(False))).drop("slot", "bits")
+
+
 def _possible(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose lengths and counters leave room for the similarity."""
 
@@ -304,21 +322,24 @@ def _possible(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b), a written table, with linked, by alignment of their words; the words of no other texts are joined."""
+    """The pairs (a, b), a written table, with linked, by alignment of their words; the words of hardly any other texts are shuffled."""
 
     def rows(batches):
         for batch in batches:
             ok = [similar(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), least) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield {"a": batch.column(0), "b": batch.column(1), "linked": ok}
 
-    own = words.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "named")
+    own = _marked(words, "id", ids).where("maybe").select("id", "words").join(ids, "id", "left_semi")
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
         own.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
-    return map_batches(both.select("a", "b", "wa", "wb"), rows, "a bigint, b bigint, linked boolean")
+    out = written(map_batches(both.select("a", "b", "wa", "wb"), rows, "a bigint, b bigint, linked boolean"), "verified")
+    discard(ids)
+    return out
 
 
 def _agreeing(least: float):
-    """Pairs of texts in the rows' groups (sorted by v, x, y) of different components that agree in length and in words."""
+    """Pairs of texts in the rows' groups (sorted by v, lane, x, y) of different components that agree in length and in words."""
 
     def run(frames):
         def pairs(rows: list[pd.DataFrame]) -> pd.DataFrame:
@@ -341,7 +362,7 @@ def _agreeing(least: float):
         held: list[pd.DataFrame] = []
         last = None
         for frame in frames:
-            for key, part in frame.groupby(["v", "x", "y"], sort=False):
+            for key, part in frame.groupby(["v", "lane", "x", "y"], sort=False):
                 if key != last and held:
                     yield pairs(held)
                     held = []
@@ -355,28 +376,42 @@ def _agreeing(least: float):
 
 def _across(bands: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b), possibly repeated, of texts of different components that share a sketch; bands: v, rep, component, n."""
-    sizes = bands.groupBy("v", "component").agg(F.count("*").alias("size"))
-    mixed = written(sizes.groupBy("v").agg(
-        F.sum("size").alias("all"), F.max("size").alias("most"), F.max_by("component", "size").alias("main")).where("most < all"), "mixed")
-    few = bands.join(mixed.where(F.col("all") <= FEW).select("v"), "v", "left_semi")
+    placed = bands.repartition("v")  # the groupings and the join all find their rows there
+    sizes = placed.groupBy("v", "component").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("v").agg(
+        F.sum("size").alias("all"), F.max("size").alias("most"), F.max_by("component", "size").alias("main")).where("most < all")
+    mixed = written(placed.join(mixed, "v"), "mixed")
+    few = mixed.where(F.col("all") <= FEW).select("v", "rep", "component", "n")
     other = few.select("v", F.col("rep").alias("b"), F.col("component").alias("d"), F.col("n").alias("m"))
     fits = F.least("n", "m") >= least * F.greatest("n", "m") - 1e-9
     pairs = few.join(other, "v").where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("d")) & fits).select(F.col("rep").alias("a"), "b").distinct()
     pairs = _possible(pairs, classes, least)
-    main = mixed.where(F.col("all") > FEW).select(
-        "v", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("own_blocks"), F.ceil(F.col("most") / BLOCK).cast("int").alias("other_blocks"))
-    dealt = bands.join(main, "v").withColumn("h", F.xxhash64("rep", "v"))
+    # blocks of the texts outside the largest component, and of that one; or of all alike, where that makes fewer rows
+    outside, blocks = F.col("all") - F.col("most"), lambda n: F.ceil(n / BLOCK)
+    apart = outside * (blocks(outside) + blocks(F.col("most"))) + F.col("most") * blocks(outside) < F.col("all") * blocks(F.col("all"))
+    crowds = mixed.where(F.col("all") > FEW).select("*", apart.alias("apart"), F.xxhash64("rep", "v").alias("h"))
+    dealt = crowds.where((F.col("all") <= BLOCK) | F.col("apart")).select(
+        "v", F.lit(0).alias("lane"), "rep", "component", "h", (~F.col("apart") | (F.col("component") != F.col("main"))).alias("own"),
+        F.when(F.col("apart"), blocks(outside)).otherwise(1).cast("int").alias("own_blocks"),
+        F.when(F.col("apart"), blocks(F.col("most"))).otherwise(0).cast("int").alias("other_blocks"))
+    # where all meet all in several blocks, lengths keep most apart: similar texts lie in the same lane or in the next
+    lane = F.floor(F.log("n") / (1e-6 - math.log(max(least, 1e-9)))).cast("int")
+    lanes = crowds.where((F.col("all") > BLOCK) & ~F.col("apart")).select("v", F.explode(F.array(
+        F.struct(lane.alias("lane"), F.lit(True).alias("own")), F.struct((lane + 1).alias("lane"), F.lit(False).alias("own")))).alias("t"), "rep", "component", "h")
+    lanes = lanes.select("v", "t.lane", "rep", "component", "h", "t.own")
+    sizes = lanes.groupBy("v", "lane").agg(
+        blocks(F.count_if("own")).cast("int").alias("own_blocks"), blocks(F.count_if(~F.col("own"))).cast("int").alias("other_blocks")).where("own_blocks > 0")
+    dealt = dealt.unionByName(lanes.join(sizes, ["v", "lane"]))
     mine = F.pmod("h", "own_blocks").cast("int")
-    theirs = F.col("own_blocks") + F.pmod("h", "other_blocks").cast("int")
+    theirs = F.col("own_blocks") + F.pmod("h", F.greatest("other_blocks", F.lit(1))).cast("int")
     as_left = F.transform(F.sequence(mine, F.col("own_blocks") + F.col("other_blocks") - 1), lambda y: F.struct(mine.alias("x"), y.alias("y"), F.lit(True).alias("left")))
     before = F.when(mine > 0, F.sequence(F.lit(0), mine - 1)).otherwise(F.array().cast("array<int>"))
     as_right = F.transform(before, lambda x: F.struct(x.alias("x"), mine.alias("y"), F.lit(False).alias("left")))
     visits = F.transform(F.sequence(F.lit(0), F.col("own_blocks") - 1), lambda x: F.struct(x.alias("x"), theirs.alias("y"), F.lit(False).alias("left")))
-    own = F.col("component") != F.col("main")
-    dealt = dealt.select("v", "rep", "component", F.explode(F.when(own, F.concat(as_left, as_right)).otherwise(visits)).alias("t")).select("v", "rep", "component", "t.*")
+    dealt = dealt.select("v", "lane", "rep", "component", F.explode(F.when(F.col("own"), F.concat(as_left, as_right)).otherwise(visits)).alias("t")).select("v", "lane", "rep", "component", "t.*")
     dealt = dealt.join(classes.select("rep", "n", "counters"), "rep")
-    dealt = dealt.repartition("v", "x", "y").sortWithinPartitions("v", "x", "y")
-    crowds = dealt.select("v", "x", "y", "left", "rep", "component", "n", "counters").mapInPandas(_agreeing(least), "a bigint, b bigint")
+    dealt = dealt.repartition("v", "lane", "x", "y").sortWithinPartitions("v", "lane", "x", "y")
+    crowds = dealt.select("v", "lane", "x", "y", "left", "rep", "component", "n", "counters").mapInPandas(_agreeing(least), "a bigint, b bigint")
     out = written(pairs.unionByName(crowds), "across")
     discard(mixed)
     return out
@@ -393,41 +428,53 @@ def near_documents(df: DataFrame, similarity: float = SIMILARITY, id_col: str =
     table = written(_sketched(df, id_col, text_col), "sketches", "zstd")
     named = table.where(F.col("id").isNotNull() & F.col("key").isNotNull())
     texts = written(named.groupBy("key").agg(F.min("id").alias("rep"), F.min_by("row", "id").alias("row"), F.count("*").alias("copies")), "texts")
-    classes = written(table.join(texts.select("row", "rep"), "row").select("rep", "n", "sketches", "counters"), "classes")
+    again = written(named.select("row").join(texts.select("row"), "row", "left_anti"), "again")  # rows whose text stands elsewhere
+    marked = _marked(named.select("row", F.col("id").alias("rep"), "n", "sketches", "counters"), "row", again)
+    classes = marked.where("not maybe").unionByName(marked.where("maybe").join(again, "row", "left_anti"))
+    classes = written(classes.select("rep", "n", "sketches", "counters"), "classes")
     words = table.where(F.col("id").isNotNull() & (F.col("n") > 0)).select("id", "words")
     every = classes.select(F.explode("sketches").alias("v"), "rep")
-    shared = every.groupBy("v").count().where("count > 1").select("v")  # most sketches are of one text alone and lead to no pair
-    rest = shared = written(every.join(shared, "v", "left_semi"), "shared")
+    # most sketches are of one text alone and lead to no pair; those of the same texts get one name (v) and lead to their pairs once
+    group = Window.partitionBy("v")
+    shared = every.select(
+        "rep", F.min("rep").over(group).alias("l1"), F.max("rep").over(group).alias("l2"), F.count("*").over(group).alias("size"),
+        F.bit_xor(F.xxhash64("rep")).over(group).alias("all")).where("l1 < l2").withColumn("v", F.xxhash64("l1", "l2", "size", "all"))
+    # one row per text: it has a bounded number of sketches
+    shared = written(shared.groupBy("rep").agg(F.collect_set(F.struct("v", "l1", "l2", "size")).alias("s")), "shared")
+    leaders = lambda s: F.array_except(F.array_union(s["l1"], s["l2"]), F.array("rep"))
+    crowds = F.filter("s", lambda x: x["size"] > CROWD)
+    pairs = shared.select("rep", F.explode(leaders(F.col("s"))).alias("leader"))
     known = None
-    made = [table, texts, classes, shared]
+    made = [table, texts, again, classes, shared]
     for number in range(ROUNDS):
-        leaders = rest.groupBy("v").agg(F.min("rep").alias("l1"), F.max("rep").alias("l2"), F.count("*").alias("size")).where("l1 < l2")
-        if number:
-            leaders = leaders.where(F.col("size") > CROWD)
-        led = rest.join(leaders, "v").select("v", "rep", "size", F.explode(F.array("l1", "l2")).alias("leader")).where("rep != leader")
-        led = led.select("v", "rep", "size", F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-        pairs = led.select("a", "b").distinct()
+        pairs = pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = written(_possible(pairs, classes, similarity).distinct(), "pairs")
-        found = written(_verified(pairs, words, similarity), "verified")
+        pairs = written(_possible(pairs, classes, similarity), "pairs")
+        found = _verified(pairs, words, similarity)
         discard(pairs)
         made.append(found)
         known = found if known is None else known.unionByName(found)
         if number == ROUNDS - 1:
             break
         # texts of crowds that are near neither leader of a sketch, and are no leader themselves
-        outcome = led.where(F.col("size") > CROWD).join(known, ["a", "b"], "left").groupBy("v", "rep").agg(
-            F.max(F.coalesce("linked", F.lit(False))).alias("linked"), F.count("*").alias("tries"))
-        rest = written(outcome.where("not linked and tries >= 2").select("v", "rep"), "rest")
+        tried = shared.select("rep", F.explode(leaders(crowds)).alias("leader"))
+        near = tried.join(known.where("linked"), (F.least("rep", "leader") == F.col("a")) & (F.greatest("rep", "leader") == F.col("b")), "left_semi")
+        near = near.groupBy("rep").agg(F.collect_set("leader").alias("near"))  # of the few leaders of a text
+        near = shared.select("rep", crowds.alias("s")).where(F.size("s") > 0).join(near, "rep", "left")
+        met = F.array_append(F.coalesce("near", F.array().cast("array<bigint>")), F.col("rep"))
+        rest = near.select("rep", F.explode(F.filter("s", lambda x: ~F.array_contains(met, x["l1"]) & ~F.array_contains(met, x["l2"]))["v"]).alias("v"))
+        rest = written(rest, "rest")
         made.append(rest)
+        led = rest.groupBy("v").agg(F.min("rep").alias("l1"), F.max("rep").alias("l2"), F.count("*").alias("size")).where((F.col("l1") < F.col("l2")) & (F.col("size") > CROWD))
+        pairs = rest.join(led, "v").select("rep", F.explode(F.array("l1", "l2")).alias("leader")).where("rep != leader")
     roots = components(known.where("linked"), "a", "b")
     placed = classes.join(roots, F.col("rep") == F.col("id"), "left").select("rep", F.coalesce("component", "rep").alias("component"), "n")
-    bands = written(shared.join(placed, "rep").select("v", "rep", "component", "n"), "bands")
+    bands = written(shared.join(placed, "rep").select(F.explode(F.col("s.v")).alias("v"), "rep", "component", "n"), "bands")
     across = _across(bands, classes, similarity)
     more = written(across.distinct().join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    found = written(_verified(more, words, similarity).where("linked").select("a", "b"), "verified")
-    roots2 = components(roots.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(found), "a", "b")
+    found = _verified(more, words, similarity)
+    roots2 = components(roots.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(found.where("linked").select("a", "b")), "a", "b")
     named = texts.join(roots2, F.col("rep") == F.col("id"), "left").select(F.col("key").alias("k"), F.coalesce("component", "rep").alias("component"), "copies")
     out = table.select("id", "key").join(named, F.col("key") == F.col("k"), "left")
     component = F.coalesce("component", "id")

@@ -1,10 +1,12 @@
 """Near-duplicates and the pipeline against plain versions, and the queries that have SQL."""
 
+import collections
 import tracemalloc
 
 import compare
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oslogs.llm import components, language_id, order_minhash, toxicity
@@ -142,6 +144,43 @@ def test_near_documents(spark, monkeypatch, block, crowd, few):
     assert order_minhash.near_documents(df.limit(0)).count() == 0 == order_minhash.one_of_each(df.limit(0)).count()
 
 
+def test_marked_rows(spark):
+    """A row is marked false only where its id is not asked for; with far fewer ids than bits hardly another row is marked true."""
+    ids = spark.range(0, 5000, 5)
+    marked = order_minhash._marked(spark.range(5000).withColumn("text", F.lit("t")), "id", ids)
+    assert marked.columns == ["id", "text", "maybe"] and marked.count() == 5000
+    assert marked.where("maybe and id % 5 = 0").count() == 1000 and marked.where("maybe").count() < 1050
+    assert order_minhash._marked(ids, "id", ids.limit(0)).where("maybe").count() == 0
+
+
+def test_sketches_of_the_same_texts_are_compared_once(spark, monkeypatch):
+    """Texts of different lengths that share a passage are dealt to blocks once for all sketches of the same texts, and by lengths."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 4)
+    monkeypatch.setattr(order_minhash, "FEW", 4)
+    seen, plain = spark.sparkContext.accumulator(0), order_minhash._agreeing
+
+    def agreeing(least):
+        def counted(frames):
+            for frame in frames:
+                seen.add(len(frame))
+                yield frame
+
+        run = plain(least)
+        return lambda frames: run(counted(frames))
+
+    monkeypatch.setattr(order_minhash, "_agreeing", agreeing)
+    passage = " ".join(f"p{i}" for i in range(300))
+    texts = [" ".join([passage, *(f"w{i}x{j}" for j in range(100 + 20 * i))]) for i in range(8)]
+    texts.append(texts[5] + " more")
+    got = {r.doc_id: r.class_id for r in order_minhash.near_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: 5 if i == 8 else i for i in range(9)}
+    held = collections.Counter(k for t in texts for k in keys(t))
+    several = [frozenset(i for i, t in enumerate(texts) if k in keys(t)) for k, n in held.items() if n > 4]
+    assert len(several) > len(set(several))  # some sketches are shared by the same texts
+    whole = sum(len(s) * -(-len(s) // 4) for s in several)
+    assert 0 < seen.value < whole
+
+
 def keys(text):
     words = order_minhash.Words()(text)
     return {*order_minhash.sketches(words).tolist(), *order_minhash.brief(words).tolist()} if len(words) else set()
